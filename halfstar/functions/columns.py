@@ -17,6 +17,16 @@ def utc_from_epoch(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, epoch)
 
 
+def utc_date(seconds: Column) -> Column:
+    """UTC calendar day of epoch seconds, by integer arithmetic alone."""
+    return F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
+
+
+def utc_hour(seconds: Column) -> Column:
+    """UTC hour of the day, 0 to 23, of epoch seconds."""
+    return F.floor(F.pmod(seconds, F.lit(86400)) / 3600).cast("int")
+
+
 def year_in_title(title: Column) -> Column:
     """The four digits in parentheses that end a title, or NULL; never an ANSI error."""
     return F.regexp_extract(title, YEAR_AT_END, 1).try_cast("int")

@@ -31,9 +31,9 @@ def rating_sums(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def merge_sums() -> list[Column]:
-    """Aggregates that add up the columns of ``rating_sums``."""
-    return [F.sum(c).alias(c) for c in ("n", "s", "q")]
+def merge_sums(*names: str) -> list[Column]:
+    """Aggregates that add up columns under their own names; n, s and q by default."""
+    return [F.sum(c).alias(c) for c in names or ("n", "s", "q")]
 
 
 def mean() -> Column:

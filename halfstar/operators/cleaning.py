@@ -6,13 +6,25 @@ from ..functions import columns as X
 
 
 def clean_ratings(raw: DataFrame, low: float = 0.5, high: float = 5.0) -> DataFrame:
-    """Complete ratings within [low, high], with UTC time and its parts."""
-    rated_at = X.utc_from_epoch(F.col("timestamp"))
+    """Complete ratings within [low, high], with UTC time and its parts.
+
+    The parts come from the epoch itself, so a query that only groups by year or
+    hour never builds the timestamp.
+    """
+    seconds = F.col("timestamp")
+    day = X.utc_date(seconds)
     return (
         raw.where(F.col("rating").between(low, high))
         .dropna(subset=["user_id", "movie_id", "rating"])
-        .select("user_id", "movie_id", "rating", rated_at.alias("rated_at"))
-        .withColumns({part: F.expr(f"{part}(rated_at)") for part in ("year", "month", "hour")})
+        .select(
+            "user_id",
+            "movie_id",
+            "rating",
+            X.utc_from_epoch(seconds).alias("rated_at"),
+            F.year(day).alias("year"),
+            F.month(day).alias("month"),
+            X.utc_hour(seconds).alias("hour"),
+        )
     )
 
 

@@ -14,6 +14,12 @@ def movie_stats(
     counts, and no task ever sees a single movie's ratings one by one.
     """
     counts = V.count_ratings(ratings, "movie_id", "rating")
+    return _stats_of_counts(counts, movies, min_ratings)
+
+
+def _stats_of_counts(
+    counts: DataFrame, movies: DataFrame, min_ratings: int
+) -> DataFrame:
     rating, n = F.col("rating").cast("double"), F.col("n")
     per_movie = (
         V.with_running_share(counts, "movie_id")
@@ -92,7 +98,8 @@ def movie_ranking(
     their shuffle once and reuses it.
     """
     counts = V.count_ratings(ratings, "movie_id", "rating")
-    return movie_bayesian(movie_stats(counts, movies, min_ratings), counts, min_votes)
+    stats = _stats_of_counts(counts, movies, min_ratings)
+    return movie_bayesian(stats, counts, min_votes)
 
 
 def hidden_gems(

@@ -5,6 +5,8 @@ then costs the tasks it ran and not the stages before them, and a later session
 can go on from any stored table.
 """
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,17 +69,24 @@ def read_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     return {table: read_source(spark, directory, table) for table in SOURCES}
 
 
-def write_reports(raw: dict[str, DataFrame], root: str) -> None:
-    """Store row counts of all sources and the quality of those that are analysed."""
+def write_reports(spark: SparkSession, raw: dict[str, DataFrame], root: str) -> None:
+    """Store the quality of the analysed sources and the row counts of all.
+
+    The row counts are taken from the quality report; only links, which it does
+    not cover, are counted on their own.
+    """
     audited = {name: raw[name] for name in ("ratings", "movies", "tags")}
     store.write_mart(quality.quality_reports(audited), root, "quality_report")
-    store.write_mart(quality.table_row_counts(raw), root, "table_row_counts")
+    report = store.read_mart(spark, root, "quality_report")
+    known = report.select("table_name", "row_count").distinct()
+    links = quality.table_row_counts({"links": raw["links"]})
+    store.write_mart(known.unionByName(links), root, "table_row_counts")
 
 
 def write_clean_tables(raw: dict[str, DataFrame], root: str) -> None:
-    store.write_ratings(cleaning.clean_ratings(raw["ratings"]), root)
     store.write_mart(cleaning.clean_movies(raw["movies"]), root, "movies")
     store.write_tags(cleaning.clean_tags(raw["tags"]), root)
+    store.write_ratings(cleaning.clean_ratings(raw["ratings"]), root)
 
 
 def write_analytics(
@@ -97,25 +106,41 @@ def write_analytics(
     ratings = store.read_mart(spark, root, "ratings")
     movies = store.read_mart(spark, root, "movies")
     tags = store.read_tags(spark, root)
-
     counts = keep("rating_counts", count_ratings(ratings, "movie_id", "year", "rating"))
-    keep("rating_distribution", timeline.rating_distribution(counts))
-    keep("genre_stats", genres.genre_stats(counts, movies))
-    keep(
-        "genre_year_trends",
-        genres.genre_year_trends(counts, movies, t.first_year, t.last_year),
-    )
-    stats = keep("movie_stats", movie_ops.movie_stats(counts, movies, t.min_ratings))
-    keep("movie_bayesian", movie_ops.movie_bayesian(stats, counts, t.min_votes))
-    keep("hidden_gems", movie_ops.hidden_gems(stats, t.gems_min_avg, t.gems_lo, t.gems_hi))
-    keep("decade_quality", movie_ops.decade_quality(stats, t.first_decade, t.last_decade))
 
-    keep("yearly_trends", timeline.yearly_trends(ratings, t.first_year, t.last_year))
-    keep("hourly_activity", timeline.hourly_activity(ratings))
-    keep("user_segments", user_ops.user_segments(keep("user_activity", user_ops.user_activity(ratings))))
+    def movie_marts() -> None:
+        stats = keep("movie_stats", movie_ops.movie_stats(counts, movies, t.min_ratings))
+        keep("movie_bayesian", movie_ops.movie_bayesian(stats, counts, t.min_votes))
+        keep("hidden_gems", movie_ops.hidden_gems(stats, t.gems_min_avg, t.gems_lo, t.gems_hi))
+        keep("decade_quality", movie_ops.decade_quality(stats, t.first_decade, t.last_decade))
+
+    def genre_marts() -> None:
+        keep("genre_stats", genres.genre_stats(counts, movies))
+        trends = genres.genre_year_trends(counts, movies, t.first_year, t.last_year)
+        keep("genre_year_trends", trends)
 
-    keep("top_tags", tagging.top_tags(tags, t.min_tag_count))
-    keep("movie_tag_richness", tagging.movie_tag_richness(tags, movies))
+    def time_marts() -> None:
+        keep("rating_distribution", timeline.rating_distribution(counts))
+        trends = timeline.yearly_trends(ratings, t.first_year, t.last_year, counts)
+        keep("yearly_trends", trends)
+        keep("hourly_activity", timeline.hourly_activity(ratings))
+
+    def user_marts() -> None:
+        users = keep("user_activity", user_ops.user_activity(ratings))
+        keep("user_segments", user_ops.user_segments(users))
+
+    def tag_marts() -> None:
+        keep("top_tags", tagging.top_tags(tags, t.min_tag_count))
+        keep("movie_tag_richness", tagging.movie_tag_richness(tags, movies))
+
+    _side_by_side(user_marts, movie_marts, genre_marts, time_marts, tag_marts)
+
+
+def _side_by_side(*jobs: Callable[[], None]) -> None:
+    """Submit independent jobs together: the tail of one leaves its slots to the next."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for running in [pool.submit(job) for job in jobs]:
+            running.result()
 
 
 def run_all(
@@ -125,8 +150,9 @@ def run_all(
     limits: Thresholds = Thresholds(),
 ) -> None:
     """Write every mart of ``MARTS`` below ``root``."""
-    write_reports(raw, root)
-    write_clean_tables(raw, root)
+    _side_by_side(
+        lambda: write_clean_tables(raw, root), lambda: write_reports(spark, raw, root)
+    )
     write_analytics(spark, root, limits)
 
 

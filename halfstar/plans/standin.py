@@ -23,9 +23,9 @@ def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(o_custkey AS INT) AS user_id",
         "CAST(l_partkey AS INT) AS movie_id",
         """CAST(CASE WHEN (l_orderkey + l_linenumber) % 997 = 0 THEN NULL
-                     WHEN (l_orderkey + l_linenumber) % 499 = 1 THEN 5.5
-                     ELSE 0.5 * greatest(1, least(10, 1 + l_partkey % 8
-                          + CAST(l_quantity AS INT) % 5 + o_custkey % 5 - 2))
+                     WHEN (l_orderkey + l_linenumber) % 499 = 1 THEN 5.5D
+                     ELSE greatest(1, least(10, 1 + l_partkey % 8
+                          + CAST(l_quantity AS INT) % 5 + o_custkey % 5 - 2)) / 2
                 END AS FLOAT) AS rating""",
         """CAST(datediff(l_shipdate, DATE'1970-01-01') AS BIGINT) * 86400
            + (l_orderkey * 3607 + l_linenumber * 977) % 86400 AS timestamp""",

@@ -1,0 +1,159 @@
+"""The Parquet store and the whole job."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import frames
+from compare import sorted_rows
+from halfstar.operators import cleaning, genres, movies, quality, tagging, timeline, users
+from halfstar.plans import pipeline, standin
+from halfstar.sources import delimited, store
+from halfstar.sources.scratch import new_scratch_dir
+
+SF_DIR = "/root/testdata/sf0.001"
+LIMITS = pipeline.Thresholds(min_ratings=20, min_votes=50, min_tag_count=3, gems_lo=20, gems_hi=40)
+
+
+def same(a, b):
+    return sorted_rows(a.toArrow()) == sorted_rows(b.select(a.columns).toArrow())
+
+
+@pytest.fixture(scope="module")
+def job(spark, tmp_path_factory):
+    """Source CSV files and the marts made from them."""
+    source, root = (str(tmp_path_factory.mktemp(d)) for d in ("csv", "marts"))
+    for table, build in standin.RAW.items():
+        delimited.write_source(build(spark, SF_DIR), source, table)
+    pipeline.run_from_csv(spark, source, root, LIMITS)
+    return source, root
+
+
+def test_every_mart_is_stored(job):
+    assert sorted(os.listdir(job[1])) == sorted(pipeline.MARTS)
+
+
+def test_stored_marts_equal_the_operators(spark, job):
+    source, root = job
+    raw = pipeline.read_sources(spark, source)
+    ratings = cleaning.clean_ratings(raw["ratings"])
+    listed = cleaning.clean_movies(raw["movies"])
+    tags = cleaning.clean_tags(raw["tags"])
+    stats = movies.movie_stats(ratings, listed, 20)
+    people = users.user_activity(ratings)
+    expected = {
+        "quality_report": quality.quality_reports({t: raw[t] for t in ("ratings", "movies", "tags")}),
+        "table_row_counts": quality.table_row_counts(raw),
+        "ratings": ratings,
+        "movies": listed,
+        "rating_distribution": timeline.rating_distribution(ratings),
+        "yearly_trends": timeline.yearly_trends(ratings),
+        "hourly_activity": timeline.hourly_activity(ratings),
+        "user_activity": people,
+        "user_segments": users.user_segments(people),
+        "genre_stats": genres.genre_stats(ratings, listed),
+        "genre_year_trends": genres.genre_year_trends(ratings, listed),
+        "movie_stats": stats,
+        "movie_bayesian": movies.movie_bayesian(stats, ratings, 50),
+        "hidden_gems": movies.hidden_gems(stats, 4.0, 20, 40),
+        "decade_quality": movies.decade_quality(stats),
+        "top_tags": tagging.top_tags(tags, 3),
+        "movie_tag_richness": tagging.movie_tag_richness(tags, listed),
+    }
+    for name, df in expected.items():
+        stored = store.read_mart(spark, root, name)
+        assert sorted(stored.columns) == sorted(df.columns), name
+        assert stored.count() > 0, name
+        assert same(df, stored), name
+    assert same(tags, store.read_tags(spark, root))
+
+
+def test_year_is_the_last_column_and_an_integer(spark, job):
+    stored = store.read_mart(spark, job[1], "ratings")
+    assert stored.dtypes[-1] == ("year", "int")
+
+
+def test_files_are_snappy_and_few(job):
+    for name in ("ratings", "tags"):
+        folders = [f for f in os.listdir(f"{job[1]}/{name}") if "=" in f]
+        files = [
+            f for d in folders for f in os.listdir(f"{job[1]}/{name}/{d}") if f.endswith(".parquet")
+        ]
+        assert len(files) == len(folders)
+        assert all(".snappy." in f for f in files)
+
+
+def test_tags_lie_in_their_bucket_sorted_by_movie(spark, job):
+    stored = store.read_mart(spark, job[1], "tags")
+    wrong = stored.where(F.col("tag_bucket") != store.tag_bucket(F.col("movie_id")))
+    assert wrong.count() == 0
+    for folder in [f for f in os.listdir(f"{job[1]}/tags") if "=" in f]:
+        ids = [r.movie_id for r in spark.read.parquet(f"{job[1]}/tags/{folder}").collect()]
+        assert ids == sorted(ids)
+
+
+def test_lookup_finds_all_tags_of_a_movie(spark, job):
+    tags = store.read_tags(spark, job[1])
+    for movie in (0, 17, 199, 100000):
+        assert same(tags.where(F.col("movie_id") == movie), store.tags_for_movie(spark, job[1], movie))
+
+
+def test_other_bucket_numbers(spark, tmp_path):
+    tags = cleaning.clean_tags(standin.tags_raw(spark, SF_DIR))
+    store.write_tags(tags, str(tmp_path), buckets=3)
+    found = store.tags_for_movie(spark, str(tmp_path), 17, buckets=3)
+    assert same(tags.where("movie_id = 17"), found)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_hot_year_is_split_between_tasks(spark, tmp_path, adaptive):
+    ratings = cleaning.clean_ratings(frames.skewed_ratings(spark, 20000)).repartition(4)
+    hot = ratings.withColumn("year", F.when(F.col("year") < 2004, 2000).otherwise(F.col("year")))
+    settings = {
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        store.write_ratings(hot, str(tmp_path))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [f for f in os.listdir(tmp_path / "ratings/year=2000") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert same(hot, store.read_mart(spark, str(tmp_path), "ratings"))
+
+
+def test_unknown_years_are_kept(spark, tmp_path):
+    raw = frames.ratings(spark, [(1, 1, 3.0, None), (2, 1, 4.0, 0)])
+    store.write_ratings(cleaning.clean_ratings(raw), str(tmp_path))
+    rows = store.read_mart(spark, str(tmp_path), "ratings").orderBy("user_id").collect()
+    assert [r.year for r in rows] == [None, 1970]
+
+
+def test_rewriting_a_mart_replaces_it(spark, tmp_path):
+    for n in (5, 3):
+        store.write_mart(spark.range(n), str(tmp_path), "numbers")
+    assert store.read_mart(spark, str(tmp_path), "numbers").count() == 3
+
+
+class Session:
+    """Stands for a session with some settings."""
+
+    def __init__(self, **settings):
+        self.conf = {"spark." + k.replace("_", "."): v for k, v in settings.items()}
+
+
+def test_scratch_folders_lie_in_the_shared_folder():
+    session = Session(master="spark://host:7077", checkpoint_dir="hdfs://shared/")
+    first, second = (new_scratch_dir(session, "x") for _ in range(2))
+    assert first != second and first.startswith("hdfs://shared/halfstar-x-")
+
+
+def test_only_a_local_session_may_use_a_local_folder():
+    assert os.path.isdir(new_scratch_dir(Session(master="local[2]"), "x"))
+    with pytest.raises(ValueError):
+        new_scratch_dir(Session(master="spark://host:7077"), "x")
