@@ -50,7 +50,8 @@ def sample_stddev() -> Column:
 def with_running_share(counts: DataFrame, key: str) -> DataFrame:
     """Add ``upto``, ratings of the key up to this value, and ``total``, all of them.
 
-    ``counts`` has one row per (key, rating), so a window holds few rows.
+    ``counts`` has one row per (key, rating). A window is as long as the distinct
+    ratings of its key: ten for half stars, and bounded by the FLOAT type for any.
     """
     per_key = Window.partitionBy(key)
     ascending = per_key.orderBy("rating").rowsBetween(

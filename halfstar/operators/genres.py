@@ -1,4 +1,9 @@
-"""Results per genre. A rating counts once for every genre of its movie."""
+"""Results per genre. A rating counts once for every genre of its movie.
+
+Ratings are summed per movie before they meet the genres. The multiplication by
+genres happens on rows as few as the movies, and should the movies be too many
+to broadcast, the join shuffles sums and not a popular movie's ratings.
+"""
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,25 +15,20 @@ def movie_genres(movies: DataFrame) -> DataFrame:
     return movies.select("movie_id", F.explode("genre_array").alias("genre"))
 
 
-def _with_genre(df: DataFrame, movies: DataFrame) -> DataFrame:
-    """Repeat each row of ``df`` for every genre entry of its movie.
+def _with_genre(sums: DataFrame, movies: DataFrame) -> DataFrame:
+    """Repeat each row of ``sums`` for every genre entry of its movie.
 
-    The list of genres is joined first and exploded after, so a join that has to
-    shuffle moves one row per movie and not one per entry.
+    The list of genres is joined first and exploded after, so that a shuffled
+    join moves one row per movie and not one per entry.
     """
-    wide = df.join(movies.select("movie_id", "genre_array"), "movie_id")
+    wide = sums.join(movies.select("movie_id", "genre_array"), "movie_id")
     return wide.withColumn("genre", F.explode("genre_array")).where(
         F.col("genre") != X.NO_GENRE
     )
 
 
 def genre_stats(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Volume, mean, deviation and number of rated movies per genre.
-
-    Ratings are summed per movie before they meet the genres: the multiplication
-    by genres, and the distinct count of movies, happen on rows as few as the
-    movies.
-    """
+    """Volume, mean, deviation and number of rated movies per genre."""
     return (
         _with_genre(V.rating_sums(ratings, "movie_id"), movies)
         .groupBy("genre")
@@ -46,16 +46,16 @@ def genre_stats(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 def genre_year_trends(
     ratings: DataFrame, movies: DataFrame, first: int = 1995, last: int = 2023
 ) -> DataFrame:
-    """Volume and mean per genre and year of rating.
-
-    With movies small enough to be broadcast the ratings are not shuffled at all:
-    each task reduces its own to (genre, year). With more movies than that, pass
-    counted ratings, so that the join shuffles counts.
-    """
+    """Volume and mean per genre and year of rating."""
     in_range = ratings.where(F.col("year").between(first, last))
-    return V.rating_sums(_with_genre(in_range, movies), "genre", "year").select(
-        "genre",
-        "year",
-        F.col("n").alias("rating_count"),
-        F.round(V.mean(), 3).alias("avg_rating"),
+    return (
+        _with_genre(V.rating_sums(in_range, "movie_id", "year"), movies)
+        .groupBy("genre", "year")
+        .agg(*V.merge_sums("n", "s"))
+        .select(
+            "genre",
+            "year",
+            F.col("n").alias("rating_count"),
+            F.round(V.mean(), 3).alias("avg_rating"),
+        )
     )

@@ -95,9 +95,11 @@ def movie_ranking(
     """``movie_stats`` with Bayesian averages, from a single scan of the ratings.
 
     The statistics and C read the same (movie, value) counts, so the plan runs
-    their shuffle once and reuses it.
+    their shuffle once and reuses it. That needs two identical branches: the join
+    with movies would add the test for NULL to only one of them.
     """
-    counts = V.count_ratings(ratings, "movie_id", "rating")
+    known = ratings.where(F.col("movie_id").isNotNull())
+    counts = V.count_ratings(known, "movie_id", "rating")
     stats = _stats_of_counts(counts, movies, min_ratings)
     return movie_bayesian(stats, counts, min_votes)
 

@@ -88,7 +88,7 @@ def test_tags_lie_in_their_bucket_sorted_by_movie(spark, job):
     stored = store.read_mart(spark, job[1], "tags")
     wrong = stored.where(F.col("tag_bucket") != store.tag_bucket(F.col("movie_id")))
     assert wrong.count() == 0
-    for folder in [f for f in os.listdir(f"{job[1]}/tags") if "=" in f]:
+    for folder in [f for f in sorted(os.listdir(f"{job[1]}/tags")) if "=" in f][:8]:
         ids = [r.movie_id for r in spark.read.parquet(f"{job[1]}/tags/{folder}").collect()]
         assert ids == sorted(ids)
 
