@@ -11,6 +11,18 @@ LABELS_LEFT_CLOSED = ("Generous (≥4.0)", "Moderate (3–4)", "Harsh (<3.0)")
 LABELS_RIGHT_CLOSED = ("Generous (≥4)", "Moderate (3–4)", "Harsh (<3)")
 
 
+# Seconds either side of 1970 that fit a timestamp, which counts microseconds in 64 bits.
+EPOCH_LIMIT = (2**63 - 1) // 1_000_000
+
+
+def storable_epoch(seconds: Column) -> Column:
+    """Epoch seconds, or NULL where no timestamp could hold them.
+
+    A stray value in microseconds must not fail a job over all the others.
+    """
+    return F.when(seconds.between(-EPOCH_LIMIT, EPOCH_LIMIT), seconds)
+
+
 def utc_from_epoch(seconds: Column) -> Column:
     """Epoch seconds as a UTC timestamp without zone, whatever the session zone is."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -18,7 +18,7 @@ def clean_ratings(raw: DataFrame, low: float = 0.5, high: float = 5.0) -> DataFr
     The parts come from the epoch itself, so a query that only groups by year or
     hour never builds the timestamp.
     """
-    seconds = F.col("timestamp")
+    seconds = X.storable_epoch(F.col("timestamp"))
     day = X.utc_date(seconds)
     return (
         _complete(raw, "user_id", "movie_id")
@@ -59,6 +59,6 @@ def clean_tags(raw: DataFrame) -> DataFrame:
             "movie_id",
             "tag",
             F.lower(bare).alias("tag_lower"),
-            X.utc_from_epoch(F.col("timestamp")).alias("tagged_at"),
+            X.utc_from_epoch(X.storable_epoch(F.col("timestamp"))).alias("tagged_at"),
         )
     )

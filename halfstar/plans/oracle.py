@@ -186,6 +186,9 @@ SELECTS = {
     "rating_median": """
         SELECT movie_id, quantile_disc(rating, 0.5) AS median_rating
         FROM ratings GROUP BY movie_id""",
+    "rating_median_approx": """
+        SELECT movie_id, quantile_disc(rating, 0.5) AS median_rating
+        FROM ratings GROUP BY movie_id""",
     "movie_stats": f"SELECT {_STATS_COLUMNS} FROM movie_stats",
     "movie_bayesian": "SELECT * FROM movie_bayesian",
     "hidden_gems": "SELECT * FROM hidden_gems",

@@ -131,6 +131,10 @@ def rating_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movie_ops.rating_median(_ratings(spark, sf_dir))
 
 
+def rating_median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return movie_ops.rating_median(_ratings(spark, sf_dir), exact=False)
+
+
 def movie_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_report_order(_stats(spark, sf_dir), "movie_stats").drop("genre_array")
 
@@ -264,6 +268,7 @@ QUERIES: dict[str, Query] = {
     "movie_genres": movie_genres,
     "global_mean_rating": global_mean_rating,
     "rating_median": rating_median,
+    "rating_median_approx": rating_median_approx,
     "movie_stats": movie_stats,
     "movie_bayesian": movie_bayesian,
     "hidden_gems": hidden_gems,

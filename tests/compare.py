@@ -25,7 +25,7 @@ def sorted_rows(table: pa.Table):
 
 
 def assert_same(spark_df, connection, sql):
-    expected = connection.execute(sql).to_arrow_table()
+    expected = connection.sql(sql).to_arrow_table()
     actual = spark_df.toArrow()
     names, rows = sorted_rows(actual)
     expected_names, expected_rows = sorted_rows(expected)

@@ -83,6 +83,18 @@ def test_time_parts_are_utc_in_any_session_zone(spark, zone):
     assert rows[2].rated_at == datetime.datetime(1969, 12, 31, 23, 59, 59)
 
 
+@pytest.mark.parametrize("seconds", [1_700_000_000_000_000, 2**63 - 1, -(2**63)])
+def test_a_time_beyond_timestamps_is_null(spark, seconds):
+    row = cleaning.clean_ratings(frames.ratings(spark, [(1, 1, 3.0, seconds)])).first()
+    assert (row.rating, row.rated_at, row.year, row.month, row.hour) == (3.0, None, None, None, None)
+    assert cleaning.clean_tags(frames.tags(spark, [(1, 1, "a", seconds)])).first().tagged_at is None
+
+
+def test_a_time_in_milliseconds_does_not_fail(spark):
+    raw = frames.ratings(spark, [(1, 1, 3.0, 1_700_000_000_000)])
+    assert cleaning.clean_ratings(raw).select("year", "hour").first() == (55840, 22)
+
+
 def test_cleaned_schemas(spark):
     types = dict(cleaning.clean_ratings(frames.ratings(spark, [])).dtypes)
     assert types == {

@@ -6,12 +6,12 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import assert_same, duckdb_on
 
 SQL = oracle_sql()
-FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
+SF_DIR = "/root/testdata/sf0.01"
 
 
-@pytest.fixture(scope="module", params=FOLDERS)
-def folder(request):
-    return request.param, duckdb_on(request.param)
+@pytest.fixture(scope="module")
+def connection():
+    return duckdb_on(SF_DIR)
 
 
 def test_every_query_has_sql():
@@ -19,9 +19,8 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", list(queries()))
-def test_query_equals_sql(spark, folder, name):
-    sf_dir, connection = folder
-    assert_same(queries()[name](spark, sf_dir), connection, SQL[name])
+def test_query_equals_sql(spark, connection, name):
+    assert_same(queries()[name](spark, SF_DIR), connection, SQL[name])
 
 
 def test_entry_returns_fifteen_movies(spark):
