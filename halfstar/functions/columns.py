@@ -15,23 +15,20 @@ LABELS_RIGHT_CLOSED = ("Generous (≥4)", "Moderate (3–4)", "Harsh (<3)")
 EPOCH_LIMIT = (2**63 - 1) // 1_000_000
 
 
-def storable_epoch(seconds: Column) -> Column:
-    """Epoch seconds, or NULL where no timestamp could hold them.
+def utc_from_epoch(seconds: Column) -> Column:
+    """Epoch seconds as a UTC timestamp without zone, whatever the session zone is.
 
-    A stray value in microseconds must not fail a job over all the others.
+    NULL where no timestamp could hold them: a stray value in microseconds must
+    not fail a job over all the others.
     """
-    return F.when(seconds.between(-EPOCH_LIMIT, EPOCH_LIMIT), seconds)
-
-
-def utc_from_epoch(seconds: Column) -> Column:
-    """Epoch seconds as a UTC timestamp without zone, whatever the session zone is."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("SECOND", seconds, epoch)
+    storable = seconds.between(-EPOCH_LIMIT, EPOCH_LIMIT)
+    return F.when(storable, F.timestamp_add("SECOND", seconds, epoch))
 
 
 def utc_date(seconds: Column) -> Column:
-    """UTC calendar day of epoch seconds, by integer arithmetic alone."""
-    return F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
+    """UTC calendar day of epoch seconds, by integer arithmetic; NULL beyond all dates."""
+    return F.date_from_unix_date(F.floor(seconds / 86400).try_cast("int"))
 
 
 def utc_hour(seconds: Column) -> Column:

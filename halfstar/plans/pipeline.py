@@ -101,7 +101,7 @@ def write_analytics(
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         store.write_mart(df, root, name)
-        return store.read_mart(spark, root, name)
+        return store.read_mart(spark, root, name, df.schema)
 
     ratings = store.read_mart(spark, root, "ratings")
     movies = store.read_mart(spark, root, "movies")

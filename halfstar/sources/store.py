@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 TAG_BUCKETS = 64
 
@@ -16,8 +17,12 @@ def write_mart(
     )
 
 
-def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+def read_mart(
+    spark: SparkSession, root: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    """A stored mart; with its ``schema`` given, no file is opened to infer it."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root}/{name}")
 
 
 def gather(df: DataFrame, column: str) -> DataFrame:
