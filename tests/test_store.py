@@ -143,6 +143,10 @@ def test_rewriting_a_mart_replaces_it(spark, tmp_path):
 class Session:
     """Stands for a session with some settings."""
 
+    class sparkContext:
+        applicationId = "app-1"
+        getCheckpointDir = staticmethod(lambda: None)
+
     def __init__(self, **settings):
         self.conf = {"spark." + k.replace("_", "."): v for k, v in settings.items()}
 
@@ -150,10 +154,11 @@ class Session:
 def test_scratch_folders_lie_in_the_shared_folder():
     session = Session(master="spark://host:7077", checkpoint_dir="hdfs://shared/")
     first, second = (new_scratch_dir(session, "x") for _ in range(2))
-    assert first != second and first.startswith("hdfs://shared/halfstar-x-")
+    assert first != second and first.startswith("hdfs://shared/halfstar-app-1/x-")
+    assert new_scratch_dir(session, "x", "hdfs://other/").startswith("hdfs://other/halfstar-app-1/x-")
 
 
-def test_only_a_local_session_may_use_a_local_folder():
-    assert os.path.isdir(new_scratch_dir(Session(master="local[2]"), "x"))
+def test_only_a_local_session_may_do_without_a_shared_folder(spark):
+    assert new_scratch_dir(spark, "x").startswith("file:///")
     with pytest.raises(ValueError):
         new_scratch_dir(Session(master="spark://host:7077"), "x")
