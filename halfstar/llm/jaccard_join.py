@@ -187,7 +187,7 @@ def _link_blocks(placed: DataFrame, width: int, percent: int) -> DataFrame:
         if pending:
             yield from _linked(pending, width, percent)
 
-    n = 4 * partitions(placed.sparkSession)
+    n = partitions(placed.sparkSession)
     return (
         placed.repartition(n, "cluster", "block")
         .sortWithinPartitions("cluster", "block")
@@ -267,8 +267,8 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
 def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between the sets of each cluster, enough of them to connect what is connected.
 
-    A cluster that fits one block is done at once. A larger one is dealt to blocks by a hash; after each
-    block one set stands for each component found in it, these are joined in the same way, and only
+    A cluster that fits one block is done at once. A larger one is dealt to blocks by a hash; then
+    one set stands for each component found in a block, these are joined in the same way, and only
     where a cluster is still not in one piece are pairs of blocks traversed, passing over sets that are linked already.
     """
     sizes = stored(
@@ -280,28 +280,27 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
         "sizes",
     )
     block = F.pmod(F.xxhash64("set_id", F.lit("block")), "blocks")
-    placed = stored(members.join(sizes, "cluster").withColumn("block", block), "placed")
     texts = docs.where("doc_id is not null and text is not null")
-
-    def linked(rows: DataFrame) -> DataFrame:
-        return stored(_link_blocks(rows.join(texts, "doc_id"), width, percent), "block_links")
-
-    alone = {"side": F.lit(0), "part": F.lit(0).cast("long")}
-    links = linked(placed.withColumns(alone))
+    placed = members.join(sizes, "cluster").withColumn("block", block).withColumns({"side": F.lit(0), "part": F.lit(0).cast("long")})
+    placed = stored(placed.join(texts, "doc_id"), "placed")  # the texts of candidates, moved once
+    links = stored(_link_blocks(placed, width, percent), "block_links")
     large = placed.where("blocks > 1")
     if large.isEmpty():
         return links
-    for _ in range(2):
-        parts = _parts(large, links)
-        heads = parts.where("set_id = part").withColumn("block", F.pmod(F.xxhash64("set_id", F.lit(_)), "blocks"))
-        fewer = heads.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_SETS)).cast("long").alias("heads"), F.count("*").alias("pieces"))
-        heads = heads.join(stored(fewer, "heads"), "cluster").where("pieces > 1")
-        heads = stored(heads.withColumn("block", F.pmod("block", "heads")), "heads")
-        if heads.isEmpty():
-            return links
-        links = links.union(linked(heads.drop("part").withColumns(alone)))
-    parts = _parts(large, links)
-    broken = stored(parts.groupBy("cluster").agg(F.countDistinct("part").alias("pieces")).where("pieces > 1"), "broken")
+    large = stored(large.drop("side", "part"), "large")
+    parts = _parts(large.drop("text"), links)
+    heads = parts.where("set_id = part").withColumn("block", F.pmod(F.xxhash64("set_id", F.lit("head")), "blocks"))
+    pieces = heads.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_SETS)).cast("long").alias("heads"), F.count("*").alias("pieces"))
+    heads = stored(heads.join(stored(pieces, "pieces"), "cluster").where("pieces > 1").withColumn("block", F.pmod("block", "heads")), "heads")
+    if heads.isEmpty():
+        return links
+    texts = large.select("set_id", "doc_id", "text")
+    rows = heads.select("cluster", "block", F.lit(0).alias("side"), F.lit(0).cast("long").alias("part"), "set_id", "doc_id")
+    links = links.union(stored(_link_blocks(rows.join(texts, ["set_id", "doc_id"]), width, percent), "head_links"))
+    parts = _parts(large.drop("text"), links)
+    broken = stored(parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high"), "broken")
+    if broken.isEmpty():
+        return links
     # block pairs, each named by the pair: every set goes to the pairs of its block with all others
     rows = parts.join(broken, "cluster").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.where("other <> block").select(
@@ -312,7 +311,7 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
         "set_id",
         "doc_id",
     )
-    return links.union(linked(rows))
+    return links.union(stored(_link_blocks(rows.join(texts, ["set_id", "doc_id"]), width, percent), "pair_links"))
 
 
 def _parts(placed: DataFrame, links: DataFrame) -> DataFrame:

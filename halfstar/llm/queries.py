@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, jaccard_join, toxicity
+from . import bpe, chat, decontamination, embedding_dedup, jaccard_join, token_records, toxicity, url_rules, warc
+from .tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Id that ends a document in token files.
+END_ID = 2
+#: Host rules: host, path, action.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
 #: A document counts as toxic from this score on.
 TOXIC_FROM = 0.3
 
@@ -59,11 +69,59 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(read(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.read_archives(files).drop("url")
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    index = token_records.write_records(read(spark, sf_dir, "documents"), tokenizer, END_ID)
+    return token_records.read_records(index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.range(1).select(F.inline(F.array([F.struct(*(F.lit(v).alias(n) for n, v in zip(("host", "path", "action"), r, strict=True))) for r in URL_RULES])))
+    return url_rules.judge(read(spark, sf_dir, "pages"), rules)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"select * from values (-7L, 0L, 'user', '{probe}'), (-7L, 1L, 'assistant', '{probe}') as t(conv_id, turn, role, text)")
+    chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    examples = stored(chat.expand(chats), "chat_examples")
+    turns = chat.turns_of(F.col("text"))
+    whole = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    parsed = examples.select(
+        "conv_id",
+        F.when(F.col("last"), F.size(turns)).alias("n_turns"),
+        F.when(F.col("last"), F.sha2(whole, 256)).alias("turns_sha256"),
+        F.struct("example", chat.loss_text(F.col("text"), F.col("loss_start"), F.col("loss_chars")).alias("loss")).alias("part"),
+        F.length("text").alias("chars"),
+    )
+    loss = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["loss"]), "")
+    return (
+        parsed.groupBy("conv_id")
+        .agg(F.max("n_turns").cast("long").alias("n_turns"), F.max("turns_sha256").alias("turns_sha256"), loss.alias("loss"), F.sum("chars").alias("formatted_chars"))
+        .select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op3_warc": op3_warc,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_token_records": op5_token_records,
     "op6_toxicity": op6_toxicity,
+    "op7_url_filters": op7_url_filters,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 #: DuckDB statements, where SQL can express a query.

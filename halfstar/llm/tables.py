@@ -53,7 +53,7 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether each node hangs under one node only, which hangs under none."""
-    if not edges.groupBy("a").count().where("count > 1").isEmpty():
-        return False
-    centers = edges.select(F.col("b").alias("a")).distinct()
-    return edges.join(centers, "a", "left_semi").isEmpty()
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up + down > 1").isEmpty()
