@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, embedding_dedup, jaccard_join, token_records, toxicity, url_rules, warc
+from . import bloom_lm, bpe, chat, decontamination, embedding_dedup, jaccard_join, token_records, toxicity, url_rules, warc
 from .tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel
     return toxicity.fit(docs, labels.where(fold(4) != 2))
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = bloom_lm.score(read(spark, sf_dir, "documents"), train=fold(5) != 1)
+    return scored.withColumn("held_out", fold(5) == 1).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -113,6 +118,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
     "op4_ngram_jaccard": op4_ngram_jaccard,
