@@ -30,7 +30,7 @@ from .words import grouped, mix, salted, word_hashes
 #: Bytes of the filter, segments that it is built in, probes for each entry.
 FILTER_BYTES, SEGMENT_BITS, PROBES = 1 << 26, 12, 3
 #: Base of the logarithms that counts are quantised by, and the weight b of pairs.
-LOG_BASE, PAIR_WEIGHT = 1.5, 0.2
+LOG_BASE, PAIR_WEIGHT = 1.5, 0.3
 #: Most frequent words whose exact counts are broadcast; the others are joined.
 FREQUENT = 1 << 18
 #: Bytes of text whose n-grams are counted together.
