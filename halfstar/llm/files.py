@@ -19,12 +19,12 @@ def new_file(folder: str, suffix: str) -> tuple[str, pa.NativeFile]:
     address = f"{folder}/{uuid.uuid4().hex}{suffix}"
     system, path = fs.FileSystem.from_uri(address)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return address, system.open_output_stream(path)
+    return address, system.open_output_stream(path, compression=None)  # not by the suffix
 
 
 def open_stream(address: str) -> pa.NativeFile:
     system, path = fs.FileSystem.from_uri(address)
-    return system.open_input_stream(path)
+    return system.open_input_stream(path, compression=None)
 
 
 def open_random(address: str) -> pa.NativeFile:

@@ -1,0 +1,87 @@
+"""The pipeline's stages, each against brute force on its own input."""
+
+import hashlib
+import re
+
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from halfstar.llm import queries, toxicity
+
+SMALL = "/root/testdata/sf0.001"
+_LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(_LOWER))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What goes into each stage and comes out of the last."""
+    tables = [spark.read.parquet(f"{SMALL}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        tables.append(corpus_pipeline.stored(stage(spark, tables[-1], SMALL), f"test-{name}"))
+    return tables
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_columns_are_those_of_documents(stages):
+    assert all(t.columns == stages[0].columns and t.schema == stages[0].schema for t in stages[1:-1])
+
+
+def test_toxic_documents_go(spark, stages):
+    before, after = set(ids(stages[0])), set(ids(stages[1]))
+    model = queries.toxicity_model(stages[0], spark.read.parquet(f"{SMALL}/labels.parquet"))
+    scores = {r.doc_id: r.score for r in toxicity.score(stages[0], model).collect()}
+    assert after < before and after == {i for i in before if scores[i] < queries.TOXIC_FROM}
+
+
+def test_one_of_each_group_stays(stages):
+    rows = sorted((r.doc_id, shingles(r.text)) for r in stages[1].collect())
+    up = {i: i for i, _ in rows}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for n, (i, a) in enumerate(rows):
+        for j, b in rows[:n]:
+            common = len(a & b)
+            if common and 100 * common >= 80 * (len(a) + len(b) - common):
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    assert ids(stages[2]) == [i for i, _ in rows if root(i) == i]
+
+
+def test_documents_with_benchmark_items_go(spark, stages):
+    items = [shingles(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if len((r.text or "").split()) >= 5]
+    clean = [r.doc_id for r in stages[2].collect() if not any(100 * len(i & shingles(r.text)) >= 80 * len(i) for i in items)]
+    assert ids(stages[3]) == sorted(clean) and len(clean) < stages[2].count()
+
+
+def test_tokens_of_what_is_left(stages):
+    words = queries.vocabulary()
+    library = tiktoken.Encoding("own", pat_str=words.pattern, mergeable_ranks=words.ranks, special_tokens={})
+    texts = {r.doc_id: r.text for r in stages[3].collect()}
+    rows = stages[4].collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert list(r.ids) == library.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids)
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_odd_rows_do_not_break_a_stage(spark):
+    rows = [(None, None, None, None, None), (None, "some words here", "en", "s", 1), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, " ", None, "s", 1), (3, "word " * 30_000, "en", "s", 5), (4, "word " * 30_000, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{SMALL}/documents.parquet").schema)
+    for df in (docs, docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            df = corpus_pipeline.stored(stage(spark, df, SMALL), f"odd-{name}")
+            if name == "ngram_jaccard":
+                kept = sorted((r.doc_id for r in df.collect()), key=str)
+                assert kept in ([], sorted([None, None, 1, 2, 3], key=str))
