@@ -15,6 +15,11 @@ LABELS_RIGHT_CLOSED = ("Generous (≥4)", "Moderate (3–4)", "Harsh (<3)")
 EPOCH_LIMIT = (2**63 - 1) // 1_000_000
 
 
+def storable(seconds: Column) -> Column:
+    """Whether a timestamp can hold these seconds; time, day and hour are NULL where none can."""
+    return seconds.between(-EPOCH_LIMIT, EPOCH_LIMIT)
+
+
 def utc_from_epoch(seconds: Column) -> Column:
     """Epoch seconds as a UTC timestamp without zone, whatever the session zone is.
 
@@ -22,18 +27,19 @@ def utc_from_epoch(seconds: Column) -> Column:
     not fail a job over all the others.
     """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    storable = seconds.between(-EPOCH_LIMIT, EPOCH_LIMIT)
-    return F.when(storable, F.timestamp_add("SECOND", seconds, epoch))
+    return F.when(storable(seconds), F.timestamp_add("SECOND", seconds, epoch))
 
 
 def utc_date(seconds: Column) -> Column:
-    """UTC calendar day of epoch seconds, by integer arithmetic; NULL beyond all dates."""
-    return F.date_from_unix_date(F.floor(seconds / 86400).try_cast("int"))
+    """UTC calendar day of epoch seconds, by integer arithmetic; NULL beyond all timestamps."""
+    day = F.date_from_unix_date(F.floor(seconds / 86400).try_cast("int"))
+    return F.when(storable(seconds), day)
 
 
 def utc_hour(seconds: Column) -> Column:
     """UTC hour of the day, 0 to 23, of epoch seconds."""
-    return F.floor(F.pmod(seconds, F.lit(86400)) / 3600).cast("int")
+    hour = F.floor(F.pmod(seconds, F.lit(86400)) / 3600).cast("int")
+    return F.when(storable(seconds), hour)
 
 
 def year_in_title(title: Column) -> Column:

@@ -1,7 +1,8 @@
 """Aggregates over ratings that may already be counted.
 
 Every function here takes either cleaned ratings, where a row is one rating, or
-a counted frame, where column ``n`` tells how many ratings a row stands for.
+a counted frame, where a column tells how many ratings a row stands for. The caller
+names that column as ``weight``; no name of a column has a meaning by itself.
 Counting first makes the rows behind a popular movie as few as its distinct
 (year, rating) pairs, so nothing that follows is skewed.
 
@@ -12,18 +13,23 @@ are exact in DOUBLE, so the order in which tasks are merged cannot change them.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def weight(df: DataFrame) -> Column:
-    return F.col("n") if "n" in df.columns else F.lit(1).cast("bigint")
+#: The column of frames made by ``count_ratings`` that tells the number of ratings.
+COUNTED = "n"
 
 
-def count_ratings(df: DataFrame, *keys: str) -> DataFrame:
+def weight_of(weight: str | None) -> Column:
+    """How many ratings a row stands for: one, unless a column tells."""
+    return F.lit(1).cast("bigint") if weight is None else F.col(weight)
+
+
+def count_ratings(df: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
     """Number of ratings ``n`` per distinct value of ``keys``."""
-    return df.groupBy(*keys).agg(F.sum(weight(df)).alias("n"))
+    return df.groupBy(*keys).agg(F.sum(weight_of(weight)).alias(COUNTED))
 
 
-def rating_sums(df: DataFrame, *keys: str) -> DataFrame:
+def rating_sums(df: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
     """Per key: number of ratings ``n``, their sum ``s`` and sum of squares ``q``."""
-    rating, w = F.col("rating").cast("double"), weight(df)
+    rating, w = F.col("rating").cast("double"), weight_of(weight)
     return df.groupBy(*keys).agg(
         F.sum(w).alias("n"),
         F.sum(rating * w).alias("s"),

@@ -8,7 +8,7 @@ from .ordering import top_rows
 
 
 def overview_kpis(
-    stats: DataFrame, users: DataFrame, ratings: DataFrame
+    stats: DataFrame, users: DataFrame, ratings: DataFrame, weight: str | None = None
 ) -> DataFrame:
     """One row of headline numbers.
 
@@ -27,7 +27,7 @@ def overview_kpis(
         "movies_analysed",
         people.select("unique_users").scalar().alias("unique_users"),
         "mean_of_movie_means",
-        global_mean_rating(ratings).scalar().alias("global_mean"),
+        global_mean_rating(ratings, weight).scalar().alias("global_mean"),
     )
 
 
@@ -69,11 +69,20 @@ def gems_explorer(
     lo: int = 100,
     hi: int = 500,
     min_avg: float = 4.0,
-    limit: int = 50,
+    limit: int | None = 50,
 ) -> DataFrame:
-    """Best movies with lo to hi ratings; ``lo`` may lie below the marts' threshold."""
+    """Best movies with lo to hi ratings; ``lo`` may lie below the marts' threshold.
+
+    The table shows ``limit`` of them; None gives all, which the scatter plot and
+    ``gems_count`` are made of.
+    """
     gems = hidden_gems(movie_stats(ratings, movies, lo), min_avg, lo, hi)
-    return top_rows(gems, "hidden_gems", limit)
+    return gems if limit is None else top_rows(gems, "hidden_gems", limit)
+
+
+def gems_count(gems: DataFrame) -> DataFrame:
+    """How many gems there are, as a frame with one row."""
+    return gems.agg(F.count(F.lit(1)).alias("gems"))
 
 
 def tag_coverage(tags: DataFrame, k: int = 25) -> DataFrame:

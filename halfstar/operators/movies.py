@@ -6,14 +6,14 @@ from ..functions import columns as X, weighted as V
 
 
 def movie_stats(
-    ratings: DataFrame, movies: DataFrame, min_ratings: int = 100
+    ratings: DataFrame, movies: DataFrame, min_ratings: int = 100, weight: str | None = None
 ) -> DataFrame:
     """Count, mean, deviation, extremes and exact median of well-supported movies.
 
     Ratings are counted per (movie, value) first. All statistics come from these
     counts, and no task ever sees a single movie's ratings one by one.
     """
-    counts = V.count_ratings(ratings, "movie_id", "rating")
+    counts = V.count_ratings(ratings, "movie_id", "rating", weight=weight)
     return _stats_of_counts(counts, movies, min_ratings)
 
 
@@ -50,18 +50,20 @@ def _stats_of_counts(
 
 
 def rating_median(
-    ratings: DataFrame, key: str = "movie_id", exact: bool = True
+    ratings: DataFrame, key: str = "movie_id", exact: bool = True, weight: str | None = None
 ) -> DataFrame:
     """Lower median of the ratings per key, always a value that occurs.
 
     ``exact=False`` uses the rank-approximate sketch, for values with so many
-    distinct levels that counting them saves nothing.
+    distinct levels that counting them saves nothing; a frame that is counted already is
+    answered exactly. The exact way holds the distinct values of one key in a window: ten
+    for half stars, up to all FLOAT values for others.
     """
-    if not exact:
+    if not exact and weight is None:
         return ratings.groupBy(key).agg(
             F.percentile_approx("rating", 0.5).alias("median_rating")
         )
-    counts = V.count_ratings(ratings, key, "rating")
+    counts = V.count_ratings(ratings, key, "rating", weight=weight)
     return (
         V.with_running_share(counts, key)
         .groupBy(key)
@@ -69,20 +71,20 @@ def rating_median(
     )
 
 
-def global_mean_rating(ratings: DataFrame) -> DataFrame:
+def global_mean_rating(ratings: DataFrame, weight: str | None = None) -> DataFrame:
     """The mean over all ratings, as a frame with one row."""
-    return V.rating_sums(ratings).select(V.mean().alias("c"))
+    return V.rating_sums(ratings, weight=weight).select(V.mean().alias("c"))
 
 
 def movie_bayesian(
-    stats: DataFrame, ratings: DataFrame, min_votes: int = 500
+    stats: DataFrame, ratings: DataFrame, min_votes: int = 500, weight: str | None = None
 ) -> DataFrame:
     """Damp each movie's (rounded) mean towards the global mean C.
 
     ``(C*m + avg*n) / (m + n)`` with m = ``min_votes``. C is a scalar subquery
     over ``ratings``; it never visits the Python driver.
     """
-    c = global_mean_rating(ratings).scalar()
+    c = global_mean_rating(ratings, weight).scalar()
     n, m = F.col("total_ratings"), F.lit(min_votes)
     return stats.withColumn(
         "bayesian_avg", F.round((c * m + F.col("avg_rating") * n) / (m + n), 4)
@@ -90,7 +92,11 @@ def movie_bayesian(
 
 
 def movie_ranking(
-    ratings: DataFrame, movies: DataFrame, min_ratings: int = 100, min_votes: int = 500
+    ratings: DataFrame,
+    movies: DataFrame,
+    min_ratings: int = 100,
+    min_votes: int = 500,
+    weight: str | None = None,
 ) -> DataFrame:
     """``movie_stats`` with Bayesian averages, from a single scan of the ratings.
 
@@ -99,9 +105,9 @@ def movie_ranking(
     with movies would add the test for NULL to only one of them.
     """
     known = ratings.where(F.col("movie_id").isNotNull())
-    counts = V.count_ratings(known, "movie_id", "rating")
+    counts = V.count_ratings(known, "movie_id", "rating", weight=weight)
     stats = _stats_of_counts(counts, movies, min_ratings)
-    return movie_bayesian(stats, counts, min_votes)
+    return movie_bayesian(stats, counts, min_votes, V.COUNTED)
 
 
 def hidden_gems(

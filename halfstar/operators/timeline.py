@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import weighted as V
 
 
-def rating_distribution(ratings: DataFrame) -> DataFrame:
-    return V.count_ratings(ratings, "rating").withColumnRenamed("n", "count")
+def rating_distribution(ratings: DataFrame, weight: str | None = None) -> DataFrame:
+    return V.count_ratings(ratings, "rating", weight=weight).withColumnRenamed("n", "count")
 
 
 def yearly_trends(
@@ -18,43 +18,52 @@ def yearly_trends(
 ) -> DataFrame:
     """Volume, mean, active users and rated movies per year.
 
-    Two distinct counts in one aggregate would triple every rating. Here (year,
-    movie) and (year, user) are reduced apart, each from the columns it needs;
-    the former from ``counts`` if ratings counted per movie, year and value are
-    at hand. ``approx=True`` takes both distinct counts from sketches instead.
+    Two distinct counts in one aggregate would triple every rating. Here a rating becomes two rows,
+    one for its movie and one for its user, which are combined per (year, key) before the
+    shuffle: one pass over the input. With ``counts``, ratings counted per movie, year and
+    value in column ``n``, volume, mean and movies come from these, and only the users from two
+    columns of the ratings. ``approx=True`` takes both distinct counts from sketches.
     """
     in_range = F.col("year").between(first, last)
+    rated = ratings.where(in_range)
     if approx:
-        return (
-            ratings.where(in_range)
-            .groupBy("year")
-            .agg(
-                F.count("rating").alias("total_ratings"),
-                F.round(F.avg("rating"), 3).alias("avg_rating"),
-                F.approx_count_distinct("user_id").alias("active_users"),
-                F.approx_count_distinct("movie_id").alias("movies_rated"),
-            )
+        rating = F.col("rating").cast("double")
+        return rated.groupBy("year").agg(
+            F.count(F.lit(1)).alias("total_ratings"),
+            F.round(F.sum(rating) / F.count(F.lit(1)), 3).alias("avg_rating"),
+            F.approx_count_distinct("user_id").alias("active_users"),
+            F.approx_count_distinct("movie_id").alias("movies_rated"),
+        )
+    year, rating = "year", F.col("rating").cast("double")
+    if counts is None:
+        sides = F.array(
+            F.struct(F.lit(True).alias("movie"), F.col("movie_id").alias("key")),
+            F.struct(F.lit(False).alias("movie"), F.col("user_id").alias("key")),
+        )
+        keys = rated.select(year, rating.alias("rating"), F.inline(sides)).groupBy(year, "movie", "key")
+        per_key = keys.agg(
+            F.count(F.when(F.col("movie"), 1)).alias("n"),
+            F.sum(F.when(F.col("movie"), F.col("rating")).otherwise(0.0)).alias("s"),
+        )
+    else:
+        movies = V.rating_sums(counts.where(in_range), year, "movie_id", weight=V.COUNTED)
+        users = rated.select(year, "user_id").distinct()
+        per_key = movies.select(year, F.lit(True).alias("movie"), F.col("movie_id").alias("key"), "n", "s").union(
+            users.select(year, F.lit(False), "user_id", F.lit(0), F.lit(0.0))
         )
-    per_movie = (
-        V.rating_sums((ratings if counts is None else counts).where(in_range), "year", "movie_id")
-        .select("year", "n", "s", F.lit(1).alias("movies"), F.lit(0).alias("users"))
-    )
-    per_user = (
-        ratings.where(in_range)
-        .select("year", "user_id")
-        .distinct()
-        .select("year", *(F.lit(0).alias(c) for c in ("n", "s", "movies")), F.lit(1).alias("users"))
-    )
     return (
-        per_movie.unionByName(per_user)
-        .groupBy("year")
-        .agg(*V.merge_sums("n", "s", "movies", "users"))
+        per_key.groupBy(year)
+        .agg(
+            *V.merge_sums("n", "s"),
+            F.count(F.when(~F.col("movie"), F.col("key"))).alias("active_users"),
+            F.count(F.when(F.col("movie"), F.col("key"))).alias("movies_rated"),
+        )
         .select(
-            "year",
+            year,
             F.col("n").alias("total_ratings"),
             F.round(V.mean(), 3).alias("avg_rating"),
-            F.col("users").alias("active_users"),
-            F.col("movies").alias("movies_rated"),
+            "active_users",
+            "movies_rated",
         )
     )
 

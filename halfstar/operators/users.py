@@ -8,25 +8,24 @@ from ..functions import columns as X, weighted as V
 def user_activity(ratings: DataFrame) -> DataFrame:
     """Volume, taste and lifespan of each user.
 
-    The distinct count of movies has to shuffle every (user, movie) pair. It does
-    so apart from the other aggregates, which reduce to one row per user and task
-    and would only make the pairs wider. A heavy user's pairs lie in many tasks.
+    Ratings are reduced to one row per (user, movie) first and to one per user then, so a
+    single pass gives all columns and a heavy user's ratings lie in many tasks.
     """
     rating = F.col("rating").cast("double")
-    profile = ratings.groupBy("user_id").agg(
+    pairs = ratings.groupBy("user_id", "movie_id").agg(
         F.count(rating).alias("n"),
         F.sum(rating).alias("s"),
         F.sum(rating * rating).alias("q"),
         F.min("rated_at").alias("first_rating_at"),
         F.max("rated_at").alias("last_rating_at"),
     )
-    breadth = (
-        ratings.select("user_id", "movie_id")
-        .distinct()
-        .groupBy("user_id")
-        .agg(F.count("movie_id").alias("unique_movies_rated"))
+    profile = pairs.groupBy("user_id").agg(
+        *V.merge_sums(),
+        F.count("movie_id").alias("unique_movies_rated"),
+        F.min("first_rating_at").alias("first_rating_at"),
+        F.max("last_rating_at").alias("last_rating_at"),
     )
-    return profile.join(breadth, "user_id", "left").select(
+    return profile.select(
         "user_id",
         F.col("n").alias("total_ratings"),
         F.round(V.mean(), 3).alias("avg_rating_given"),

@@ -30,15 +30,21 @@ VIEWS = {
                ELSE concat(replace(p_name, ' ', '|'), '|', p_type) END AS genres
         FROM part""",
     "tags_raw": """
-        SELECT CAST(user_id AS INT) AS user_id, CAST(event_id % 200 AS INT) AS movie_id,
+        SELECT CAST(user_id AS INT) AS user_id,
+          CAST(CASE WHEN event_id % 4 = 0 THEN event_id % 200 ELSE 1 + event_id // 5 END AS INT)
+            AS movie_id,
           CASE WHEN event_id % 211 = 0 THEN NULL
                WHEN event_id % 101 = 0 THEN '   '
-               WHEN event_id % 3 = 0 THEN upper(concat(event_type, '-', CAST(event_id % 37 AS VARCHAR)))
-               WHEN event_id % 3 = 1 THEN concat(' ', event_type, '-', CAST(event_id % 37 AS VARCHAR), ' ')
-               ELSE concat(event_type, '-', CAST(event_id % 37 AS VARCHAR)) END AS tag,
+               WHEN event_id % 3 = 0 THEN upper(word)
+               WHEN event_id % 3 = 1 THEN concat(' ', word, ' ')
+               ELSE word END AS tag,
           CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', date_trunc('second', ts)) AS BIGINT)
             AS timestamp
-        FROM events""",
+        FROM (SELECT *, CASE WHEN event_id % 10 = 9
+                             THEN concat('rare-', CAST(event_id // 70 AS VARCHAR))
+                             ELSE concat(event_type, '-', CAST(event_id % 31 AS VARCHAR))
+                        END AS word
+              FROM events)""",
     "links_raw": """
         SELECT CAST(p_partkey AS INT) AS movie_id,
           lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS imdb_id,
@@ -176,6 +182,12 @@ SELECTS = {
     "scan_csv_ratings": "SELECT * FROM ratings_raw",
     "scan_csv_tags": "SELECT * FROM tags_raw",
     "scan_csv_links": "SELECT * FROM links_raw",
+    "scan_csv_multiline": """
+        SELECT movie_id, genres,
+          CASE WHEN movie_id % 5 = 0
+               THEN title || chr(10) || '"second" ' || chr(92) || ' line, with a comma'
+               ELSE title END AS title
+        FROM movies_raw""",
     "table_row_counts": "SELECT * FROM table_row_counts",
     "quality_report": "SELECT * FROM quality_report",
     "clean_ratings": "SELECT * FROM ratings",
@@ -199,8 +211,13 @@ SELECTS = {
     "genre_year_trends": "SELECT * FROM genre_year_trends",
     "rating_distribution": "SELECT * FROM rating_distribution",
     "yearly_trends": "SELECT * FROM yearly_trends",
+    "yearly_trends_approx": """
+        SELECT year, total_ratings, avg_rating, true AS users_near, true AS movies_near
+        FROM yearly_trends""",
     "hourly_activity": "SELECT * FROM hourly_activity",
     "top_tags": "SELECT * FROM top_tags",
+    "top_tags_approx": """
+        SELECT tag_lower, tag_count, true AS movies_near, true AS users_near FROM top_tags""",
     "movie_tag_richness": "SELECT * FROM movie_tag_richness",
     "top_movies_by_avg": """
         SELECT clean_title, avg_rating, median_rating, total_ratings, release_year
@@ -214,6 +231,7 @@ SELECTS = {
     "parquet_roundtrip": f"SELECT {_STATS_COLUMNS} FROM movie_stats",
     "ratings_year_slice": "SELECT * FROM ratings WHERE year = 1998",
     "tags_for_movie": "SELECT * FROM tags WHERE movie_id = 17",
+    "tags_for_movie_other_buckets": "SELECT * FROM tags WHERE movie_id = 17",
     "pipeline_mart_rows": " UNION ALL ".join(
         f"SELECT '{mart}' AS table_name, count(*) AS row_count FROM {mart}"
         for mart in (
@@ -246,6 +264,15 @@ SELECTS = {
         FROM all_movie_stats WHERE avg_rating >= 3.5 AND total_ratings BETWEEN 25 AND 40
         ORDER BY avg_rating DESC, clean_title, total_ratings DESC,
           release_year NULLS FIRST, genres NULLS FIRST, median_rating LIMIT 50""",
+    "feed_chosen_genre_trends": """
+        SELECT * FROM genre_year_trends WHERE genre IN
+          (SELECT genre FROM genre_stats ORDER BY total_ratings DESC, genre LIMIT 5)""",
+    "feed_gems_all": """
+        SELECT clean_title, avg_rating, median_rating, total_ratings, genres, release_year
+        FROM all_movie_stats WHERE avg_rating >= 3.5 AND total_ratings BETWEEN 25 AND 40""",
+    "feed_gems_count": """
+        SELECT count(*) AS gems
+        FROM all_movie_stats WHERE avg_rating >= 3.5 AND total_ratings BETWEEN 25 AND 40""",
     "feed_tag_coverage": "SELECT * FROM top_tags ORDER BY tag_count DESC, tag_lower LIMIT 25",
     "feed_hist_ratings_per_user": _histogram("total_ratings", 60),
     "feed_hist_avg_given": _histogram("avg_rating_given", 40),
@@ -259,6 +286,14 @@ SELECTS = {
         WHERE segment IS NOT NULL GROUP BY segment""",
 }
 
+SELECTS |= {
+    f"pipeline_{mart}": SELECTS[mart]
+    for mart in (
+        "movie_stats", "movie_bayesian", "hidden_gems", "genre_stats", "genre_year_trends",
+        "rating_distribution", "yearly_trends", "user_activity", "top_tags",
+    )
+}
+
 
 def _views_used(sql: str) -> list[str]:
     """Views named in ``sql``, directly or through other views, those first that others use."""

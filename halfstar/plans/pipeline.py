@@ -5,13 +5,15 @@ then costs the tasks it ran and not the stages before them, and a later session
 can go on from any stored table.
 """
 
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.weighted import count_ratings
+from ..functions.weighted import COUNTED, count_ratings
 from ..operators import (
     cleaning,
     genres,
@@ -40,6 +42,7 @@ class Thresholds:
     last_year: int = 2023
     first_decade: int = 1900
     last_decade: int = 2020
+    tag_buckets: int = store.TAG_BUCKETS
 
 
 MARTS = (
@@ -65,8 +68,10 @@ MARTS = (
 )
 
 
-def read_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    return {table: read_source(spark, directory, table) for table in SOURCES}
+def read_sources(
+    spark: SparkSession, directory: str, multi_line: bool = False
+) -> dict[str, DataFrame]:
+    return {table: read_source(spark, directory, table, multi_line) for table in SOURCES}
 
 
 def write_reports(spark: SparkSession, raw: dict[str, DataFrame], root: str) -> None:
@@ -83,9 +88,11 @@ def write_reports(spark: SparkSession, raw: dict[str, DataFrame], root: str) ->
     store.write_mart(known.unionByName(links), root, "table_row_counts")
 
 
-def write_clean_tables(raw: dict[str, DataFrame], root: str) -> None:
+def write_clean_tables(
+    raw: dict[str, DataFrame], root: str, limits: Thresholds = Thresholds()
+) -> None:
     store.write_mart(cleaning.clean_movies(raw["movies"]), root, "movies")
-    store.write_tags(cleaning.clean_tags(raw["tags"]), root)
+    store.write_tags(cleaning.clean_tags(raw["tags"]), root, limits.tag_buckets)
     store.write_ratings(cleaning.clean_ratings(raw["ratings"]), root)
 
 
@@ -109,18 +116,18 @@ def write_analytics(
     counts = keep("rating_counts", count_ratings(ratings, "movie_id", "year", "rating"))
 
     def movie_marts() -> None:
-        stats = keep("movie_stats", movie_ops.movie_stats(counts, movies, t.min_ratings))
-        keep("movie_bayesian", movie_ops.movie_bayesian(stats, counts, t.min_votes))
+        stats = keep("movie_stats", movie_ops.movie_stats(counts, movies, t.min_ratings, COUNTED))
+        keep("movie_bayesian", movie_ops.movie_bayesian(stats, counts, t.min_votes, COUNTED))
         keep("hidden_gems", movie_ops.hidden_gems(stats, t.gems_min_avg, t.gems_lo, t.gems_hi))
         keep("decade_quality", movie_ops.decade_quality(stats, t.first_decade, t.last_decade))
 
     def genre_marts() -> None:
-        keep("genre_stats", genres.genre_stats(counts, movies))
-        trends = genres.genre_year_trends(counts, movies, t.first_year, t.last_year)
+        keep("genre_stats", genres.genre_stats(counts, movies, COUNTED))
+        trends = genres.genre_year_trends(counts, movies, t.first_year, t.last_year, COUNTED)
         keep("genre_year_trends", trends)
 
     def time_marts() -> None:
-        keep("rating_distribution", timeline.rating_distribution(counts))
+        keep("rating_distribution", timeline.rating_distribution(counts, COUNTED))
         trends = timeline.yearly_trends(ratings, t.first_year, t.last_year, counts)
         keep("yearly_trends", trends)
         keep("hourly_activity", timeline.hourly_activity(ratings))
@@ -137,10 +144,30 @@ def write_analytics(
 
 
 def _side_by_side(*jobs: Callable[[], None]) -> None:
-    """Submit independent jobs together: the tail of one leaves its slots to the next."""
+    """Run independent jobs together: the tail of one leaves its slots to the next.
+
+    The jobs carry a tag of their own and the caller's local properties. When one of them
+    fails, the Spark jobs of the others are cancelled and its error is raised.
+    """
+    session = SparkSession.active()
+    context, tag = session.sparkContext, f"halfstar-{uuid.uuid4().hex}"
+
+    def tagged(job: Callable[[], None]) -> Callable[[], None]:
+        def run() -> None:
+            context.addJobTag(tag)
+            job()
+
+        return inheritable_thread_target(session)(run)
+
     with ThreadPoolExecutor(len(jobs)) as pool:
-        for running in [pool.submit(job) for job in jobs]:
-            running.result()
+        running = [pool.submit(tagged(job)) for job in jobs]
+        done, others = wait(running, return_when=FIRST_EXCEPTION)
+        failed = [job for job in done if job.exception()]
+        while failed and others:  # a job may be between two Spark jobs
+            context.cancelJobsWithTag(tag)
+            _, others = wait(others, timeout=0.2)
+        for job in failed or running:
+            job.result()
 
 
 def run_all(
@@ -151,13 +178,25 @@ def run_all(
 ) -> None:
     """Write every mart of ``MARTS`` below ``root``."""
     _side_by_side(
-        lambda: write_clean_tables(raw, root), lambda: write_reports(spark, raw, root)
+        lambda: write_clean_tables(raw, root, limits), lambda: write_reports(spark, raw, root)
     )
     write_analytics(spark, root, limits)
 
 
 def run_from_csv(
-    spark: SparkSession, directory: str, root: str, limits: Thresholds = Thresholds()
+    spark: SparkSession,
+    directory: str,
+    root: str,
+    limits: Thresholds = Thresholds(),
+    multi_line: bool = False,
 ) -> None:
-    """``run_all`` on the CSV files of ``directory``."""
-    run_all(spark, read_sources(spark, directory), root, limits)
+    """``run_all`` on the CSV files of ``directory``, which are parsed once.
+
+    The typed rows are stored below ``root`` first; reports and clean tables read them from there.
+    ``multi_line`` is for files with line breaks inside fields.
+    """
+    parsed = read_sources(spark, directory, multi_line)
+    for table, df in parsed.items():
+        store.write_mart(df, f"{root}/raw", table)
+    raw = {t: store.read_mart(spark, f"{root}/raw", t, df.schema) for t, df in parsed.items()}
+    run_all(spark, raw, root, limits)

@@ -55,10 +55,12 @@ def movies_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    word = "concat(event_type, '-', event_id % 37)"
+    word = """CASE WHEN event_id % 10 = 9 THEN concat('rare-', event_id div 70)
+                   ELSE concat(event_type, '-', event_id % 31) END"""
     return _table(spark, sf_dir, "events").selectExpr(
         "CAST(user_id AS INT) AS user_id",
-        "CAST(event_id % 200 AS INT) AS movie_id",
+        """CAST(CASE WHEN event_id % 4 = 0 THEN event_id % 200 ELSE 1 + event_id div 5 END
+                AS INT) AS movie_id""",
         f"""CASE WHEN event_id % 211 = 0 THEN NULL
                  WHEN event_id % 101 = 0 THEN '   '
                  WHEN event_id % 3 = 0 THEN upper({word})

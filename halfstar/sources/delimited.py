@@ -1,4 +1,9 @@
-"""Typed CSV scan, and the writer that produces files the scan reads back unchanged."""
+"""Typed CSV scan, and the writer of files for it.
+
+What is written reads back unchanged but for two things: an empty string comes back as
+NULL, which is what an empty field means here, and values with line breaks need
+``multi_line`` when they are read.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +30,11 @@ def read_csv(
     )
 
 
-def read_source(spark: SparkSession, directory: str, table: str) -> DataFrame:
+def read_source(
+    spark: SparkSession, directory: str, table: str, multi_line: bool = False
+) -> DataFrame:
     """Scan ``<directory>/<table>.csv``, one of ratings, movies, tags or links."""
-    return read_csv(spark, f"{directory}/{table}.csv", SOURCES[table])
+    return read_csv(spark, f"{directory}/{table}.csv", SOURCES[table], multi_line)
 
 
 def write_source(df: DataFrame, directory: str, table: str) -> None:

@@ -25,21 +25,24 @@ def read_mart(
     return reader.parquet(f"{root}/{name}")
 
 
-def gather(df: DataFrame, column: str) -> DataFrame:
+def gather(df: DataFrame, column: str, spread: int | None = None) -> DataFrame:
     """Bring rows of one ``column`` value together, so that each folder gets few files.
 
     A value that outgrows the advisory partition size is split over several
-    tasks: by the adaptive rebalance or, without adaptive execution, by a salt.
+    tasks: by the adaptive rebalance or, without adaptive execution, by a salt of
+    ``spread`` values, as many as there are shuffle partitions unless given.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    conf = df.sparkSession.conf
+    if spread is None and conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", F.col(column))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(16))
+    spread = spread or int(conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
     return df.repartition(F.col(column), salt)
 
 
-def write_ratings(df: DataFrame, root: str) -> None:
+def write_ratings(df: DataFrame, root: str, spread: int | None = None) -> None:
     """Store cleaned ratings in one folder per year; the scan of a year reads only it."""
-    write_mart(gather(df, "year"), root, "ratings", ["year"])
+    write_mart(gather(df, "year", spread), root, "ratings", ["year"])
 
 
 def ratings_of_years(
@@ -49,8 +52,8 @@ def ratings_of_years(
     return read_mart(spark, root, "ratings").where(F.col("year").between(first, last))
 
 
-def tag_bucket(movie_id: Column, buckets: int = TAG_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(movie_id), F.lit(buckets)).cast("int")
+def tag_bucket(movie_id: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(movie_id), buckets).cast("int")
 
 
 def write_tags(df: DataFrame, root: str, buckets: int = TAG_BUCKETS) -> None:
@@ -58,26 +61,28 @@ def write_tags(df: DataFrame, root: str, buckets: int = TAG_BUCKETS) -> None:
 
     Rows are sorted by movie within a file, so a lookup reads one folder and
     skips the row groups of other movies; one folder per movie would not scale.
+    The number of buckets is a folder of its own above them, so a reader learns it
+    from the layout.
     """
-    bucketed = df.withColumn("tag_bucket", tag_bucket(F.col("movie_id"), buckets))
+    bucketed = df.withColumn("tag_buckets", F.lit(buckets)).withColumn(
+        "tag_bucket", tag_bucket(F.col("movie_id"), F.col("tag_buckets"))
+    )
     sorted_files = gather(bucketed, "tag_bucket").sortWithinPartitions(
         "tag_bucket", "movie_id"
     )
-    write_mart(sorted_files, root, "tags", ["tag_bucket"])
+    write_mart(sorted_files, root, "tags", ["tag_buckets", "tag_bucket"])
 
 
 def read_tags(spark: SparkSession, root: str) -> DataFrame:
-    return read_mart(spark, root, "tags").drop("tag_bucket")
+    return read_mart(spark, root, "tags").drop("tag_buckets", "tag_bucket")
 
 
-def tags_for_movie(
-    spark: SparkSession, root: str, movie_id: int, buckets: int = TAG_BUCKETS
-) -> DataFrame:
-    """Stored tags of one movie; ``buckets`` must be the number used for writing."""
+def tags_for_movie(spark: SparkSession, root: str, movie_id: int) -> DataFrame:
+    """Stored tags of one movie, from the folder of its bucket, whatever their number."""
     wanted = F.lit(movie_id).cast("int")
     return (
         read_mart(spark, root, "tags")
-        .where(F.col("tag_bucket") == tag_bucket(wanted, buckets))
+        .where(F.col("tag_bucket") == tag_bucket(wanted, F.col("tag_buckets")))
         .where(F.col("movie_id") == wanted)
-        .drop("tag_bucket")
+        .drop("tag_buckets", "tag_bucket")
     )

@@ -83,13 +83,25 @@ def test_time_parts_are_utc_in_any_session_zone(spark, zone):
     assert rows[2].rated_at == datetime.datetime(1969, 12, 31, 23, 59, 59)
 
 
-@pytest.mark.parametrize("seconds", [1_700_000_000_000_000, 2**63 - 1, -(2**63)])
+LIMIT = (2**63 - 1) // 1_000_000
+
+
+@pytest.mark.parametrize(
+    "seconds", [10**13, LIMIT + 1, -LIMIT - 1, 1_700_000_000_000_000, 2**63 - 1, -(2**63)]
+)
 def test_a_time_beyond_timestamps_is_null(spark, seconds):
     row = cleaning.clean_ratings(frames.ratings(spark, [(1, 1, 3.0, seconds)])).first()
-    assert (row.rating, row.rated_at, row.year, row.month) == (3.0, None, None, None)
+    assert (row.rating, row.rated_at, row.year, row.month, row.hour) == (3.0, *[None] * 4)
     assert cleaning.clean_tags(frames.tags(spark, [(1, 1, "a", seconds)])).first().tagged_at is None
 
 
+@pytest.mark.parametrize("seconds", [LIMIT, -LIMIT, 0])
+def test_a_time_within_timestamps_has_all_parts(spark, seconds):
+    parts = cleaning.clean_ratings(frames.ratings(spark, [(1, 1, 3.0, seconds)]))
+    names = ("rated_at", "year", "month", "hour")
+    assert parts.where(" and ".join(f"{c} is not null" for c in names)).count() == 1
+
+
 def test_a_time_in_milliseconds_does_not_fail(spark):
     raw = frames.ratings(spark, [(1, 1, 3.0, 1_700_000_000_000)])
     assert cleaning.clean_ratings(raw).select("year", "hour").first() == (55840, 22)
@@ -171,3 +183,16 @@ def test_csv_line_breaks_need_multi_line(spark, tmp_path):
     path = str(tmp_path / "movies.csv")
     row = delimited.read_csv(spark, path, schemas.MOVIES, multi_line=True).first()
     assert row.title == "two\nlines (1999)"
+
+
+def test_csv_round_trip_of_odd_titles(spark, tmp_path):
+    titles = ['a "quoted" one', "back\\slash \\", "two\nlines", "cr\r\nlf", " padded ", "", None, '"', "é, ü"]
+    movies = frames.movies(spark, [(i, t, "Drama") for i, t in enumerate(titles)])
+    delimited.write_source(movies, str(tmp_path), "movies")
+    back = delimited.read_source(spark, str(tmp_path), "movies", multi_line=True)
+    found = {r.movie_id: r.title for r in back.collect()}
+    # an empty field is NULL; a line break of another system is read as \n
+    expected = dict(enumerate(titles)) | {5: None}
+    assert {k: (v or "").replace("\r\n", "\n") or None for k, v in found.items()} == {
+        k: (v or "").replace("\r\n", "\n") or None for k, v in expected.items()
+    }

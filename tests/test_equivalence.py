@@ -74,7 +74,7 @@ def test_genre_year_trends(tables):
     ratings, listed = tables
     counts = count_ratings(ratings, "movie_id", "year", "rating")
     assert rows(genres.genre_year_trends(ratings, listed, 2001, 2004)) == rows(expected)
-    assert rows(genres.genre_year_trends(counts, listed, 2001, 2004)) == rows(expected)
+    assert rows(genres.genre_year_trends(counts, listed, 2001, 2004, "n")) == rows(expected)
 
 
 def test_yearly_trends(tables):
@@ -112,14 +112,29 @@ def test_counted_ratings_stand_for_ratings(tables):
     ratings, listed = tables
     counts = count_ratings(ratings, "movie_id", "year", "rating")
     for mart in (
-        lambda r: movies.movie_stats(r, listed, 20),
-        lambda r: movies.movie_ranking(r, listed, 20, 30),
-        lambda r: genres.genre_stats(r, listed),
+        lambda r, w: movies.movie_stats(r, listed, 20, w),
+        lambda r, w: movies.movie_ranking(r, listed, 20, 30, w),
+        lambda r, w: genres.genre_stats(r, listed, w),
+        lambda r, w: genres.largest_genre_trends(r, listed, 3, 2001, 2004, w),
         timeline.rating_distribution,
         movies.global_mean_rating,
-        movies.rating_median,
+        lambda r, w: movies.rating_median(r, weight=w),
+        lambda r, w: movies.rating_median(r, exact=False, weight=w),
     ):
-        assert rows(mart(counts)) == rows(mart(ratings))
+        assert rows(mart(counts, "n")) == rows(mart(ratings, None))
+
+
+def test_a_column_named_n_means_nothing(spark, tables):
+    ratings, listed = tables
+    noisy = ratings.withColumn("n", F.lit(7))
+    assert rows(movies.movie_stats(noisy, listed, 20)) == rows(movies.movie_stats(ratings, listed, 20))
+    assert rows(timeline.yearly_trends(noisy)) == rows(timeline.yearly_trends(ratings))
+    assert rows(timeline.hourly_activity(noisy)) == rows(timeline.hourly_activity(ratings))
+
+
+def test_counted_median_is_exact_where_a_sketch_is_asked_for(spark):
+    counted = spark.createDataFrame([(1, 1.0, 2), (1, 5.0, 9)], "movie_id int, rating float, n long")
+    assert movies.rating_median(counted, exact=False, weight="n").first().median_rating == 5.0
 
 
 def test_listed_twice_movie_counts_twice(spark, tables):
