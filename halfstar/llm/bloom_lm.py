@@ -215,8 +215,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     counted = count(docs.where("train"))
     model = load(counted)
     exact = counted.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
-    # at most FREQUENT rows
-    top = exact.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    top = _frequent(exact).toPandas()
     order = np.argsort(top["word"].to_numpy().view(np.uint64))
     frequent = (top["word"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order])
     total = model.tokens + 0.5 * (model.words + 1)
@@ -279,4 +278,17 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     )
 
 
+def _frequent(exact: DataFrame) -> DataFrame:
+    """Words above a count that leaves at most FREQUENT of them; found from a few hundred classes of counts."""
+    level = F.floor(F.log(F.col("c")) * 20)
+    classes = exact.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    lowest, total = None, 0
+    for row in classes:
+        total += row["count"]
+        if total > FREQUENT:
+            break
+        lowest = row["level"]
+    return exact.where(F.lit(False) if lowest is None else level >= lowest)
+
+
 _PARTS = ["doc_id", "content", "word", "texts", "tokens", "known", "base", "score"]
