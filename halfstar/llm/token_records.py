@@ -9,11 +9,11 @@ in any order and seek.
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from struct import pack as pack_ids
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +24,16 @@ from tokenizers import Tokenizer
 from ..sources.scratch import new_scratch_dir
 from .files import chunks, new_file, open_random, open_stream
 from .tables import partitions, stored
-from .words import grouped
+from .words import SEGMENT, grouped, span_hashes, text_buffers
 
-#: Chunks of text whose ids a task remembers, and the longest of them.
-REMEMBERED, LONGEST = 1 << 19, 40
+#: Chunks of text whose ids a Python worker remembers.
+REMEMBERED = 1 << 20
 #: Rows of one Arrow batch of results.
 BATCH_ROWS = 1 << 12
 
 _FRAME, _HEAD = struct.Struct("<QI"), struct.Struct("<qBB")
-_GAP = re.compile(r"(?<=\S) (?=\S)")
-_WIDE_GAP = re.compile(r"\s | \s|^ | $")
+_LETTER = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+_MARK = np.array([32 < i < 127 and not chr(i).isalnum() for i in range(256)])
 
 INDEX = "part int, file string, doc_id long, offset long, bytes long, n_tokens long"
 
@@ -84,36 +84,108 @@ def unpack(data: bytes) -> tuple[int | None, np.ndarray]:
     return None if null else doc_id, np.frombuffer(data, f"<u{width}", offset=_HEAD.size)
 
 
-class _Ids(dict):
-    """Ids of chunks, worked out when first asked for; a bounded number is kept."""
+def chunk_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where texts can be cut, as a match of the pattern certainly begins there.
 
-    def __init__(self, tokenizer: Tokenizer, before: str, dtype: str):
-        self.tokenizer, self.before, self.dtype = tokenizer, before, dtype
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids
-        ids = pack_ids(f"<{len(found)}{self.dtype}", *found)
-        if len(self) < REMEMBERED and len(chunk) <= LONGEST:
-            self[chunk] = ids
-        return ids
+    That is at their first bytes; before a space between two characters that are no white space; before and after a line break or tab that
+    has none beside it; and before ASCII punctuation that follows an ASCII letter or digit.
+    White space beyond ASCII is told by its first byte alone, which leaves some places uncut that could be.
+    """
+    plain = data > 32
+    wide = np.isin(data, [0xC2, 0xE1, 0xE2, 0xE3])  # white space of several bytes begins with one of these
+    after = np.zeros(len(data), dtype=bool)
+    after[:-1] = plain[1:] & ~wide[1:]
+    before = np.zeros(len(data), dtype=bool)
+    before[1:] = plain[:-1]
+    before[2:] &= (data[1:-1] < 128) | (data[:-2] != 0xC2)
+    before[3:] &= (data[2:-1] < 128) | (data[:-3] < 0xE1) | (data[:-3] > 0xE3)
+    cut = (data == 32) & before & after
+    breaks = (data >= 9) & (data <= 13) & before
+    cut |= breaks
+    cut[1:] |= breaks[:-1] & plain[1:] & ~wide[1:]
+    cut[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+    cut[at[at < len(data)]] = True
+    last = at[1:] - 1  # a space that ends a text has nothing after it
+    ends = last[(last >= 0) & (np.diff(at) > 1)]
+    cut[ends[data[ends] == 32]] = False
+    return np.flatnonzero(cut)
+
+
+class _Known:
+    """Ids of chunks by their hash: sorted hashes, and where and how many the ids are."""
+
+    def __init__(self, dtype: str):
+        self.keys = np.empty(0, dtype=np.uint64)
+        self.places = np.empty((0, 2), dtype=np.int64)
+        self.ids = np.empty(0, dtype=dtype)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of sorted hashes, and which of them are known."""
+        if not len(self.keys):
+            return np.zeros((len(keys), 2), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.places[at], self.keys[at] == keys
+
+    def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter((i for each in ids for i in each), dtype=self.ids.dtype, count=int(counts.sum()))
+        places = np.stack([len(self.ids) + np.cumsum(counts) - counts, counts], axis=1)
+        self.ids = np.concatenate([self.ids, flat])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.places = np.insert(self.keys, at, keys), np.insert(self.places, at, places, axis=0)
 
 
 class LibraryEncoder:
-    """Ids of whole texts from the tokenizers library, which sees a frequent chunk once.
+    """Ids of whole texts from the tokenizers library, which sees each distinct chunk once.
 
     A space between two characters that are not white space always begins a new match of a byte-level
-    tokenizer's pattern, so the text can be cut before it. ``tokenizer`` must be of that kind.
+    tokenizer's pattern, so a text can be cut before it. ``tokenizer`` must be of that kind. Chunks are known by
+    64-bit hashes; when they become too many, all are forgotten.
     """
 
     def __init__(self, tokenizer: str, width: int):
-        library = Tokenizer.from_str(tokenizer)
-        library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.first, self.later = (_Ids(library, before, "H" if width == 2 else "I") for before in ("", " "))
-
-    def encode(self, text: str | None) -> bytes:
-        text = text or ""
-        words = _GAP.split(text) if _WIDE_GAP.search(text) else text.split(" ")
-        return self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:]))
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel ones
+        self.library = Tokenizer.from_str(tokenizer)
+        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.dtype = f"<u{width}"
+        self.known = _Known(self.dtype)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        data, at = text_buffers(texts)
+        starts = chunk_starts(data, at) if len(data) else np.empty(0, dtype=np.int64)
+        ends = np.append(starts[1:], len(data))[: len(starts)]
+        hashes = np.empty(len(starts), dtype=np.uint64)
+        low = 0
+        while low < len(starts):
+            high = max(low + 1, int(np.searchsorted(starts, starts[low] + SEGMENT)))
+            first = starts[low]
+            part = data[first : ends[high - 1]].astype(np.uint64)
+            hashes[low:high] = span_hashes(part, starts[low:high] - first, ends[low:high] - first)
+            low = high
+        distinct, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known.keys) > REMEMBERED:
+            self.known = _Known(self.dtype)
+        places, there = self.known.find(distinct)
+        new = np.flatnonzero(~there)
+        if len(new):
+            chunks = [data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in example[new]]
+            found = []
+            for k in range(0, len(chunks), 1 << 13):
+                found += [e.ids for e in self.library.encode_batch_fast(chunks[k : k + (1 << 13)], add_special_tokens=False)]
+            self.known.add(distinct[new], found)
+            places, _ = self.known.find(distinct)
+        begin, count = places[inverse].T if len(inverse) else (np.empty(0, np.int64),) * 2
+        total = int(count.sum())
+        ids = self.known.ids[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(total)]
+        text = np.searchsorted(at, starts, side="right") - 1
+        lengths = np.bincount(text, count, len(texts)).astype(np.int64)
+        return np.split(ids, np.cumsum(lengths)[:-1])
+
+
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: str, width: int) -> LibraryEncoder:
+    """One for each Python worker, which keeps what it knows from task to task."""
+    return LibraryEncoder(tokenizer, width)
 
 
 def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> DataFrame:
@@ -132,12 +204,12 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | No
     end = np.array([end_id], dtype=f"<u{width}").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file, address, offset = LibraryEncoder(shared.value, width), None, "", 0
+        encoder, file, address, offset = _encoder(shared.value, width), None, "", 0
         try:
             for batch in grouped(batches, 1 << 22):
                 if file is None:
                     address, file = new_file(folder, ".records")
-                ids = [encoder.encode(t) + end for t in batch["text"].to_pylist()]
+                ids = [x.tobytes() + end for x in encoder.encode(batch["text"])]
                 frames = [frame(pack(d, x, width)) for d, x in zip(batch["doc_id"].to_pylist(), ids, strict=True)]
                 file.write(b"".join(frames))
                 sizes = np.array([len(f) for f in frames])

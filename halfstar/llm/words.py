@@ -56,6 +56,14 @@ class _Powers:
         return cls.up, cls.down
 
 
+def span_hashes(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of 64-bit terms, wherever it stands."""
+    up, down = _Powers.at_least(len(terms) + 1)
+    sums = np.zeros(len(terms) + 1, dtype=np.uint64)
+    np.cumsum((terms + np.uint64(1)) * up[: len(terms)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + np.uint64(1))
+
+
 def _segment(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and start positions of the words in some bytes; ``first`` marks starts of texts."""
     inside = ~_SPACE[data]
@@ -70,16 +78,10 @@ def _segment(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     last[-1] = True
     np.logical_or(~inside[1:], first[1:], out=last[:-1])
     ends = np.flatnonzero(inside & last) + 1
-    up, down = _Powers.at_least(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    terms = _LOWER[data].astype(np.uint64)
-    terms += np.uint64(1)
-    terms *= up[: len(data)]
-    np.cumsum(terms, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + np.uint64(1)), starts
+    return span_hashes(_LOWER[data].astype(np.uint64), starts, ends), starts
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each starts, with the end at last; nulls are empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     _, offsets, data = texts.buffers()
@@ -92,7 +94,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and the index of each text's first word with the end at last."""
     if not len(texts):
         return np.empty(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
-    data, at = _buffers(texts)
+    data, at = text_buffers(texts)
     first = np.zeros(len(data) + 1, dtype=bool)
     first[at] = True
     hashes, positions, low = [], [], 0

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import zstandard
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 
 from halfstar.llm import bpe, chat, embedding_dedup, queries, token_records, url_rules, warc
 
-PIECES = ["a", "b ", " ", "  ", "\n", "'ll", "'", "'v", "e", " é", "1", "\t", "\u3000", "\x1c", "<|endoftext|>", "!", "\u00a0", "x y", "日本", "😀", "the and ing"]
+PIECES = ["a", "b ", " ", "  ", "\n", "'ll", "'", "'v", "e", " é", "1", "\t", "\u3000", "\x1c", "<|endoftext|>", "!", "\u00a0", "x y", "x,y.\r\n", ".\n", "a's", "9.5", "日本", "😀", "the and ing"]
 
 
 def random_texts(seed, n=800, longest=40):
@@ -68,7 +69,9 @@ def test_encoding_and_decoding_of_rows(spark, vocabulary, library):
     assert sorted(r.text or "" for r in got) == sorted(r[1] or "" for r in rows)
     for r in got:
         assert list(r.ids) == library.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
-    assert bpe.encode(docs.where("false"), vocabulary).count() == 0
+    again = bpe.round_trip(docs, vocabulary)
+    assert sorted(map(str, again.select("ids", "decoded").collect())) == sorted(str(r) for r in bpe.decode(encoded, vocabulary).select("ids", "decoded").collect())
+    assert bpe.encode(docs.where("false"), vocabulary).count() == 0 == bpe.round_trip(docs.where("false"), vocabulary).count()
     nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert bytes(bpe.decode(nothing, vocabulary).first().decoded) == b""
 
@@ -82,8 +85,12 @@ def test_chunks_encode_like_whole_texts():
     whole = Tokenizer.from_str(source)
     whole.encode_special_tokens = True
     encoder = token_records.LibraryEncoder(source, 2)
-    for text in random_texts(5, 1500):
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    texts = [*random_texts(5, 3000), "", None, " ", "a ", " a", "a\u00a0 b", "a \u2003b c", "é à"]
+    for size in (1, 7, len(texts)):
+        for k in range(0, len(texts), size):
+            part = texts[k : k + size]
+            for text, ids in zip(part, encoder.encode(pa.array(part, pa.string())), strict=True):
+                assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
 def test_token_files(spark, tmp_path):

@@ -67,7 +67,7 @@ def test_shingles_of_short_texts():
     hashes, at = words.word_hashes(pa.array(["a b", "a b c", "a b c d", "", "a b"]))
     whole, starts = words.shingle_hashes(hashes, at, 3, whole_if_short=True)
     assert np.diff(starts).tolist() == [1, 1, 2, 0, 1]
-    assert whole[0] == whole[4] and len(set(whole.tolist())) == 4
+    assert whole[0] == whole[4] and len(set(whole.tolist())) == 3
     assert np.diff(words.shingle_hashes(hashes, at, 3, whole_if_short=False)[1]).tolist() == [0, 1, 2, 0, 0]
 
 
