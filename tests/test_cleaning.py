@@ -161,6 +161,8 @@ def test_csv_scan_golden_lines(spark, tmp_path):
         encoding="utf-8",
     )
     raw = delimited.read_source(spark, str(tmp_path), "movies")
+    report = delimited.unparsable_rows(spark, str(tmp_path), "movies").collect()
+    assert [tuple(r) for r in report] == [("movies", 5, 1)]
     assert raw.columns == ["movie_id", "title", "genres"]
     assert [tuple(r) for r in raw.orderBy(F.col("movie_id").asc_nulls_last()).collect()] == [
         (1, "Plain, with comma (1999)", "Drama"),
