@@ -8,10 +8,10 @@ number of distinct words that hold it. The scaled vector of a text has length 1,
 
 from __future__ import annotations
 
-import re
-import zlib
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .tables import stored
-from .words import grouped
+from .words import grouped, mix, salted, span_hashes
 
 #: Sizes of the n-grams, number of hashed features.
 SIZES, FEATURES = (3, 4, 5), 1 << 18
@@ -32,11 +32,8 @@ PENALTY, ITERATIONS, STEP_SIZE = 1e-5, 40, 3.0
 GRADIENT_TASKS = 8
 #: Counts that smooth each feature.
 SMOOTHING = 2.0
-#: Words whose score a task remembers.
-REMEMBERED = 1 << 18
-
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-
+#: Bytes of text that are handled at once.
+STEP = 1 << 19
 
 @dataclass(frozen=True)
 class ToxicityModel:
@@ -47,39 +44,47 @@ class ToxicityModel:
     intercept: float
 
 
-def word_grams(word: str) -> np.ndarray:
-    """Hashed n-grams of a word without the punctuation around it, marked at both ends."""
-    word = _EDGE.sub("", word)
-    raw = f"<{word}>".encode("utf-32-le", "surrogatepass")
-    found = [zlib.crc32(raw[i : i + 4 * n]) % FEATURES for n in SIZES for i in range(0, len(raw) - 4 * n + 1, 4)]
-    return np.array(found if word else [], dtype=np.int32)
-
-
-class Features:
-    """N-grams of texts and how many distinct words hold each; remembers the n-grams of words."""
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters or digits."""
+    return np.fromiter((chr(i).isalnum() for i in range(sys.maxunicode + 1)), dtype=bool, count=sys.maxunicode + 1)
 
-    def __init__(self):
-        self.known: dict[str, np.ndarray] = {}
 
-    def word(self, word: str) -> np.ndarray:
-        grams = self.known.get(word)
-        if grams is None:
-            grams = word_grams(word)
-            if len(self.known) < REMEMBERED and len(word) < 64:
-                self.known[word] = grams
-        return grams
+def text_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of each text, as (index of the text, hashed n-gram, number of distinct words that hold it).
 
-    def text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = {w if w.isalnum() else _EDGE.sub("", w) for w in set((text or "").lower().split())}
-        grams = np.concatenate([np.empty(0, np.int32), *map(self.word, words)])
-        return np.unique(grams, return_counts=True)
-
-
-def scaled(grams: np.ndarray, counts: np.ndarray, ratios: np.ndarray) -> np.ndarray:
-    """Values of a text's features: counts times log-count ratios, at length 1."""
+    Words are runs of letters and digits in lower case; what stands around them counts as one mark on either
+    side. All texts are handled at once, in arrays of code points.
+    """
+    lower = [(t or "").lower() for t in texts]
+    chars = np.frombuffer(("\n" + "\n".join(lower) + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = _letters()[chars]
+    marked = np.where(inside, chars, 0).astype(np.uint64)
+    begins = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    firsts = 1 + np.cumsum([0, *(len(t) + 1 for t in lower)])
+    text = np.searchsorted(firsts, begins, side="right") - 1
+    # each word of a text once
+    _, once = np.unique(salted(span_hashes(marked, begins, ends) + mix(text.astype(np.uint64)), 31), return_index=True)
+    begins, ends, text = begins[once], ends[once], text[once]
+    rolling = np.zeros(len(marked), dtype=np.uint64)
+    found, last = [], max(SIZES)
+    for k in range(last):
+        rolling = rolling[: len(marked) - k] * np.uint64(0x100000001B3) + marked[k:]
+        n = k + 1
+        if n in SIZES:
+            many = np.maximum(ends - begins + 3 - n, 0)
+            at = np.repeat(begins - 1 - np.cumsum(many) + many, many) + np.arange(many.sum())
+            found.append(np.repeat(text, many) * FEATURES + (salted(rolling[at], n) % np.uint64(FEATURES)).astype(np.int64))
+    pairs, counts = np.unique(np.concatenate(found), return_counts=True)
+    return pairs // FEATURES, pairs % FEATURES, counts
+
+
+def scaled(text: np.ndarray, grams: np.ndarray, counts: np.ndarray, ratios: np.ndarray, n: int) -> np.ndarray:
+    """Values of the features of ``n`` texts: counts times log-count ratios, at length 1 for each text."""
     values = counts * ratios[grams]
-    length = np.sqrt((values * values).sum())
-    return values / length if length else values
+    length = np.sqrt(np.bincount(text, values * values, n))
+    return values / np.where(length > 0, length, 1)[text]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -105,13 +110,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
     """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
-        for batch in grouped(batches, 1 << 21):
-            each = [features.text(t) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["toxic"], pa.array([x.tolist() for x, _ in each], pa.list_(pa.int32())), pa.array([n.tolist() for _, n in each], pa.list_(pa.float64()))],
-                ["toxic", "grams", "counts"],
-            )
+        for batch in grouped(batches, STEP):
+            text, grams, counts = text_features(batch["text"].to_pylist())
+            ends = pa.array(np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (grams.astype(np.int32), counts.astype(np.float64))]
+            yield pa.RecordBatch.from_arrays([batch["toxic"], *lists], ["toxic", "grams", "counts"])
 
     sample = training_sample(docs, labels, rows).mapInArrow(extract, "toxic int, grams array<int>, counts array<double>")
     sample = stored(sample, "toxic_sample")
@@ -141,21 +144,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
 def _regression(sample: DataFrame, ratios: np.ndarray, rows: int) -> ToxicityModel:
     """Logistic regression by Nesterov's accelerated gradient; each step is a pass over the stored sample."""
     context = sample.sparkSession.sparkContext
+    scale = context.broadcast(ratios)
     point, before = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)  # the intercept last
     for step in range(ITERATIONS):
         ahead = point + step / (step + 3) * (point - before)
-        shared = context.broadcast((ahead, ratios))
+        shared = context.broadcast(ahead.astype(np.float32))  # executors keep each on disk for a while
 
         def gradient(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            at, ratios = shared.value
+            at, ratios = shared.value.astype(np.float64), scale.value
             out = np.zeros(FEATURES + 1)
             for batch in batches:
                 lengths = batch["grams"].value_lengths().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(len(lengths)), lengths)
                 grams = batch["grams"].flatten().to_numpy()
-                values = batch["counts"].flatten().to_numpy() * ratios[grams]
-                norm = np.sqrt(np.bincount(row, values * values, len(lengths)))
-                values /= np.where(norm > 0, norm, 1)[row]
+                values = scaled(row, grams, batch["counts"].flatten().to_numpy(), ratios, len(lengths))
                 logit = np.bincount(row, values * at[grams], len(lengths)) + at[-1]
                 error = 1 / (1 + np.exp(-logit)) - batch["toxic"].to_numpy()
                 out[:-1] += np.bincount(grams, values * error[row], FEATURES)
@@ -193,13 +195,12 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     names = [*docs.columns, "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, features = shared.value, Features()
-        for batch in grouped(batches):
-            scores = []
-            for text in batch["text"].to_pylist():
-                grams, counts = features.text(text)
-                logit = model.intercept + float(scaled(grams, counts, model.ratios) @ model.weights[grams])
-                scores.append(1.0 / (1.0 + float(np.exp(-logit))))
+        model = shared.value
+        for batch in grouped(batches, STEP):
+            text, grams, counts = text_features(batch["text"].to_pylist())
+            values = scaled(text, grams, counts, model.ratios, batch.num_rows)
+            logits = np.bincount(text, values * model.weights[grams], batch.num_rows) + model.intercept
+            scores = 1.0 / (1.0 + np.exp(-logits))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
 
     schema = StructType([*docs.schema, StructField("score", DoubleType())])
