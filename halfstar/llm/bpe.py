@@ -35,7 +35,7 @@ LEAF_CHARS, LEAF_BYTES, LEAF_TOKENS = 1 << 13, 64, 1 << 12
 #: Characters before a cut within which a match may still change.
 REACH = 4
 #: Matches whose tokens a task remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -238,6 +238,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "text", ids: s
     return docs.mapInArrow(run, StructType([*docs.schema, StructField(ids, ArrayType(IntegerType()))]))
 
 
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, column: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``docs`` with the ids of each text and the bytes that they decode to.
+
+    The bytes come from the ids alone. One Python worker for each task does both, where the two operators chained would take two.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    docs = docs.drop(ids, decoded)
+    names = [*docs.columns, ids, decoded]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
+        for batch in grouped(batches, 1 << 20, column):
+            each = [np.frombuffer(encoder.encode(t), dtype="<i4") for t in batch[column].to_pylist()]
+            ends = np.cumsum([0, *map(len, each)]).astype(np.int32)
+            texts = [decode_ids(encoder.tokens, x.tolist()) for x in each]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(texts, pa.binary())], names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(ids, ArrayType(IntegerType())), StructField(decoded, BinaryType())]))
+
+
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``df`` with the binary ``column``: the bytes that its arrays of ids stand for. A NULL array stands for none.
 

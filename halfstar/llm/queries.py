@@ -64,9 +64,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = vocabulary()
-    encoded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), words).select("doc_id", "ids")
-    return bpe.decode(encoded, words).select(
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, vocabulary()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
