@@ -5,7 +5,7 @@ documents would miss it. Items are therefore partitioned by size, into classes u
 shingles, and each class is compared with windows of 2u shingles that begin at every u-th shingle of
 a document. A passage of at most u shingles lies whole in one of them, and an item of which four fifths lie there has a
 similarity to it of at least 0.19: all of 64 minima differ with a chance of about 10**-6. Minima of
-windows are minima of blocks of 8 shingles, taken together two by two, so each shingle is hashed once for all classes.
+windows are minima of blocks of the smallest class, taken together two by two, so each shingle is hashed once for all classes.
 
 A document and an item with any minimum in common are a candidate pair, which an exact count of the item's distinct
 shingles in the *whole* document decides. Items come in slices of bounded size, which are broadcast; for
@@ -27,7 +27,7 @@ from .words import distinct_sets, grouped, salted, shingle_hashes, word_hashes
 
 #: Words of a shingle; percent of an item's shingles that a document must hold.
 WIDTH, PERCENT = 5, 80
-#: Minima of a signature, and shingles of the smallest block.
+#: Minima of a signature, and shingles of the smallest class.
 MINIMA, BLOCK = 64, 8
 #: Items and characters of items that are broadcast at once, at most (a longer item goes alone).
 SLICE_ITEMS, SLICE_CHARS = 20_000, 16_000_000
@@ -75,8 +75,9 @@ class ItemIndex:
         found: set[tuple[int, int]] = set()
         if not len(values) or not self.classes:
             return found
-        cuts, many = _blocks(counts, BLOCK)
-        minima, size = _minima(values, cuts), BLOCK
+        size = self.classes[0][0]  # smaller blocks than the smallest class needs are left out
+        cuts, many = _blocks(counts, size)
+        minima = _minima(values, cuts)
         for u, items, known, seen in self.classes:
             while size < u:
                 cuts, fewer = _blocks(many, 2)
