@@ -28,9 +28,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without an id cannot be named by the join and stay.
     """
-    found = jaccard_join.similar_components(docs, WIDTH, PERCENT)
+    found = stored(jaccard_join.similar_components(docs, WIDTH, PERCENT), "components")
     others = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near_duplicates")
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates()
+    kept = docs.join(others, "doc_id", "left_anti")
+    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():  # the texts need not move to be told apart
+        return kept
+    return kept.join(repeated, "doc_id", "left_anti").union(kept.join(repeated, "doc_id", "left_semi").dropDuplicates())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +45,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and the digest of the bytes that they decode to."""
-    words = vocabulary()
-    encoded = bpe.encode(docs, words).select("doc_id", "lang", "source", "ids")
-    return bpe.decode(encoded, words).select(
+    docs = docs.select("doc_id", "lang", "source", "text")
+    return bpe.round_trip(docs, vocabulary()).select(
         "doc_id",
         "lang",
         "source",

@@ -25,11 +25,11 @@ from .tables import connected_components, partitions, stored
 from .words import distinct_sets, grouped, mix, salted, shingle_hashes, word_hashes
 
 #: Sets of at most this size use single shingles as keys.
-SMALL = 64
+SMALL = 24
 #: A block holds about so many sets, and so many shingles, at most.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 22
 #: Texts of one step when keys are made: equal keys are combined within a step, before the shuffle.
-KEY_STEP = 1 << 25
+KEY_STEP = 1 << 23
 
 
 def document_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +79,7 @@ def set_keys(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.n
             continue
         upper = bands[np.minimum(band, len(bands) - 1)]
         differ = 2 * upper * (100 - percent) // (100 + percent)
-        classes = differ + 1 + differ // 10 + 1
+        classes = differ + 1 + differ // 20 + 2
         first = np.concatenate([[0], np.cumsum(np.where(takes, classes, 0))])
         rows = takes[set_of]
         mine, tokens = set_of[rows], values[rows]
@@ -143,6 +143,8 @@ def _keyed(docs: DataFrame, width: int, percent: int) -> DataFrame:
             # the one that is sent also names itself, so that the others find it
             key = np.concatenate([keys[head].view(np.int64), pairs[:, 1], np.unique(pairs[:, 1])])
             name = np.concatenate([owner[head], pairs[:, 0], np.unique(pairs[:, 1])])
+            order = np.argsort(name)  # equal names in a row are stored in less space
+            key, name = key[order], name[order]
             for low in range(0, len(key), 1 << 17):
                 yield pa.RecordBatch.from_arrays([pa.array(key[low : low + (1 << 17)]), pa.array(name[low : low + (1 << 17)])], ["key", "set_id"])
 
