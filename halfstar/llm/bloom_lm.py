@@ -4,14 +4,16 @@ The filter holds the counts of words and word pairs as quantised logarithms: an
 numbers 1 to q. A reader asks for 1, 2, ... until it is told no; the level so found is never below the true one. A pair is only asked
 for up to the level of the rarer of its words, which it cannot exceed.
 
-The filter has a fixed number of bytes, which bounds what is broadcast. No n-gram is left out: with more of them the filter
-fills and answers too high more often (`LanguageModel.false_positives` tells how often).
+The filter is cut into segments by the hash of the n-gram. Each has as many bits as its own entries need for a rate of false
+answers of FALSE_POSITIVES, so the rate does not depend on the corpus. A filter of up to BROADCAST_BYTES is broadcast. A larger one
+stays where it is stored: the n-grams that the texts ask for are shuffled to the segments, and their probabilities joined back.
+Both ways ask the same filter and give the same scores.
 
 Probabilities of a word after another are interpolated with those of words (Jelinek and Mercer):
 b c(v w) / c(v) + (1 - b) p(w). The first word follows the end of a text.
 
 Counts are added up per step of texts before the shuffle. Each task then takes whole segments of the filter, in the order
-of hashes, and holds one segment at a time.
+of hashes, and holds the n-grams of one segment at a time.
 """
 
 from __future__ import annotations
@@ -27,8 +29,12 @@ from pyspark.sql import functions as F
 from .tables import partitions, stored
 from .words import grouped, mix, salted, word_hashes
 
-#: Bytes of the filter, segments that it is built in, probes for each entry.
+#: Bytes of the filter at least, segments that it is built in (as a power of 2), probes for each entry.
 FILTER_BYTES, SEGMENT_BITS, PROBES = 1 << 26, 12, 3
+#: Chance, at most, that one entry is found by mistake; it takes 6.5 bits an entry.
+FALSE_POSITIVES = 0.05
+#: Largest filter that is broadcast: each Python worker holds it once, the driver a few times.
+BROADCAST_BYTES = 3 << 25
 #: Base of the logarithms that counts are quantised by, and the weight b of pairs.
 LOG_BASE, PAIR_WEIGHT = 1.5, 0.3
 #: Most frequent words whose exact counts are broadcast; the others are joined.
@@ -38,7 +44,6 @@ COUNT_STEP = 1 << 25
 
 END = np.uint64(0x2545F4914F6CDD1D)
 _SEGMENT = np.uint64(64 - SEGMENT_BITS)
-_INSIDE = np.uint64(FILTER_BYTES * 8 // (1 << SEGMENT_BITS) - 1)
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,66 +67,95 @@ def expected_counts(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (LOG_BASE ** (levels - 1.0) + LOG_BASE ** (1.0 * levels) - 1) / 2, 0.0)
 
 
-def _positions(grams: np.ndarray, level: int) -> Iterator[np.ndarray]:
-    """Bits of an entry, within its n-gram's segment."""
+def segment_bits(entries: int) -> int:
+    """Bits of a segment, in whole bytes: enough for FALSE_POSITIVES, and its share of FILTER_BYTES at least."""
+    needed = entries * PROBES / -np.log(1 - FALSE_POSITIVES ** (1 / PROBES))
+    return 8 * max(int(np.ceil(needed / 8)), FILTER_BYTES >> SEGMENT_BITS, 1)
+
+
+def _positions(grams: np.ndarray, level: int, size: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
+    """Bits of an entry, within its n-gram's segment of ``size`` bits."""
     entry = salted(grams, 100 + level)
     step = (entry >> np.uint64(32)) | np.uint64(1)
     for probe in range(PROBES):
-        yield (entry + np.uint64(probe) * step) & _INSIDE
+        yield (entry + np.uint64(probe) * step) % size
 
 
-def _enter(segment: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> int:
+def _enter(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The bytes of a segment that holds these n-grams, and its number of entries."""
     levels = levels_of(counts)
+    entries = int(levels.sum())
+    size = segment_bits(entries)
+    segment = np.zeros(size // 8, dtype=np.uint8)
     for level in range(1, int(levels.max()) + 1):
-        for at in _positions(grams[levels >= level], level):
+        for at in _positions(grams[levels >= level], level, np.uint64(size)):
             np.bitwise_or.at(segment, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-    return int(levels.sum())
+    return segment, entries
+
+
+def _ask(bits: np.ndarray, base: np.ndarray, size: np.ndarray, grams: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Level of each n-gram, asked for up to ``most``; its segment has ``size`` bits from the byte ``base`` on."""
+    out = np.zeros(len(grams), dtype=np.int64)
+    left = np.flatnonzero(most > 0)
+    level = 1
+    while len(left):
+        there = np.ones(len(left), dtype=bool)
+        for at in _positions(grams[left], level, size[left]):
+            byte = bits[base[left] + (at >> np.uint64(3)).astype(np.int64)]
+            there &= ((byte >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+        left = left[there]
+        out[left] = level
+        left = left[most[left] > level]
+        level += 1
+    return out
+
+
+def _most(tokens: int) -> int:
+    """Level of the count of all tokens, which no n-gram exceeds."""
+    return int(levels_of(np.array([max(tokens, 1)]))[0])
+
+
+def _logs(word: np.ndarray, before: np.ndarray, pair: np.ndarray, tokens: int, words: int) -> np.ndarray:
+    """log10 of the probability of words after others, from the levels of both and of the pair."""
+    counts, of_before = (np.minimum(expected_counts(x), tokens) for x in (word, before))
+    single = (counts + 0.5) / (tokens + 0.5 * (words + 1))
+    pairs = np.minimum(expected_counts(np.minimum(pair, np.minimum(word, before))), of_before)
+    share = np.divide(pairs, of_before, out=np.zeros(len(pairs)), where=of_before > 0)
+    weight = np.where(of_before > 0, PAIR_WEIGHT, 0.0)  # nothing is known of what follows a new word
+    return np.log10(weight * share + (1 - weight) * single)
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """The filter, its number of entries, and what the exact counts of words add up to."""
+    """The filter, and what the exact counts of words add up to.
+
+    ``sizes`` are the bits and ``entries`` the entries of each segment; ``starts`` are the bytes where they begin in ``bits``.
+    """
 
     bits: np.ndarray
-    entries: int
+    starts: np.ndarray
+    sizes: np.ndarray
+    entries: np.ndarray
     tokens: int
     words: int
 
     @property
     def false_positives(self) -> float:
         """Chance that one entry is found by mistake."""
-        return (1 - np.exp(-PROBES * self.entries / (FILTER_BYTES * 8))) ** PROBES
+        return float(((1 - np.exp(-PROBES * self.entries / self.sizes)) ** PROBES).mean())
 
     def levels(self, grams: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Level of each n-gram, asked for up to ``most``."""
-        out = np.zeros(len(grams), dtype=np.int64)
-        left = np.flatnonzero(most > 0)
-        level = 1
-        while len(left):
-            some = grams[left]
-            base = (some >> _SEGMENT) * ((_INSIDE + np.uint64(1)) >> np.uint64(3))
-            there = np.ones(len(left), dtype=bool)
-            for at in _positions(some, level):
-                byte = self.bits[(base + (at >> np.uint64(3))).astype(np.int64)]
-                there &= ((byte >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-            left = left[there]
-            out[left] = level
-            left = left[most[left] > level]
-            level += 1
-        return out
+        segment = (grams >> _SEGMENT).astype(np.int64)
+        return _ask(self.bits, self.starts[segment], self.sizes[segment], grams, most)
 
     def log_probabilities(self, distinct: np.ndarray, inverse: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """log10 of each token's probability after the token before."""
-        levels = self.levels(salted(distinct, 21), np.full(len(distinct), 1 << 10))
-        counts = expected_counts(levels)
-        single = (counts + 0.5) / (self.tokens + 0.5 * (self.words + 1))
+        levels = self.levels(salted(distinct, 21), np.full(len(distinct), _most(self.tokens)))
         of_end = int(np.searchsorted(distinct, END))
-        before = np.concatenate([[of_end], inverse[:-1]])
-        most = np.minimum(levels[inverse], levels[before])
-        pairs = expected_counts(self.levels(pair_hashes(tokens), most))
-        share = np.divide(np.minimum(pairs, counts[before]), counts[before], out=np.zeros(len(pairs)), where=counts[before] > 0)
-        weight = np.where(counts[before] > 0, PAIR_WEIGHT, 0.0)  # nothing is known of what follows a new word
-        return np.log10(weight * share + (1 - weight) * single[inverse])
+        word, before = levels[inverse], levels[np.concatenate([[of_end], inverse[:-1]])]
+        pair = self.levels(pair_hashes(tokens), np.minimum(word, before))
+        return _logs(word, before, pair, self.tokens, self.words)
 
 
 def count(docs: DataFrame) -> DataFrame:
@@ -143,11 +177,12 @@ def count(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array((key >> _SEGMENT).astype(np.int32)), pa.array(key.view(np.int64)), word, pa.array(n[low : low + (1 << 16)])], ["segment", "gram", "word", "n"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bits, entries = None, None, 0
+        now: int | None = None
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # n-grams of the segment and their counts
         rest: pa.RecordBatch | None = None
 
         def add(segment: np.ndarray, gram: np.ndarray, word: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            nonlocal now, bits, entries
+            nonlocal now, held
             cuts = np.concatenate([[0], np.flatnonzero(gram[1:] != gram[:-1]) + 1])
             counts = np.add.reduceat(n, cuts)
             segment, gram, word = segment[cuts], gram[cuts].view(np.uint64), word.take(pa.array(cuts))
@@ -157,10 +192,14 @@ def count(docs: DataFrame) -> DataFrame:
             borders = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1), len(segment)]
             for low, high in zip(borders[:-1], borders[1:], strict=True):
                 if segment[low] != now:
-                    if now is not None:
-                        yield _row(1, pa.array([now], pa.int64()), np.array([entries]), [bits.tobytes()])
-                    now, bits, entries = int(segment[low]), np.zeros((int(_INSIDE) + 1) // 8, dtype=np.uint8), 0
-                entries += _enter(bits, gram[low:high], counts[low:high])
+                    if held:
+                        yield done()
+                    now, held = int(segment[low]), []
+                held.append((gram[low:high], counts[low:high]))
+
+        def done() -> pa.RecordBatch:
+            bits, entries = _enter(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            return _row(1, pa.array([now], pa.int64()), np.array([entries]), [bits.tobytes()])
 
         for batch in batches:
             table = pa.Table.from_batches([x for x in (rest, batch) if x is not None and x.num_rows]).combine_chunks()
@@ -175,8 +214,8 @@ def count(docs: DataFrame) -> DataFrame:
                 yield from add(part["segment"].to_numpy(), gram[:whole], part["word"].combine_chunks(), part["n"].to_numpy())
         if rest is not None:
             yield from add(rest["segment"].to_numpy(), rest["gram"].to_numpy(), rest["word"], rest["n"].to_numpy())
-        if now is not None:
-            yield _row(1, pa.array([now], pa.int64()), np.array([entries]), [bits.tobytes()])
+        if held:
+            yield done()
 
     n = partitions(docs.sparkSession)
     rows = docs.select("text").mapInArrow(gather, "segment int, gram long, word long, n long")
@@ -188,15 +227,97 @@ def _row(kind: int, key: pa.Array, n: np.ndarray, bits: list[bytes | None]) -> p
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, dtype=np.int32)), key, pa.array(n.astype(np.int64)), pa.array(bits, pa.binary())], ["kind", "key", "n", "bits"])
 
 
+def _totals(counted: DataFrame) -> tuple[int, int]:
+    """Number of tokens and of different words."""
+    return tuple(counted.where("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first())
+
+
+def filter_bytes(counted: DataFrame) -> int:
+    return counted.where("kind = 1").agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
+
+
 def load(counted: DataFrame) -> LanguageModel:
-    """The model of stored counts; its segments, of a fixed size together, come to the driver."""
-    words = counted.where("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    bits, entries = np.zeros(FILTER_BYTES, dtype=np.uint8), 0
-    size = (int(_INSIDE) + 1) // 8
-    for row in counted.where("kind = 1").select("key", "n", "bits").toLocalIterator():
-        bits[row.key * size : (row.key + 1) * size] = np.frombuffer(row.bits, dtype=np.uint8)
-        entries += row.n
-    return LanguageModel(bits, entries, words[0], words[1])
+    """The model of stored counts; its segments come to the driver, so it is for filters of up to BROADCAST_BYTES."""
+    segments = counted.where("kind = 1")
+    sizes, entries = np.full(1 << SEGMENT_BITS, 8, dtype=np.uint64), np.zeros(1 << SEGMENT_BITS, dtype=np.int64)
+    for row in segments.select("key", "n", F.length("bits").alias("bytes")).collect():
+        sizes[row.key], entries[row.key] = 8 * row.bytes, row.n
+    ends = np.cumsum((sizes >> np.uint64(3)).astype(np.int64))
+    starts, bits = np.concatenate([[0], ends[:-1]]), np.zeros(ends[-1], dtype=np.uint8)
+    for row in segments.select("key", "bits").toLocalIterator():
+        bits[starts[row.key] : ends[row.key]] = np.frombuffer(row.bits, dtype=np.uint8)
+    return LanguageModel(bits, starts, sizes, entries, *_totals(counted))
+
+
+def _looked_up(grams: DataFrame, counted: DataFrame, most: int) -> DataFrame:
+    """Levels above 0 of ``grams (gram)``, asked for in the stored segments: ``(gram, level)``."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bits = None, np.zeros(1, dtype=np.uint8)
+        for batch in batches:
+            segment = batch["segment"].to_numpy()
+            cuts = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1), len(segment)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                if high > low and batch["bits"][low].is_valid:  # a segment comes before what is asked of it
+                    now, bits = segment[low], np.frombuffer(batch["bits"][low].as_py(), dtype=np.uint8)
+                    low += 1
+                if high == low or segment[low] != now:
+                    continue
+                asked = batch["gram"].slice(low, high - low).to_numpy()
+                n = len(asked)
+                levels = _ask(bits, np.zeros(n, dtype=np.int64), np.full(n, 8 * len(bits), dtype=np.uint64), asked.view(np.uint64), np.full(n, most))
+                known = levels > 0
+                yield pa.RecordBatch.from_arrays([pa.array(asked[known]), pa.array(levels[known])], ["gram", "level"])
+
+    n = partitions(grams.sparkSession)
+    asked = grams.select(F.shiftrightunsigned("gram", 64 - SEGMENT_BITS).cast("int").alias("segment"), "gram", F.lit(None).cast("binary").alias("bits"))
+    segments = counted.where("kind = 1").select(F.col("key").cast("int").alias("segment"), F.lit(0).cast("long").alias("gram"), "bits")
+    rows = asked.union(segments).repartition(n, "segment").sortWithinPartitions("segment", F.col("bits").isNull())
+    return rows.mapInArrow(answer, "gram long, level long")
+
+
+def _joined_scores(docs: DataFrame, counted: DataFrame, tokens: int, words: int) -> DataFrame:
+    """Scores by a filter that is too large to broadcast: ``(doc_id, content, score)``, of which the rows of a text add up.
+
+    ``docs (doc_id, text, content)``. Each pair that occurs is priced once, by its level and those of its two words.
+    """
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches, COUNT_STEP):
+            tokens, _ = token_hashes(batch["text"])
+            pair, first = np.unique(pair_hashes(tokens), return_index=True)
+            word, before = salted(tokens[first], 21), salted(np.where(first > 0, tokens[first - 1], END), 21)
+            for low in range(0, len(pair), 1 << 16):
+                part = slice(low, low + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(x[part].view(np.int64)) for x in (pair, word, before)], ["pair", "word", "before"])
+
+    def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches, 1 << 22):
+            tokens, at = token_hashes(batch["text"])
+            distinct, inverse = np.unique(pair_hashes(tokens), return_inverse=True)
+            text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            both, times = np.unique(text * len(distinct) + inverse, return_counts=True)
+            text, pair = both // len(distinct), distinct[both % len(distinct)]
+            for low in range(0, len(both), 1 << 16):
+                part = slice(low, low + (1 << 16))
+                of = pa.array(text[part])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(of), batch["content"].take(of), pa.array(pair[part].view(np.int64)), pa.array(times[part])], ["doc_id", "content", "pair", "times"])
+
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            logs = _logs(*(batch[x].to_numpy() for x in ("of_word", "of_before", "of_pair")), tokens, words)
+            yield pa.RecordBatch.from_arrays([batch["pair"], pa.array(logs)], ["pair", "log"])
+
+    pairs = stored(docs.select("text").mapInArrow(asked, "pair long, word long, before long").dropDuplicates(["pair"]), "asked_pairs")
+    # every word that occurs is the second of a pair, and the end is before the first
+    grams = pairs.select(F.col("pair").alias("gram")).union(pairs.select("word").union(pairs.select("before")).distinct())
+    levels = stored(_looked_up(grams, counted, _most(tokens)), "levels")
+    for name in ("pair", "word", "before"):
+        pairs = pairs.join(levels.select(F.col("gram").alias(name), F.col("level").alias(f"of_{name}")), name, "left")
+    pairs = pairs.select("pair", *(F.coalesce(f"of_{x}", F.lit(0).cast("long")).alias(f"of_{x}") for x in ("word", "before", "pair")))
+    priced = stored(pairs.mapInArrow(price, "pair long, log double"), "priced_pairs")
+    used = docs.select("doc_id", "text", "content").mapInArrow(uses, "doc_id long, content long, pair long, times long")
+    return used.join(priced, "pair").select("doc_id", "content", (F.col("times") * F.col("log")).alias("score"))
 
 
 def score(docs: DataFrame, train: Column) -> DataFrame:
@@ -213,12 +334,13 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     counted = count(docs.where("train"))
-    model = load(counted)
+    n_tokens, n_words = _totals(counted)
+    model = load(counted) if filter_bytes(counted) <= BROADCAST_BYTES else None
     exact = counted.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
     top = _frequent(exact).toPandas()
     order = np.argsort(top["word"].to_numpy().view(np.uint64))
     frequent = (top["word"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order])
-    total = model.tokens + 0.5 * (model.words + 1)
+    total = n_tokens + 0.5 * (n_words + 1)
     shared = spark.sparkContext.broadcast((model, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +348,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
         for batch in grouped(batches, 1 << 22):
             tokens, at = token_hashes(batch["text"])
             distinct, inverse = np.unique(tokens, return_inverse=True)
-            logs = model.log_probabilities(distinct, inverse, tokens)
+            logs = model.log_probabilities(distinct, inverse, tokens) if model is not None else np.zeros(len(tokens))
             c, found = np.zeros(len(distinct)), np.zeros(len(distinct), dtype=bool)
             if len(words):
                 where = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
@@ -257,6 +379,10 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("content"))
     parts = rows.mapInArrow(run, "doc_id long, content long, word long, texts long, tokens long, known long, base double, score double")
     known = parts.join(exact, "word", "left")
+    if model is None:
+        none = {x: F.lit(0).cast("long") for x in ("word", "texts", "tokens", "known", "c")}
+        joined = _joined_scores(rows, counted, n_tokens, n_words).withColumns(none | {"base": F.lit(0.0)})
+        known = known.unionByName(joined)
     rare = F.col("texts") == 0
     seen = F.coalesce("c", F.lit(0))
     sums = known.groupBy("doc_id", "content").agg(
@@ -272,7 +398,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
         "doc_id",
         (F.col("tokens") / F.col("texts")).cast("long").alias("n_tokens"),
         (F.col("known") / F.col("texts")).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("texts")).alias("base_score"),
         (F.col("score") / F.col("texts")).alias("score"),
     )

@@ -1,5 +1,6 @@
 """Operators on documents against brute force on small tables with nulls, ties, repeats and clashing columns."""
 
+import dataclasses
 import math
 import random
 import re
@@ -330,3 +331,32 @@ def test_scores_without_training_rows(spark):
     rows = bloom_lm.score(documents(spark, [(1, "a b"), (2, None)]), F.lit(None).cast("boolean")).collect()
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in rows) == [(1, 3, 0, 0), (2, 1, 0, 0)]
     assert bloom_lm.score(documents(spark, []), F.lit(True)).count() == 0
+
+
+def test_the_filter_grows_with_its_entries(spark, monkeypatch):
+    rows = corpus(seed=13, n=120, longest=200)
+    docs = documents(spark, rows)
+    monkeypatch.setattr(bloom_lm, "FILTER_BYTES", 1 << 12)
+    model = bloom_lm.load(bloom_lm.count(docs))
+    assert model.false_positives <= 0.05
+    strangers = words.salted(np.arange(1, 20_001, dtype=np.uint64), 77)
+    assert (model.levels(strangers, np.full(20_000, 9)) > 0).mean() <= 0.06
+    # no word is asked for beyond the level of all tokens, even of a filter that is full
+    full = dataclasses.replace(model, bits=np.full_like(model.bits, 255))
+    tokens, _ = bloom_lm.token_hashes(pa.array([rows[0][1], "new words"]))
+    assert (full.log_probabilities(*np.unique(tokens, return_inverse=True), tokens) <= 0).all()
+
+
+def test_a_filter_too_large_to_broadcast_gives_the_same_scores(spark, monkeypatch):
+    rows = corpus(seed=14, n=60, longest=80) + [(None, "a b"), (None, None)]
+    docs, train = documents(spark, rows), F.col("doc_id") % 3 != 0
+    for least in (1 << 12, 1 << 24):
+        monkeypatch.setattr(bloom_lm, "FILTER_BYTES", least)
+        monkeypatch.setattr(bloom_lm, "BROADCAST_BYTES", 1 << 30)
+        whole = sorted(map(tuple, bloom_lm.score(docs, train).collect()), key=str)
+        monkeypatch.setattr(bloom_lm, "BROADCAST_BYTES", 0)
+        joined = sorted(map(tuple, bloom_lm.score(docs, train).collect()), key=str)
+        assert len(whole) == len(joined) == len(rows)
+        for a, b in zip(whole, joined, strict=True):
+            assert a[:4] == b[:4] and np.allclose(a[4:], b[4:])
+    assert bloom_lm.score(documents(spark, []), train).count() == 0
