@@ -1,13 +1,14 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, then exact containment.
 
 A short item inside a long document has a tiny Jaccard similarity to all of it, so MinHash of whole
-documents would miss it. Items are therefore partitioned by size, into classes up to u = 8, 16, 32, ...
+documents would miss it. Items are therefore partitioned by size. Those of at most 8 shingles are looked up exactly: of
+n shingles, of which m have to be in the document, any n - m + 1 have one that is. Larger ones fall into classes up to u = 16, 32, ...
 shingles, and each class is compared with windows of 2u shingles that begin at every u-th shingle of
-a document. A passage of at most u shingles lies whole in one of them, and an item of which four fifths lie there has a
+a document. A passage of at most u shingles lies whole in one of them, and an item of more than u/2, of which four fifths lie there, has a
 similarity to it of at least 0.19: all of 64 minima differ with a chance of about 10**-6. Minima of
 windows are minima of blocks of the smallest class, taken together two by two, so each shingle is hashed once for all classes.
 
-A document and an item with any minimum in common are a candidate pair, which an exact count of the item's distinct
+A document and an item with any minimum, or any of the shingles looked up, in common are a candidate pair, which an exact count of the item's distinct
 shingles in the *whole* document decides. Items come in slices of bounded size, which are broadcast; for
 each slice the documents are passed over once.
 """
@@ -27,8 +28,8 @@ from .words import distinct_sets, grouped, salted, shingle_hashes, word_hashes
 
 #: Words of a shingle; percent of an item's shingles that a document must hold.
 WIDTH, PERCENT = 5, 80
-#: Minima of a signature, and shingles of the smallest class.
-MINIMA, BLOCK = 64, 8
+#: Minima of a signature, and shingles of the largest items that are looked up exactly.
+MINIMA, EXACT = 64, 8
 #: Items and characters of items that are broadcast at once, at most (a longer item goes alone).
 SLICE_ITEMS, SLICE_CHARS = 20_000, 16_000_000
 
@@ -52,15 +53,21 @@ def _blocks(counts: np.ndarray, per: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class ItemIndex:
-    """Items of one slice: shingles, classes by size and the minima of each class."""
+    """Items of one slice: shingles, keys of small items, classes of the others by size and the minima of each class."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
-        values, starts = distinct_sets(*shingle_hashes(*word_hashes(pa.array(texts, pa.string())), WIDTH, whole_if_short=False))
+    def __init__(self, ids: list[int], texts: list[str | None], percent: int = PERCENT, short_items: bool = False):
+        words = word_hashes(pa.array(texts, pa.string()))
+        values, starts = distinct_sets(*shingle_hashes(*words, WIDTH, whole_if_short=short_items))
         sizes = np.diff(starts)
         self.ids = np.array(ids, dtype=np.int64)
         self.sets = [values[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        #: Words of the items below WIDTH words, whose only shingle is their whole sequence.
+        self.widths = sorted(set(np.diff(words[1]).tolist()) & set(range(1, WIDTH))) if short_items else []
+        small = [(key, i) for i in np.flatnonzero((sizes > 0) & (sizes <= EXACT)) for key in self.sets[i][: sizes[i] - -(-percent * sizes[i] // 100) + 1]]
+        small.sort()
+        self.keys, self.of_key = np.array([k for k, _ in small], dtype=np.uint64), np.array([i for _, i in small], dtype=np.int64)
         self.classes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        upper = np.where(sizes > 0, 1 << np.ceil(np.log2(np.maximum(sizes, BLOCK))).astype(np.int64), 0)
+        upper = np.where(sizes > EXACT, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), 0)
         for u in np.unique(upper[upper > 0]):
             items = np.flatnonzero(upper == u)
             minima = np.stack([_minima(self.sets[i], np.array([0]))[:, 0] for i in items], axis=1)
@@ -70,9 +77,20 @@ class ItemIndex:
                 seen[k, minima[k] >> np.uint64(64 - bits)] = True
             self.classes.append((int(u), items, minima, seen))
 
-    def candidates(self, values: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
-        """Pairs of text and item with a minimum in common; ``values`` are the texts' shingles in order."""
+    def exact(self, values: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
+        """Pairs of text and small item of which a key is among the texts' shingles."""
         found: set[tuple[int, int]] = set()
+        if len(self.keys):
+            low, high = (np.searchsorted(self.keys, values, side=side) for side in ("left", "right"))
+            at = np.flatnonzero(low < high)
+            text = np.searchsorted(np.cumsum(counts), at, side="right")
+            for t, a, b in np.unique(np.stack([text, low[at], high[at]], axis=1), axis=0).tolist():
+                found.update((t, i) for i in self.of_key[a:b].tolist())
+        return found
+
+    def candidates(self, values: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
+        """Pairs of text and item with a key or minimum in common; ``values`` are the texts' shingles in order."""
+        found = self.exact(values, counts)
         if not len(values) or not self.classes:
             return found
         size = self.classes[0][0]  # smaller blocks than the smallest class needs are left out
@@ -108,18 +126,20 @@ def _slices(items: DataFrame) -> Iterator[tuple[list[int], list[str | None]]]:
             yield [r.item_id for r in rows], [r.text for r in rows]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, short_items: bool = False) -> DataFrame:
     """Documents that hold benchmark items: ``(doc_id, item_id, n_shared, n_item)``, a row for each pair.
 
     ``items (item_id, text)``. An item is held when at least ``percent`` of its distinct five-word
-    shingles occur anywhere in the whole document, as words in lower case (A-Z) between white space. Items or documents of fewer
-    than five words have no shingle and are in no pair, nor are NULL or empty texts and items without an id.
+    shingles occur anywhere in the whole document, as words in lower case (A-Z) between white space. Items of fewer
+    than five words have no shingle and are in no pair; with ``short_items`` they count as one shingle, their whole sequence of words,
+    and are held by documents where it occurs. Documents of fewer than five words can hold such items only.
+    NULL or empty texts and items without an id are in no pair.
     Rows of ``docs`` with a NULL ``doc_id`` yield rows with a NULL; repeated rows of either table yield a row each.
     Other columns are ignored. Empty tables give an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     context = docs.sparkSession.sparkContext
-    results = [_search(docs, context.broadcast(ItemIndex(*part)), percent) for part in _slices(items)]
+    results = [_search(docs, context.broadcast(ItemIndex(*part, percent, short_items)), percent) for part in _slices(items)]
     return reduce(DataFrame.union, results)
 
 
@@ -127,11 +147,15 @@ def _search(docs: DataFrame, shared, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in grouped(batches, 1 << 22):
-            values, starts = shingle_hashes(*word_hashes(batch["text"]), WIDTH, whole_if_short=False)
+            words = word_hashes(batch["text"])
+            values, starts = shingle_hashes(*words, WIDTH, whole_if_short=False)
             wanted = defaultdict(list)
             for text, item in sorted(index.candidates(values, np.diff(starts))):
                 wanted[text].append(item)
             rows = []
+            for width in index.widths:
+                spans, ends = shingle_hashes(*words, width, whole_if_short=False)
+                rows += [(text, int(index.ids[item]), 1, 1) for text, item in sorted(index.exact(spans, np.diff(ends)))]
             for text, items in wanted.items():
                 whole = np.unique(values[starts[text] : starts[text + 1]])
                 for item in items:

@@ -215,6 +215,23 @@ def test_contained_items_equal_brute_force(spark, monkeypatch):
     assert decontamination.contaminated(docs, benchmark.where("false")).count() == 0
 
 
+def test_the_smallest_items_are_always_found(spark):
+    rng = random.Random(21)
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(n))) for i, n in enumerate([*[5] * 1500, *range(6, 13)])]
+    rows = [(i, " ".join(["at"] + rng.choices("abcdefgh", k=9) + text.split() + rng.choices("abcdefgh", k=9))) for i, text in items]
+    got = decontamination.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i, _ in items]
+
+
+def test_items_below_five_words_are_searched_as_a_whole(spark):
+    items = spark.createDataFrame([(1, "One two"), (2, "three"), (3, "a b c d"), (4, "a b c d e"), (5, "one TWO"), (6, " "), (7, None), (None, "three")], "item_id long, text string")
+    docs = documents(spark, [(1, "zero one\nTwo x one two"), (2, "onetwo two one"), (3, "a b c d"), (4, "three a b c d e f"), (None, "three"), (6, "three four"), (7, ""), (8, None)])
+    got = decontamination.contaminated(docs, items, short_items=True).collect()
+    expected = [(1, 1, 1, 1), (1, 5, 1, 1), (3, 3, 1, 1), (4, 2, 1, 1), (4, 3, 1, 1), (4, 4, 1, 1), (None, 2, 1, 1), (6, 2, 1, 1)]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    assert [tuple(r) for r in decontamination.contaminated(docs, items).collect()] == [(4, 4, 1, 1)]
+
+
 # toxicity
 
 
