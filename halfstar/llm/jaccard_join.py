@@ -247,7 +247,7 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     sets = stored(shingle_sets(docs, width), "sets")
     clusters = _clusters(docs, width, percent)
     chosen = sets.where("set_id <> 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
-    members = stored(clusters.join(chosen, "set_id").where("doc_id is not null"), "members")
+    members = stored(clusters.join(chosen, "set_id"), "members")
     links = _links(docs, members, width, percent)
     found = connected_components(links, "links").select(F.col("node").alias("set_id"), "component")
     # empty sets get a key of their own each, which spreads them
@@ -282,9 +282,13 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
         "sizes",
     )
     block = F.pmod(F.xxhash64("set_id", F.lit("block")), "blocks")
-    texts = docs.where("doc_id is not null and text is not null")
+    texts = docs.where("text is not null")
     placed = members.join(sizes, "cluster").withColumn("block", block).withColumns({"side": F.lit(0), "part": F.lit(0).cast("long")})
-    placed = stored(placed.join(texts, "doc_id"), "placed")  # the texts of candidates, moved once
+    moved = placed.join(texts, "doc_id")
+    if not members.where("doc_id is null").isEmpty():  # sets that only rows without an id have
+        nameless = _named_texts(texts.where("doc_id is null"), width)
+        moved = moved.unionByName(placed.where("doc_id is null").join(nameless, "set_id"))
+    placed = stored(moved, "placed")  # the texts of candidates, moved once
     links = stored(_link_blocks(placed, width, percent), "block_links")
     large = placed.where("blocks > 1")
     if large.isEmpty():
@@ -296,9 +300,9 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
     heads = stored(heads.join(stored(pieces, "pieces"), "cluster").where("pieces > 1").withColumn("block", F.pmod("block", "heads")), "heads")
     if heads.isEmpty():
         return links
-    texts = large.select("set_id", "doc_id", "text")
-    rows = heads.select("cluster", "block", F.lit(0).alias("side"), F.lit(0).cast("long").alias("part"), "set_id", "doc_id")
-    links = links.union(stored(_link_blocks(rows.join(texts, ["set_id", "doc_id"]), width, percent), "head_links"))
+    texts = large.select("set_id", "text")  # a set has one doc_id or none
+    rows = heads.select("cluster", "block", F.lit(0).alias("side"), F.lit(0).cast("long").alias("part"), "set_id")
+    links = links.union(stored(_link_blocks(rows.join(texts, "set_id"), width, percent), "head_links"))
     parts = _parts(large.drop("text"), links)
     broken = stored(parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high"), "broken")
     if broken.isEmpty():
@@ -311,9 +315,20 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
         (F.col("block") > F.col("other")).cast("int").alias("side"),
         "part",
         "set_id",
-        "doc_id",
     )
-    return links.union(stored(_link_blocks(rows.join(texts, ["set_id", "doc_id"]), width, percent), "pair_links"))
+    return links.union(stored(_link_blocks(rows.join(texts, "set_id"), width, percent), "pair_links"))
+
+
+def _named_texts(docs: DataFrame, width: int) -> DataFrame:
+    """Texts by their sets, ``(set_id, text)``; copies within a step of texts once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches):
+            names = fingerprints(*document_sets(batch["text"], width))
+            _, first = np.unique(names, return_index=True)
+            yield pa.RecordBatch.from_arrays([_signed(names[first]), batch["text"].take(pa.array(first))], ["set_id", "text"])
+
+    return docs.select("text").mapInArrow(run, "set_id long, text string")
 
 
 def _parts(placed: DataFrame, links: DataFrame) -> DataFrame:

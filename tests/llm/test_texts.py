@@ -127,6 +127,19 @@ def test_components_of_empty_tables_and_missing_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, 2, 2), (5, 2, 2), (None, 0, None), (None, 1, None), (2, 2, 2)], key=str)
 
 
+def test_rows_without_an_id_link_others(spark, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    chain = []
+    for i in range(8):  # only neighbours are similar
+        base[7 * i] = f"v{i}"
+        chain.append(" ".join(base))
+    rows = [(None if i % 3 else 50 - i, t) for i, t in enumerate(chain)] + [(None, chain[1]), (None, None), (None, "q r s")]
+    for blocks in (1024, 2):
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", blocks)
+        got = jaccard_join.similar_components(documents(spark, rows), 3, 90).collect()
+        assert sorted((r.doc_id is not None, r.doc_id or 0, r.component_id or 0) for r in got) == sorted((d is not None, d or 0, 44 if t in chain else 0) for d, t in rows)
+
+
 def test_similar_sets_always_share_a_key():
     rng = np.random.default_rng(5)
     for percent in (80, 90):
