@@ -49,7 +49,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _bands(largest: int) -> np.ndarray:
-    """Upper sizes of the bands, each half as large again as the one before."""
+    """Upper sizes of the bands up to that of ``largest``, each half as large again as the one before, and one more."""
     out = [SMALL]
     while out[-1] < largest:
         out.append(out[-1] * 3 // 2)
@@ -60,7 +60,7 @@ def set_keys(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.n
     """Keys of sets, as (index of the set, key): similar sets have a key in common.
 
     Sizes from above ``SMALL`` on fall into bands, the largest size of a band being u. A set also
-    takes the keys of the next band if a similar one may lie there. Similar sets of sizes a and b differ in at most
+    takes the keys of each following band where a similar one may lie (the next one only, for percent from 67 on). Similar sets of sizes a and b differ in at most
     (a + b)(100 - p) / (100 + p) shingles. There are some classes more than that for the
     largest a and b of the band, to make up for empty ones. A set with more empty
     classes than that uses single shingles as well; two such sets then meet there, and with any other
@@ -68,14 +68,16 @@ def set_keys(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.n
     """
     sizes = np.diff(starts)
     owners, keys = [], []
-    bands = _bands(int(sizes.max(initial=1)))
+    bands = _bands(int(sizes.max(initial=1)) * 100 // percent)
     own = np.searchsorted(bands, sizes)
     single = (sizes > 0) & ((sizes <= SMALL) | (percent * sizes <= 100 * SMALL))
     set_of = np.repeat(np.arange(len(sizes)), sizes)
-    for step in (0, 1):
+    for step in range(len(bands)):
         band = own + step
-        takes = sizes > SMALL if step == 0 else (100 * sizes >= percent * (bands[np.minimum(own, len(bands) - 1)] + 1)) & (sizes > 0)
+        takes = sizes > SMALL if step == 0 else (100 * sizes >= percent * (bands[np.minimum(band - 1, len(bands) - 1)] + 1)) & (sizes > 0)
         if not takes.any():
+            if step:
+                break
             continue
         upper = bands[np.minimum(band, len(bands) - 1)]
         differ = 2 * upper * (100 - percent) // (100 + percent)

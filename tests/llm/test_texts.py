@@ -154,6 +154,17 @@ def test_similar_sets_always_share_a_key():
             assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
 
 
+def test_similar_sets_of_distant_sizes_share_a_key():
+    rng = np.random.default_rng(15)
+    for percent in (20, 40, 50, 60, 66, 67):
+        for size in [*range(5, 140, 3), 500]:
+            a = np.unique(rng.integers(0, 1 << 63, size * 100 // percent, dtype=np.uint64))
+            b = np.sort(rng.permutation(a)[: -(-percent * len(a) // 100)])
+            # steps of texts of their own, so that no set sees the sizes of others
+            keys = [set(jaccard_join.set_keys(x, np.array([0, len(x)]), percent)[1].tolist()) for x in (a, b)]
+            assert signature_tree.similar(a, b, percent) and keys[0] & keys[1]
+
+
 def test_tree_links_equal_all_pairs():
     rng = np.random.default_rng(6)
     sets = []
