@@ -155,10 +155,11 @@ def _keyed(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def _clusters(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Sets that share keys, transitively: ``(set_id, cluster)``; sets that share none are left out."""
-    from pyspark.sql import Window
-
-    lowest = F.min("set_id").over(Window.partitionBy("key"))
-    edges = _keyed(docs, width, percent).select(F.col("set_id").alias("a"), lowest.alias("b")).where("a <> b")
+    keyed = stored(_keyed(docs, width, percent), "keys")
+    # combined before the shuffle and joined back from stored tables, so that a key of very many sets is split
+    ends = keyed.groupBy("key").agg(F.min("set_id").alias("b"), F.max("set_id").alias("most"))
+    lowest = stored(ends.where("b < most").select("key", "b"), "lowest_of_keys")
+    edges = keyed.join(lowest, "key").select(F.col("set_id").alias("a"), "b").where("a <> b")
     return connected_components(edges, "clusters").select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
 
 

@@ -140,6 +140,15 @@ def test_rows_without_an_id_link_others(spark, monkeypatch):
         assert sorted((r.doc_id is not None, r.doc_id or 0, r.component_id or 0) for r in got) == sorted((d is not None, d or 0, 44 if t in chain else 0) for d, t in rows)
 
 
+def test_no_key_is_gathered_in_a_window(spark, monkeypatch):
+    plans = []
+    write = jaccard_join.connected_components
+    monkeypatch.setattr(jaccard_join, "connected_components", lambda edges, label: plans.append(edges._jdf.queryExecution().toString()) or write(edges, label))
+    rows = corpus(seed=22, n=30, longest=60)
+    got = jaccard_join.similar_components(documents(spark, rows), 3, 90).collect()
+    assert sorted(map(tuple, got)) == brute_components(rows, 3, 90) and plans and not any("Window" in p for p in plans)
+
+
 def test_similar_sets_always_share_a_key():
     rng = np.random.default_rng(5)
     for percent in (80, 90):
