@@ -174,6 +174,15 @@ def test_similar_sets_of_distant_sizes_share_a_key():
             assert signature_tree.similar(a, b, percent) and keys[0] & keys[1]
 
 
+def test_sets_two_bands_apart_share_a_key():
+    rng = np.random.default_rng(15)  # sizes 81 and 126; the next band ends at 121
+    for _ in range(150):
+        a = np.unique(rng.integers(0, 1 << 63, 126, dtype=np.uint64))
+        b = np.sort(rng.permutation(a)[:81])
+        keys = [set(jaccard_join.set_keys(x, np.array([0, len(x)]), 64)[1].tolist()) for x in (a, b)]
+        assert keys[0] & keys[1]
+
+
 def test_tree_links_equal_all_pairs():
     rng = np.random.default_rng(6)
     sets = []
