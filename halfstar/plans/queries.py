@@ -250,17 +250,11 @@ def tags_for_movie_other_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.tags_for_movie(spark, root, LOOKUP_MOVIE)
 
 
-_STORES: dict[tuple[str, str], str] = {}
-
-
 def _store(spark: SparkSession, sf_dir: str) -> str:
-    """Where the whole job has put its marts; it runs once for each application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES:
-        root = new_scratch_dir(spark, "pipeline")
-        pipeline.run_all(spark, standin.raw_tables(spark, sf_dir), root, LIMITS)
-        _STORES[key] = root
-    return _STORES[key]
+    """Run the whole job; returns where it has put its marts. Each query runs it anew, from the tables as they are."""
+    root = new_scratch_dir(spark, "pipeline")
+    pipeline.run_all(spark, standin.raw_tables(spark, sf_dir), root, LIMITS)
+    return root
 
 
 def _stored(mart: str, *rounded: str) -> Query:

@@ -97,3 +97,12 @@ def test_marts_read_only_their_columns(spark, stored):
     counts = store.read_mart(spark, stored, "rating_counts")
     plan = planned(timeline.yearly_trends(ratings, 1996, 1997, counts))
     assert "ReadSchema: struct<user_id:int>" in plan
+
+
+def test_each_stored_mart_query_runs_the_job(spark, monkeypatch):
+    from halfstar.plans import queries as registered
+
+    runs, run_all = [], registered.pipeline.run_all
+    monkeypatch.setattr(registered.pipeline, "run_all", lambda *a, **b: runs.append(a[2]) or run_all(*a, **b))
+    counts = [queries()[name](spark, SF_DIR).count() for name in ("pipeline_movie_stats", "pipeline_movie_stats", "pipeline_genre_stats")]
+    assert len(set(runs)) == 3 and counts[0] == counts[1] > 0 and counts[2] > 0
