@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, bpe, chat, decontamination, embedding_dedup, jaccard_join, token_records, toxicity, url_rules, warc
+from . import alignment, bloom_lm, bpe, chat, decontamination, embedding_dedup, jaccard_join, token_records, toxicity, url_rules, warc
 from .tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return alignment.link_counts(read(spark, sf_dir, "documents"), tokenizer, model)
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -127,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 #: DuckDB statements, where SQL can express a query.

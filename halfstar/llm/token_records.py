@@ -9,6 +9,7 @@ in any order and seek.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -135,6 +136,13 @@ class _Known:
         self.keys, self.places = np.insert(self.keys, at, keys), np.insert(self.places, at, places, axis=0)
 
 
+def byte_level(tokenizer: str) -> bool:
+    """Whether a tokenizer's JSON has only the byte-level pre-tokenizer with its pattern, and changes no text before it."""
+    parts = json.loads(tokenizer)
+    first = parts.get("pre_tokenizer") or {}
+    return parts.get("normalizer") is None and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+
+
 class LibraryEncoder:
     """Ids of whole texts from the tokenizers library, which sees each distinct chunk once.
 
@@ -146,13 +154,22 @@ class LibraryEncoder:
     def __init__(self, tokenizer: str, width: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel ones
         self.library = Tokenizer.from_str(tokenizer)
+        if not byte_level(tokenizer):
+            raise ValueError("only tokenizers with a byte-level pre-tokenizer can be given chunks")
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = f"<u{width}"
         self.known = _Known(self.dtype)
 
+    def starts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where texts are cut into chunks."""
+        return chunk_starts(data, at)
+
+    def library_ids(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         data, at = text_buffers(texts)
-        starts = chunk_starts(data, at) if len(data) else np.empty(0, dtype=np.int64)
+        starts = self.starts(data, at) if len(data) else np.empty(0, dtype=np.int64)
         ends = np.append(starts[1:], len(data))[: len(starts)]
         hashes = np.empty(len(starts), dtype=np.uint64)
         low = 0
@@ -171,7 +188,7 @@ class LibraryEncoder:
             chunks = [data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in example[new]]
             found = []
             for k in range(0, len(chunks), 1 << 13):
-                found += [e.ids for e in self.library.encode_batch_fast(chunks[k : k + (1 << 13)], add_special_tokens=False)]
+                found += self.library_ids(chunks[k : k + (1 << 13)])
             self.known.add(distinct[new], found)
             places, _ = self.known.find(distinct)
         begin, count = places[inverse].T if len(inverse) else (np.empty(0, np.int64),) * 2
