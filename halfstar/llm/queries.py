@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bloom_lm, bpe, chat, decontamination, embedding_dedup, jaccard_join, token_records, toxicity, url_rules, warc
+from . import alignment, bloom_lm, bpe, chat, decontamination, embedding_dedup, hard_negatives, jaccard_join, pii, token_records, toxicity, url_rules, warc
 from .tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,24 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(read(spark, sf_dir, "documents"), tokenizer, model)
 
 
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(pii.labelled_spans(pii.sample(docs))))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(read(spark, sf_dir, "embeddings"), 256.0, label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -136,6 +154,8 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_token_alignment": op11_token_alignment,
+    "op12_pii": op12_pii,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: DuckDB statements, where SQL can express a query.
