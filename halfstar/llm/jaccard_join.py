@@ -4,9 +4,10 @@ Two steps keep it exact. **Keys** bring similar sets together without comparing
 of nearly equal size are cut into classes by a hash of the shingle, one class more than
 two similar sets can differ in shingles, so at least one class is equal in both; its hash is a key
 of both. (Small sets, whose classes may be empty, use single shingles: of any two similar
-sets, the first few in hash order share one.) Sets with a common key, taken
+sets, the first few in hash order share one.) Keys of a step of texts travel packed by buckets, in a single exchange. Sets with a common key, taken
 transitively, form a cluster. **Signature trees** then find within each cluster which sets are really similar
-(see ``signature_tree``), over blocks of bounded size.
+(see ``signature_tree``), over blocks of bounded size. A large cluster that does not turn out to be of one piece
+is split again, now by the keys that sets of different pieces share.
 
 Sets are named by a 64-bit fingerprint, so that copies count once everywhere.
 """
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .signature_tree import Forest, Tree, bitmap_bits, link_sets
@@ -106,60 +107,115 @@ def set_keys(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.n
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """For each row its ``doc_id``, the size of its set and the set's fingerprint (0: empty)."""
+    """For each row its ``doc_id``, its ``row`` (a hash of id and text), the size of its set and the set's fingerprint (0: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches):
             values, starts = document_sets(batch["text"], width)
-            columns = [batch["doc_id"], pa.array(np.diff(starts)), _signed(fingerprints(values, starts))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_id"])
+            columns = [batch["doc_id"], batch["row"], pa.array(np.diff(starts)), _signed(fingerprints(values, starts))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "set_id"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id long")
+    return docs.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, n_shingles long, set_id long")
 
 
-def _keyed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Keys of all sets, ``(key, set_id)``; within a step of texts, a key that many sets share is sent once.
+def _step_keys(texts: pa.Array, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the distinct sets of some texts, sorted, and the set of each."""
+    values, starts = document_sets(texts, width)
+    names = fingerprints(values, starts)
+    _, first = np.unique(names, return_index=True)  # copies once
+    once = np.zeros(len(names), dtype=bool)
+    once[first] = names[first] != 0
+    kept = np.repeat(once, np.diff(starts))
+    starts = np.concatenate([[0], np.cumsum(np.where(once, np.diff(starts), 0)[once])])
+    owner, keys = set_keys(values[kept], starts, percent)
+    owner = names[once].view(np.int64)[owner]
+    order = np.lexsort((owner, keys))
+    return keys[order], owner[order]
 
-    The others of such a step are linked to the one that is sent by keys of their own: both get
-    ``key = set_id of the one`` in the result, a number that no other key takes but by chance.
+
+def _stars(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted keys, the places where a new one begins; and pairs of each other set of a key and the first one, each pair once."""
+    head = np.ones(len(keys), dtype=bool)
+    head[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(head)
+    left, right = owner[~head], owner[first[np.cumsum(head)[~head] - 1]]
+    order = np.lexsort((right, left))
+    left, right = left[order], right[order]
+    fresh = left != right
+    fresh[1:] &= (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+    return first, left[fresh], right[fresh]
+
+
+#: Sets, lower 48 bits of keys, and the place of each key's set among the sets; and pairs of sets that share a key.
+_PACKED = "bucket int, names binary, keys binary, owners binary, lefts binary, rights binary"
+
+
+def _packed_keys(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """Keys of all sets, a row for each step of texts and bucket of keys.
+
+    Within a step, a key that many sets share goes with the first of them only; the others are linked to it by pairs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches, KEY_STEP):
-            values, starts = document_sets(batch["text"], width)
-            names = fingerprints(values, starts)
-            _, first = np.unique(names, return_index=True)  # copies once
-            once = np.zeros(len(names), dtype=bool)
-            once[first] = names[first] != 0
-            kept = np.repeat(once, np.diff(starts))
-            starts = np.concatenate([[0], np.cumsum(np.where(once, np.diff(starts), 0)[once])])
-            owner, keys = set_keys(values[kept], starts, percent)
-            owner = names[once].view(np.int64)[owner]
-            order = np.lexsort((owner, keys))
-            keys, owner = keys[order], owner[order]
-            head = np.ones(len(keys), dtype=bool)
-            head[1:] = keys[1:] != keys[:-1]
-            of = owner[np.flatnonzero(head)][np.cumsum(head) - 1] if len(keys) else owner
-            pairs = np.unique(np.stack([owner[~head], of[~head]], axis=1), axis=0)
-            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-            # the one that is sent also names itself, so that the others find it
-            key = np.concatenate([keys[head].view(np.int64), pairs[:, 1], np.unique(pairs[:, 1])])
-            name = np.concatenate([owner[head], pairs[:, 0], np.unique(pairs[:, 1])])
-            order = np.argsort(name)  # equal names in a row are stored in less space
-            key, name = key[order], name[order]
-            for low in range(0, len(key), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(key[low : low + (1 << 17)]), pa.array(name[low : low + (1 << 17)])], ["key", "set_id"])
-
-    return docs.select("text").mapInArrow(run, "key long, set_id long")
+            keys, owner = _step_keys(batch["text"], width, percent)
+            if not len(keys):
+                continue
+            first, left, right = _stars(keys, owner)
+            keys, owner = keys[first], owner[first]
+            bucket = (keys >> np.uint64(48)).astype(np.int64) % buckets
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            rows = []
+            for number in np.flatnonzero(np.diff(cuts)).tolist():
+                part = order[cuts[number] : cuts[number + 1]]
+                names, place = np.unique(owner[part], return_inverse=True)
+                low = np.ascontiguousarray(keys[part].view("<u2").reshape(-1, 4)[:, :3])
+                rows.append((number, names.tobytes(), low.tobytes(), place.astype("<u2" if len(names) <= 1 << 16 else "<u4").tobytes(), b"", b""))
+            rows[0] = (*rows[0][:4], left.tobytes(), right.tobytes())
+            columns = [pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(zip(*rows, strict=True))]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PACKED.split(", ")])
+
+    return docs.select("text").mapInArrow(run, _PACKED)
+
+
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``(a, b)`` of sets that share a key, enough to connect all that do, from rows that come bucket by bucket."""
+    pending: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def pairs(left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low in range(0, len(left), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[low : low + (1 << 16)]) for x in (left, right)], ["a", "b"])
+
+    def done() -> Iterator[pa.RecordBatch]:
+        keys, owner = (np.concatenate(x) for x in zip(*pending, strict=True))
+        order = np.lexsort((owner, keys))
+        yield from pairs(*_stars(keys[order], owner[order])[1:])
+
+    now = None
+    for batch in batches:
+        for number, names, low, place, left, right in zip(*(batch[c].to_pylist() for c in batch.schema.names), strict=True):
+            if number != now and pending:
+                yield from done()
+                pending = []
+            now = number
+            yield from pairs(np.frombuffer(left, np.int64), np.frombuffer(right, np.int64))
+            parts = np.frombuffer(low, "<u2").reshape(-1, 3).astype(np.uint64)
+            keys = parts[:, 0] | parts[:, 1] << np.uint64(16) | parts[:, 2] << np.uint64(32)
+            place = np.frombuffer(place, f"<u{len(place) // len(keys)}")
+            pending.append((keys, np.frombuffer(names, np.int64)[place]))
+    if pending:
+        yield from done()
 
 
 def _clusters(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Sets that share keys, transitively: ``(set_id, cluster)``; sets that share none are left out."""
-    keyed = stored(_keyed(docs, width, percent), "keys")
-    # combined before the shuffle and joined back from stored tables, so that a key of very many sets is split
-    ends = keyed.groupBy("key").agg(F.min("set_id").alias("b"), F.max("set_id").alias("most"))
-    lowest = stored(ends.where("b < most").select("key", "b"), "lowest_of_keys")
-    edges = keyed.join(lowest, "key").select(F.col("set_id").alias("a"), "b").where("a <> b")
+    """Sets that share keys, transitively: ``(set_id, cluster)``; sets that share none are left out.
+
+    A task holds the keys of one bucket, a quarter of a partition. A key that occurs in very many texts has one row for each step, so it fills no bucket.
+    """
+    n = partitions(docs.sparkSession)
+    packed = _packed_keys(docs, width, percent, 4 * n).repartition(n, "bucket").sortWithinPartitions("bucket")
+    edges = packed.mapInArrow(_shared_keys, _LINKS)
     return connected_components(edges, "clusters").select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
 
 
@@ -169,9 +225,8 @@ _LINKS = "a long, b long"
 def _link_blocks(placed: DataFrame, width: int, percent: int) -> DataFrame:
     """Links within each block of ``placed (cluster, block, side, part, set_id, text)``, as pairs of set and smallest linked set.
 
-    Blocks are dealt to tasks by a hash and come sorted, so a task holds one block at a time. If a
-    block has sets of side 1, only links across the sides are looked for, of sets whose
-    ``part`` differs.
+    Blocks are dealt to tasks by a hash and come sorted, so a task holds one block at a time. Sets of the same ``part`` are linked
+    already. If a block has sets of side 1, only links across the sides are looked for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,19 +271,14 @@ def _linked(rows: list[pa.RecordBatch], width: int, percent: int) -> Iterator[pa
     names, side, part = names[good], table["side"].to_numpy()[good], table["part"].to_numpy()[good]
     bits = bitmap_bits(max(map(len, sets)))
     forest = Forest(len(good))
-    if side.any():
-        for p in np.unique(part):  # what is linked before stays linked
-            members = np.flatnonzero(part == p)
-            for i in members[1:]:
-                forest.link(int(members[0]), int(i))
-        trees = [Tree([sets[i] for i in np.flatnonzero(side == s)], np.flatnonzero(side == s), bits) for s in (0, 1) if (side == s).any()]
-        if len(trees) == 2:
-            link_sets(*trees, percent, forest)
-    else:
-        tree = Tree(sets, np.arange(len(sets)), bits)
-        link_sets(tree, tree, percent, forest)
+    _, first, of = np.unique(part, return_index=True, return_inverse=True)
+    for i, j in enumerate(first[of].tolist()):
+        forest.link(i, j)
+    sides = [np.flatnonzero(side == s) for s in (0, 1) if (side == s).any()]
+    trees = [Tree([sets[i] for i in members], members, bits) for members in sides]
+    link_sets(trees[0], trees[-1], percent, forest)
     roots = np.array([forest.root(i) for i in range(len(good))])
-    linked = roots != np.arange(len(good))
+    linked = part[roots] != part  # what was linked before is known
     if linked.any():
         yield pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(names[roots[linked]])], ["a", "b"])
 
@@ -247,11 +297,14 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     gives an empty result. Texts of any length are used whole.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
     sets = stored(shingle_sets(docs, width), "sets")
     clusters = _clusters(docs, width, percent)
-    chosen = sets.where("set_id <> 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
-    members = stored(clusters.join(chosen, "set_id"), "members")
-    links = _links(docs, members, width, percent)
+    # one row stands for a set; whether it is repeated is known
+    rows = sets.where("set_id <> 0").groupBy("set_id", "row").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
+    chosen = rows.groupBy("set_id").agg(F.min(F.struct("row", "copies")).alias("one"), F.max("n").alias("n"))
+    members = stored(clusters.join(chosen.select("set_id", "one.*", "n"), "set_id"), "members")
+    links = _links(docs.where("text is not null").select("row", "text"), members, width, percent)
     found = connected_components(links, "links").select(F.col("node").alias("set_id"), "component")
     # empty sets get a key of their own each, which spreads them
     named = sets.withColumn("key", F.when(F.col("set_id") == 0, F.xxhash64("doc_id")).otherwise(F.col("set_id")))
@@ -269,12 +322,12 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     )
 
 
-def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(texts: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between the sets of each cluster, enough of them to connect what is connected.
 
     A cluster that fits one block is done at once. A larger one is dealt to blocks by a hash; then
     one set stands for each component found in a block, these are joined in the same way, and only
-    where a cluster is still not in one piece are pairs of blocks traversed, passing over sets that are linked already.
+    where a cluster is still not in one piece do the keys decide what else can be linked.
     """
     sizes = stored(
         members.groupBy("cluster").agg(
@@ -285,53 +338,73 @@ def _links(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Dat
         "sizes",
     )
     block = F.pmod(F.xxhash64("set_id", F.lit("block")), "blocks")
-    texts = docs.where("text is not null")
-    placed = members.join(sizes, "cluster").withColumn("block", block).withColumns({"side": F.lit(0), "part": F.lit(0).cast("long")})
-    moved = placed.join(texts, "doc_id")
-    if not members.where("doc_id is null").isEmpty():  # sets that only rows without an id have
-        nameless = _named_texts(texts.where("doc_id is null"), width)
-        moved = moved.unionByName(placed.where("doc_id is null").join(nameless, "set_id"))
-    placed = stored(moved, "placed")  # the texts of candidates, moved once
+    placed = members.join(sizes, "cluster").withColumn("block", block).withColumns({"side": F.lit(0), "part": F.col("set_id")})
+    moved = placed.join(texts, "row")
+    if not members.where("copies > 1").isEmpty():  # repeated rows bring their text once each
+        moved = moved.where("copies = 1").unionByName(moved.where("copies > 1").dropDuplicates(["set_id"]))
+    placed = stored(moved.drop("row", "copies"), "placed")  # the texts of candidates, moved once
     links = stored(_link_blocks(placed, width, percent), "block_links")
     large = placed.where("blocks > 1")
     if large.isEmpty():
         return links
-    large = stored(large.drop("side", "part"), "large")
+    large = large.drop("side", "part")
     parts = _parts(large.drop("text"), links)
     heads = parts.where("set_id = part").withColumn("block", F.pmod(F.xxhash64("set_id", F.lit("head")), "blocks"))
     pieces = heads.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_SETS)).cast("long").alias("heads"), F.count("*").alias("pieces"))
     heads = stored(heads.join(stored(pieces, "pieces"), "cluster").where("pieces > 1").withColumn("block", F.pmod("block", "heads")), "heads")
     if heads.isEmpty():
         return links
-    texts = large.select("set_id", "text")  # a set has one doc_id or none
-    rows = heads.select("cluster", "block", F.lit(0).alias("side"), F.lit(0).cast("long").alias("part"), "set_id")
+    texts = large.select("set_id", "text")
+    rows = heads.select("cluster", "block", F.lit(0).alias("side"), "part", "set_id")
     links = links.union(stored(_link_blocks(rows.join(texts, "set_id"), width, percent), "head_links"))
     parts = _parts(large.drop("text"), links)
     broken = stored(parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high"), "broken")
     if broken.isEmpty():
         return links
-    # block pairs, each named by the pair: every set goes to the pairs of its block with all others
-    rows = parts.join(broken, "cluster").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.where("other <> block").select(
-        "cluster",
-        (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("block"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "part",
-        "set_id",
-    )
-    return links.union(stored(_link_blocks(rows.join(texts, "set_id"), width, percent), "pair_links"))
+    texts = stored(large.join(broken, "cluster").select("set_id", "text"), "broken_texts")
+    return links.union(_links_of_keys(texts, parts.join(broken, "cluster").select("set_id", "n", "part"), width, percent))
 
 
-def _named_texts(docs: DataFrame, width: int) -> DataFrame:
-    """Texts by their sets, ``(set_id, text)``; copies within a step of texts once."""
+def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between sets of different parts: such sets share a key, so only keys of several parts have to be looked at.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches):
-            names = fingerprints(*document_sets(batch["text"], width))
-            _, first = np.unique(names, return_index=True)
-            yield pa.RecordBatch.from_arrays([_signed(names[first]), batch["text"].take(pa.array(first))], ["set_id", "text"])
+    The sets of such a key are a block. Those of a larger one are told apart by size first: similar
+    sets are of one band of sizes or of two neighbouring ones. Only within two bands that have more than a block of sets are pairs of blocks
+    traversed, so what moves is the sets of a key and band times the blocks of its neighbours.
+    """
 
-    return docs.select("text").mapInArrow(run, "set_id long, text string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches, KEY_STEP):
+            keys, owner = _step_keys(batch["text"], width, percent)
+            for low in range(0, len(keys), 1 << 16):
+                yield pa.RecordBatch.from_arrays([_signed(keys[low : low + (1 << 16)]), pa.array(owner[low : low + (1 << 16)])], ["key", "set_id"])
+
+    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
+    keyed = stored(texts.select("text").mapInArrow(run, "key long, set_id long"), "keys_of_parts")
+    keyed = stored(keyed.join(parts, "set_id").withColumn("band", band), "keyed_parts")
+    groups = keyed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("sets")).where("low < high")
+    groups = stored(groups.select("key", "sets"), "keys_between")
+    rows = stored(keyed.join(groups, "key"), "between")
+    small = rows.where(F.col("sets") <= BLOCK_SETS).select("key", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
+    # a larger key: blocks of each band, and pairs of blocks of a band or two
+    many = rows.where(F.col("sets") > BLOCK_SETS)
+    blocks = stored(many.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("long").alias("blocks")), "band_blocks")
+    own = many.join(blocks, ["key", "band"]).withColumn("own", F.pmod(F.xxhash64("set_id", F.lit("band")), "blocks"))
+    above = blocks.select("key", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = blocks.select("key", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    own = own.join(above, ["key", "band"], "left").join(below, ["key", "band"], "left")
+    first, second = F.col("own"), F.col("other")
+
+    def pairs(until: str, lower_band: Column, left: Column, right: Column, side: Column) -> DataFrame:
+        """Each set once for each of the blocks that it is compared with."""
+        met = own.where(F.col(until) > 0).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(until) - 1)))
+        return met.select("key", F.xxhash64(lower_band, F.lit(until == "blocks"), left, right).alias("block"), side.cast("int").alias("side"), "part", "set_id")
+
+    large = pairs("blocks", F.col("band"), F.least(first, second), F.greatest(first, second), first > second)
+    large = large.union(pairs("above", F.col("band"), first, second, F.lit(0)))
+    large = large.union(pairs("below", F.col("band") - 1, second, first, F.lit(1)))
+    placed = small.union(large).withColumnRenamed("key", "cluster")
+    return stored(_link_blocks(placed.join(texts.select("set_id", "text"), "set_id"), width, percent), "key_links")
 
 
 def _parts(placed: DataFrame, links: DataFrame) -> DataFrame:
