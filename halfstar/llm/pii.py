@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import span_crf
+from .tables import stored
 from .words import grouped
 
 KINDS = ("email", "ip", "card", "phone")
-#: Texts that labels are taken from, at most; windows with and without spans among them; characters of a training window.
-SAMPLE_ROWS, WITH_SPANS, WITHOUT, LENGTH = 16_384, 1_536, 1_536, 64
+#: Texts that labels are taken from, at most; windows with spans, with words like them and without; characters of a training window.
+SAMPLE_ROWS, WITH_SPANS, NEAR, WITHOUT, LENGTH = 16_384, 1_536, 1_024, 512, 64
 #: Share of the windows that only thresholds are set on; least share of found spans there that are labelled, and their least number.
 HELD_OUT, PRECISION, LEAST = 4, 0.98, 15
 #: Bytes of text that are read at once.
@@ -33,10 +34,11 @@ _SPANS = "array<struct<kind: string, start: int, end: int, base: boolean>>"
 # no long run is tried from each of its characters.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _OTHER = re.compile(r"[^0-9]")
+_DIGITS = re.compile(r"[^\s]*?[0-9@+][^\s]*")
 
 
 def luhn(digits: str) -> bool:
@@ -92,7 +94,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def rewritten(kind: int, span: str) -> str:
     """The same datum written as no rule takes it; the span itself if there is no such way."""
     if KINDS[kind] == "email":
-        return span.replace("@", " at ").replace(".", " dot ")
+        return span.replace("@", "[at]").replace(".", "[dot]")
     if KINDS[kind] == "phone":
         return span.replace("+", "00", 1)
     return span
@@ -128,7 +130,8 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def _training_rows(labelled: DataFrame) -> DataFrame:
-    """Windows of labelled texts, ``(spanned, order, chars, tags)``: each span somewhere in one, as it is and rewritten, and one without for each text."""
+    """Windows of labelled texts, ``(sort, order, chars, tags)``: each span somewhere in one, as it is and rewritten (sort 2), each
+    word with a digit or sign that is in no span (1), and one without spans for each text (0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches, READ):
@@ -150,15 +153,20 @@ def _training_rows(labelled: DataFrame) -> DataFrame:
                         moved += [(k, a - end + len(before) + len(new), b - end + len(before) + len(new)) for k, a, b in known if a >= end]
                         moved.append((kind, len(before), len(before) + len(new)))
                         low = len(before) - int(random.integers(0, max(1, LENGTH - len(new))))
-                        rows.append((True, *_window(whole, sorted(moved, key=lambda s: s[1]), low)))
+                        rows.append((2, *_window(whole, sorted(moved, key=lambda s: s[1]), low)))
+                # what is no span though it looks like one teaches more than the rest of a text
+                for match in _DIGITS.finditer(text):
+                    if not any(a < match.end() and b > match.start() for _, a, b in known):
+                        low = match.start() - int(random.integers(0, LENGTH - LENGTH // 8))
+                        rows.append((1, *_window(text, known, low)))
                 low = int(random.integers(0, max(1, len(text) - LENGTH // 2)))
                 if not any(a < low + LENGTH and b > low for _, a, b in known):
-                    rows.append((False, *_window(text, [], low)))
+                    rows.append((0, *_window(text, [], low)))
             if rows:
-                spanned, chars, tags = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(spanned), pa.array(chars, pa.binary()), pa.array(tags, pa.binary())], ["spanned", "chars", "tags"])
+                sort, chars, tags = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(sort, pa.int32()), pa.array(chars, pa.binary()), pa.array(tags, pa.binary())], ["sort", "chars", "tags"])
 
-    return labelled.select("text", "spans").mapInArrow(run, "spanned boolean, chars binary, tags binary").withColumn("order", F.xxhash64("chars", "tags"))
+    return labelled.select("text", "spans").mapInArrow(run, "sort int, chars binary, tags binary").withColumn("order", F.xxhash64("chars", "tags"))
 
 
 def _window(text: str, spans: list[tuple[int, int, int]], low: int) -> tuple[bytes, bytes]:
@@ -174,19 +182,23 @@ def _window(text: str, spans: list[tuple[int, int, int]], low: int) -> tuple[byt
 def fit(labelled: DataFrame) -> span_crf.Model:
     """A model from ``labelled (text, spans, ...)``, where ``spans`` are structs of ``kind, start, end``, in code points.
 
-    Trained on at most ``WITH_SPANS`` windows with spans and ``WITHOUT`` without, those with the smallest hash, of which every ``HELD_OUT``-th only sets
+    Trained on at most ``WITH_SPANS`` windows with spans, ``NEAR`` with words that look like some and ``WITHOUT`` others, those with the smallest hash, of which every ``HELD_OUT``-th only sets
     thresholds. NULL and empty texts, NULL spans and kinds that are not known give no windows. A kind of fewer than ``LEAST`` held-out spans is
     never added, so an empty table gives a model that finds nothing. Long texts are cut into windows; repeated ones count once each.
     """
     rows = _training_rows(labelled.select("text", F.coalesce("spans", F.array()).alias("spans")))
-    windows = [rows.where("spanned" if spanned else "not spanned").orderBy("order").limit(most).toArrow() for spanned, most in ((True, WITH_SPANS), (False, WITHOUT))]
+    rows = stored(rows, "training_windows")
+    windows = [rows.where(F.col("sort") == sort).orderBy("order").limit(most).toArrow() for sort, most in ((2, WITH_SPANS), (1, NEAR), (0, WITHOUT))]
     chars, tags = (np.array([np.frombuffer(x, dtype=np.uint8) for part in windows for x in part[c].to_pylist()], dtype=np.uint8).reshape(-1, LENGTH) for c in ("chars", "tags"))
     held = np.arange(len(chars)) % HELD_OUT == HELD_OUT - 1
     model = span_crf.train(chars[~held], tags[~held], KINDS)
-    return model._replace(evidence=_evidence(model, chars[held], tags[held]))
+    # a window counts for all of its sort that were not drawn
+    there = {r["sort"]: r["count"] for r in rows.groupBy("sort").count().collect()}
+    weights = np.repeat([there.get(sort, 0) / max(1, part.num_rows) for sort, part in zip((2, 1, 0), windows, strict=True)], [part.num_rows for part in windows])
+    return model._replace(evidence=_evidence(model, chars[held], tags[held], weights[held]))
 
 
-def _evidence(model: span_crf.Model, chars: np.ndarray, tags: np.ndarray) -> np.ndarray:
+def _evidence(model: span_crf.Model, chars: np.ndarray, tags: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """For each kind the least evidence from which on enough of the spans that the model finds are labelled; infinite, if there is none."""
     out = np.full(len(KINDS), np.inf)
     if not len(chars):
@@ -194,9 +206,9 @@ def _evidence(model: span_crf.Model, chars: np.ndarray, tags: np.ndarray) -> np.
     found = span_crf.spans_of(model, chars.ravel(), np.full(len(chars), LENGTH))
     labels = set(span_crf.read_tags(tags))
     for kind in range(len(KINDS)):
-        mine = sorted(((odds, (text, kind, a, b) in labels) for text, k, a, b, odds in found if k == kind and a > 0 and b < LENGTH), reverse=True)
-        right = np.cumsum([good for _, good in mine])
-        share = right / np.arange(1, len(mine) + 1)
+        mine = sorted(((odds, (text, kind, a, b) in labels, weights[text]) for text, k, a, b, odds in found if k == kind and a > 0 and b < LENGTH), reverse=True)
+        right = np.cumsum([good for _, good, _ in mine])
+        share = np.cumsum([good * w for _, good, w in mine]) / np.maximum(np.cumsum([w for _, _, w in mine]), 1e-9)
         enough = np.flatnonzero((share >= PRECISION) & (right >= LEAST))
         if len(enough):
             out[kind] = max(mine[enough[-1]][0], 0.0)

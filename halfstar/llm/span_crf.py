@@ -11,6 +11,7 @@ other path can beat that of only O, by a bound on emissions and transitions, are
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,13 +21,14 @@ CELLS, EMBEDDING = 8, 4
 #: Characters: ASCII, others below U+2000, others; and what lies outside a text.
 PAD = 130
 #: Characters of a window, and of the overlap of two.
-WINDOW, OVERLAP = 256, 32
+WINDOW, OVERLAP = 512, 32
 #: Windows that are run side by side; a multiple of WIDTH, so that sums do not depend on where a window stands.
 SIDE, WIDTH = 2048, 256
 #: Passes over the training windows, windows of a step, step size, seed.
 EPOCHS, STEP, RATE, SEED = 6, 32, 0.02, 7
 
-_NEVER = -1e4
+#: The score of what cannot be, and what rounding may add up to along a path.
+_NEVER, SLACK = -1e4, 1e-3
 
 
 class Model(NamedTuple):
@@ -44,7 +46,9 @@ class Model(NamedTuple):
 def characters(text: str) -> np.ndarray:
     """A small number for each code point."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return np.where(points < 128, points, np.where(points < 0x2000, 128, 129)).astype(np.uint8)
+    out = np.minimum(points, 128).astype(np.uint8)
+    out += points >= 0x2000
+    return out
 
 
 def tags_of(spans: list[tuple[int, int, int]], n: int) -> np.ndarray:
@@ -211,41 +215,77 @@ def _run(chars: np.ndarray, embedding: np.ndarray, weight: np.ndarray):
     inputs = np.zeros((weight.shape[1], n), dtype=np.float32)
     inputs[-1] = 1
     a, c, x = np.empty((4 * h, n), dtype=np.float32), np.zeros((h, n), dtype=np.float32), np.empty((h, n), dtype=np.float32)
-    out = inputs[size : size + h]
+    out, first = inputs[size : size + h], inputs[:size]
+    gates, i, f, o, g = a[: 3 * h], a[:h], a[h : 2 * h], a[2 * h : 3 * h], a[3 * h :]
+    zero, one, less = np.float32(0), np.float32(1), np.float32(-1)
     for step in chars:
-        np.take(embedding, step, axis=1, out=inputs[:size], mode="clip")
+        np.take(embedding, step, axis=1, out=first, mode="clip")
         np.matmul(weight, inputs, out=a)
-        np.clip(a[: 3 * h], 0, 1, out=a[: 3 * h])
-        np.clip(a[3 * h :], -1, 1, out=a[3 * h :])
-        c *= a[h : 2 * h]
-        np.multiply(a[:h], a[3 * h :], out=x)
-        c += x
-        np.clip(c, -1, 1, out=x)
-        np.multiply(a[2 * h : 3 * h], x, out=out)
+        np.clip(gates, zero, one, out=gates)
+        np.clip(g, less, one, out=g)
+        np.multiply(c, f, out=c)
+        np.multiply(i, g, out=x)
+        np.add(c, x, out=c)
+        np.clip(c, less, one, out=x)
+        np.multiply(o, x, out=out)
         yield out
 
 
-def margins(model: Model, chars: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """How far the best tag of each window is ahead of O anywhere, and with ``keep`` each tag at each of ``(time, windows)``."""
-    emit = model.emit[1:] - model.emit[0]
-    base = (model.bias[1:] - model.bias[0])[:, None]
+def _ahead(model: Model, chars: np.ndarray, tags: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """How far each of some tags is ahead of O, for each time from the last to the first; overwritten by the next."""
+    emit = np.ascontiguousarray(model.emit[tags] - model.emit[0])
+    base = (model.bias[tags] - model.bias[0])[:, None]
     time, n = chars.shape
-    ahead = np.empty((time, len(emit), n), dtype=np.float32)
+    ahead = np.empty((time, len(tags), n), dtype=np.float32)
+    front, back = np.ascontiguousarray(emit[:, :CELLS]), np.ascontiguousarray(emit[:, CELLS:])
     for t, out in enumerate(_run(chars, model.embeddings[0], model.weights[0])):
-        np.matmul(emit[:, :CELLS], out, out=ahead[t])
-    top, back = np.full(n, -np.inf, dtype=np.float32), emit[:, CELLS:].copy()
-    part = np.empty((len(emit), n), dtype=np.float32)
+        np.matmul(front, out, out=ahead[t])
+    part = np.empty((len(tags), n), dtype=np.float32)
+    padded = (chars == PAD).any(axis=1)
     for t, out in zip(range(time - 1, -1, -1), _run(chars[::-1], model.embeddings[1], model.weights[1])):
         np.matmul(back, out, out=part)
-        part += ahead[t]
-        part += base
-        if keep:
-            ahead[t] = part
-        part[:, chars[t] == PAD] = -np.inf
-        np.maximum(top, part.max(axis=0), out=top)
-    if keep:
-        ahead[np.broadcast_to((chars == PAD)[:, None], ahead.shape)] = _NEVER
-    return top, ahead if keep else None
+        np.add(part, ahead[t], out=part)
+        np.add(part, base, out=part)
+        if padded[t]:
+            part[:, chars[t] == PAD] = _NEVER
+        yield t, part
+
+
+def may_hold(model: Model, chars: np.ndarray) -> np.ndarray:
+    """Whether another path than that of only O can be the best one, for windows ``(time, windows)``.
+
+    Going backwards, a tag's best way on is to end the span, to go on in it or to begin another, each taken at what the better of a
+    kind's two tags gains by it. Unless a span's first tag and what follows it gain more than staying with O, none is best.
+    """
+    kinds = len(model.kinds)
+    gain = model.transitions - model.transitions[0, 0]
+    first, second = np.arange(1, 2 * kinds, 2), np.arange(2, 2 * kinds + 1, 2)
+    leave = np.maximum(gain[first, 0], gain[second, 0])[:, None]
+    stay = np.maximum(gain[first, second], gain[second, second])[:, None]
+    another, enter = gain[1:, first].max(), gain[0, first][:, None]
+    time, n = chars.shape
+    best = np.full((kinds, n), -np.inf, dtype=np.float32)
+    on, x = np.zeros((kinds, n), dtype=np.float32), np.empty((kinds, n), dtype=np.float32)  # nothing follows the last time
+    begun, inside = np.empty((kinds, n), dtype=np.float32), np.empty((kinds, n), dtype=np.float32)
+    for t, part in _ahead(model, chars, np.concatenate([first, second])):
+        np.add(part[:kinds], on, out=begun)
+        np.add(part[kinds:], on, out=inside)
+        np.add(begun, enter if t else np.zeros_like(enter), out=x)
+        np.maximum(best, x, out=best)
+        if t == 0:
+            np.maximum(best, inside, out=best)
+        np.add(inside, stay, out=on)
+        np.maximum(on, leave, out=on)
+        np.maximum(on, begun.max(axis=0) + another, out=on)
+    return best.max(axis=0) > -SLACK
+
+
+def margins(model: Model, chars: np.ndarray) -> np.ndarray:
+    """How far each tag is ahead of O at each of ``(time, windows)``."""
+    out = np.empty((chars.shape[0], len(model.transitions) - 1, chars.shape[1]), dtype=np.float32)
+    for t, part in _ahead(model, chars, np.arange(1, len(model.transitions))):
+        out[t] = part
+    return out
 
 
 def viterbi(ahead: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -265,12 +305,6 @@ def viterbi(ahead: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     return tags
 
 
-def _needed(model: Model) -> float:
-    """The margin below which no tag anywhere can pay for the transitions to it and back."""
-    gain = model.transitions - model.transitions[0, 0]
-    return -float(max(0, gain[:, 1:].max()) + max(0, gain[1:, 0].max()))
-
-
 def windows_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Text and first character of each window, for texts of these sizes; a text has windows up to its end."""
     stride = WINDOW - OVERLAP
@@ -282,12 +316,11 @@ def windows_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def spans_of(model: Model, chars: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """Spans ``(text, kind, start, end, evidence)`` of texts whose characters stand one after the other.
 
-    Evidence is the log odds of the span's tags against O.
+    Evidence is the log odds of the span's tags against O, per character.
     """
     text, begin = windows_of(sizes)
     first = np.cumsum(sizes) - sizes
     left = sizes[text] - begin
-    needed = _needed(model)
     found: list[tuple[int, int, int, int, float]] = []
     chosen: list[np.ndarray] = []
     offsets = np.arange(WINDOW)[:, None]
@@ -303,14 +336,13 @@ def spans_of(model: Model, chars: np.ndarray, sizes: np.ndarray) -> list[tuple[i
 
     for low in range(0, len(text), SIDE):
         at = np.arange(low, min(low + SIDE, len(text)))
-        top, _ = margins(model, columns(at), keep=False)
-        chosen.append(at[top[: len(at)] >= needed])
+        chosen.append(at[may_hold(model, columns(at))[: len(at)]])
     at = np.concatenate(chosen) if chosen else np.empty(0, dtype=np.int64)
     # tags and margins of characters that lie in the middle of a decoded window, in order
     places, tags, ahead = [], [], []
     for low in range(0, len(at), WIDTH):
         some = at[low : low + WIDTH]
-        _, each = margins(model, columns(some), keep=True)
+        each = margins(model, columns(some))
         best = viterbi(each, model.transitions)
         core = (offsets >= np.where(begin[some] > 0, OVERLAP // 2, 0)) & (offsets < np.minimum(left[some], np.where(left[some] > WINDOW, WINDOW - OVERLAP // 2, WINDOW)))
         t, w = np.nonzero((best[:, : len(some)] > 0) & core)
@@ -335,5 +367,5 @@ def spans_of(model: Model, chars: np.ndarray, sizes: np.ndarray) -> list[tuple[i
         here = 1 + 2 * kind
         odds = margin[a:b].sum() + gain[0, here] + gain[here + 1, 0] + (gain[here, here + 1] + (b - a - 2) * gain[here + 1, here + 1] if b - a > 1 else 0)
         text_start = int(first[of[a]])
-        found.append((int(of[a]), kind, int(place[a]) - text_start, int(place[b - 1]) + 1 - text_start, float(odds)))
+        found.append((int(of[a]), kind, int(place[a]) - text_start, int(place[b - 1]) + 1 - text_start, float(odds) / (b - a)))
     return found
