@@ -16,7 +16,7 @@ def movie_genres(movies: DataFrame) -> DataFrame:
     return movies.select("movie_id", F.explode("genre_array").alias("genre"))
 
 
-def _with_genre(sums: DataFrame, movies: DataFrame) -> DataFrame:
+def with_genre(sums: DataFrame, movies: DataFrame) -> DataFrame:
     """Repeat each row of ``sums`` for every genre entry of its movie.
 
     The list of genres is joined first and exploded after, so that a shuffled
@@ -33,7 +33,7 @@ def genre_stats(
 ) -> DataFrame:
     """Volume, mean, deviation and number of rated movies per genre."""
     return (
-        _with_genre(V.rating_sums(ratings, "movie_id", weight=weight), movies)
+        with_genre(V.rating_sums(ratings, "movie_id", weight=weight), movies)
         .groupBy("genre")
         .agg(*V.merge_sums(), F.count_distinct("movie_id").alias("num_movies"))
         .select(
@@ -61,7 +61,7 @@ def genre_year_trends(
 def _genre_years(ratings: DataFrame, movies: DataFrame, weight: str | None) -> DataFrame:
     """Number and sum of ratings per genre and year."""
     sums = V.rating_sums(ratings, "movie_id", "year", weight=weight)
-    return _with_genre(sums, movies).groupBy("genre", "year").agg(*V.merge_sums("n", "s"))
+    return with_genre(sums, movies).groupBy("genre", "year").agg(*V.merge_sums("n", "s"))
 
 
 def _trends(sums: DataFrame) -> DataFrame:

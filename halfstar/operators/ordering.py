@@ -4,7 +4,7 @@ Marts are stored unsorted. Every order ends in keys that break ties, so a limit
 after it is reproducible.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A leading minus sorts descending.
 REPORT_ORDER = {
@@ -31,12 +31,15 @@ REPORT_ORDER = {
 }
 
 
-def in_report_order(df: DataFrame, mart: str) -> DataFrame:
-    keys = [
+def report_keys(mart: str) -> list[Column]:
+    return [
         F.desc(key[1:]) if key.startswith("-") else F.asc(key)
         for key in REPORT_ORDER[mart]
     ]
-    return df.orderBy(*keys)
+
+
+def in_report_order(df: DataFrame, mart: str) -> DataFrame:
+    return df.orderBy(*report_keys(mart))
 
 
 def top_rows(df: DataFrame, mart: str, k: int) -> DataFrame:

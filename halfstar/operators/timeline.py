@@ -68,8 +68,8 @@ def yearly_trends(
     )
 
 
-def hourly_activity(ratings: DataFrame) -> DataFrame:
-    return V.rating_sums(ratings, "hour").select(
+def hourly_activity(ratings: DataFrame, weight: str | None = None) -> DataFrame:
+    return V.rating_sums(ratings, "hour", weight=weight).select(
         "hour",
         F.col("n").alias("rating_count"),
         F.round(V.mean(), 3).alias("avg_rating"),

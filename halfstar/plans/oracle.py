@@ -232,6 +232,28 @@ SELECTS = {
     "ratings_year_slice": "SELECT * FROM ratings WHERE year = 1998",
     "tags_for_movie": "SELECT * FROM tags WHERE movie_id = 17",
     "tags_for_movie_other_buckets": "SELECT * FROM tags WHERE movie_id = 17",
+    "tags_of_user": "SELECT * FROM tags WHERE user_id = 7",
+    "ratings_of_busy_years": """
+        SELECT * FROM ratings WHERE year IN
+          (SELECT year FROM yearly_trends
+           WHERE total_ratings > (SELECT avg(total_ratings) FROM yearly_trends))""",
+    "top_stored_users": """
+        SELECT user_id, total_ratings, unique_movies_rated, avg_rating_given, active_days
+        FROM user_activity ORDER BY total_ratings DESC, user_id LIMIT 10""",
+    "csv_rejected_rows": """
+        SELECT 'links' AS table_name, concat(CAST(movie_id AS VARCHAR), ',', imdb_id, ',unknown') AS line,
+          movie_id, imdb_id, CAST(NULL AS INT) AS tmdb_id
+        FROM links_raw WHERE movie_id % 7 = 0""",
+    "csv_stored_links": """
+        SELECT movie_id, imdb_id, CASE WHEN movie_id % 7 <> 0 THEN tmdb_id END AS tmdb_id
+        FROM links_raw""",
+    "genre_audience": """
+        SELECT genre, count(DISTINCT user_id) AS users, true AS near
+        FROM movie_genres JOIN ratings USING (movie_id)
+        WHERE genre <> '(no genres listed)' AND year BETWEEN 1993 AND 1996 GROUP BY genre""",
+    "movie_medians_rolled_up": """
+        SELECT movie_id, count(*) AS n, true AS near
+        FROM ratings WHERE year BETWEEN 1993 AND 1996 GROUP BY movie_id""",
     "pipeline_mart_rows": " UNION ALL ".join(
         f"SELECT '{mart}' AS table_name, count(*) AS row_count FROM {mart}"
         for mart in (
@@ -294,6 +316,12 @@ SELECTS |= {
     )
 }
 
+SELECTS |= {
+    "marts_after_batches": SELECTS["movie_stats"],
+    "genre_trends_after_batches": SELECTS["genre_year_trends"],
+    "yearly_trends_after_batches": SELECTS["yearly_trends"],
+}
+
 
 def _views_used(sql: str) -> list[str]:
     """Views named in ``sql``, directly or through other views, those first that others use."""

@@ -15,14 +15,15 @@ from ..operators import (
     genres,
     movies as movie_ops,
     quality,
+    sketches,
     tagging,
     timeline,
     users as user_ops,
 )
-from ..operators.ordering import in_report_order, top_rows
+from ..operators.ordering import in_report_order, report_keys, top_rows
 from ..sources import delimited, store
 from ..sources.scratch import new_scratch_dir
-from . import pipeline, standin
+from . import increments, pipeline, standin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +32,7 @@ GEMS_LO, GEMS_HI = 30, 35
 LIMITS = pipeline.Thresholds(
     min_ratings=MIN_RATINGS, min_votes=MIN_VOTES, gems_lo=GEMS_LO, gems_hi=GEMS_HI
 )
-SLICE_YEAR, LOOKUP_MOVIE = 1998, 17
+SLICE_YEAR, LOOKUP_MOVIE, LOOKUP_USER = 1998, 17, 7
 
 
 def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,10 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_ops.user_activity(_ratings(spark, sf_dir))
 
 
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return user_ops.user_profile(_ratings(spark, sf_dir))
+
+
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movie_ops.movie_stats(
         _ratings(spark, sf_dir), _movies(spark, sf_dir), MIN_RATINGS
@@ -250,16 +255,81 @@ def tags_for_movie_other_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.tags_for_movie(spark, root, LOOKUP_MOVIE)
 
 
-def _store(spark: SparkSession, sf_dir: str) -> str:
-    """Run the whole job; returns where it has put its marts. Each query runs it anew, from the tables as they are."""
+def tags_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_scratch_dir(spark, "tags")
+    store.write_tags(_tags(spark, sf_dir), root)
+    return store.tags_of_user(spark, root, LOOKUP_USER)
+
+
+def ratings_of_busy_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of the years that have more of them than the mean year, which a stored mart tells."""
+    root = new_scratch_dir(spark, "ratings")
+    store.write_ratings(_ratings(spark, sf_dir), root)
+    store.write_mart(timeline.yearly_trends(store.read_mart(spark, root, "ratings")), root, "yearly_trends")
+    years = store.read_mart(spark, root, "yearly_trends")
+    mean = years.agg(F.avg("total_ratings")).scalar()
+    return store.ratings_of_named_years(spark, root, years.where(F.col("total_ratings") > mean))
+
+
+def top_stored_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most active users, from the first part of a mart that is stored in report order."""
+    root, keys = new_scratch_dir(spark, "ordered"), report_keys("user_activity")
+    store.write_in_order(_users(spark, sf_dir), root, "user_activity", keys)
+    first = store.first_rows(spark, root, "user_activity", keys, 10)
+    return first.select("user_id", "total_ratings", "unique_movies_rated", "avg_rating_given", "active_days")
+
+
+def csv_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a source file that do not fit its schema, kept while the others are stored."""
+    folder, root = new_scratch_dir(spark, "csv"), new_scratch_dir(spark, "parsed")
+    misfit = F.when(F.col("movie_id") % 7 == 0, F.lit("unknown")).otherwise(F.col("tmdb_id").cast("string"))
+    delimited.write_source(standin.links_raw(spark, sf_dir).withColumn("tmdb_id", misfit), folder, "links")
+    _, rejected = delimited.store_source(spark, folder, "links", root)
+    return rejected.drop("file")
+
+
+def csv_stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed rows of the same file, all of them."""
+    folder, root = new_scratch_dir(spark, "csv"), new_scratch_dir(spark, "parsed")
+    misfit = F.when(F.col("movie_id") % 7 == 0, F.lit("unknown")).otherwise(F.col("tmdb_id").cast("string"))
+    delimited.write_source(standin.links_raw(spark, sf_dir).withColumn("tmdb_id", misfit), folder, "links")
+    return delimited.store_source(spark, folder, "links", root)[0]
+
+
+def genre_audience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of each genre over some years, from stored sketches, held against the exact number."""
+    root = new_scratch_dir(spark, "sketches")
+    ratings, movies = _ratings(spark, sf_dir), _movies(spark, sf_dir)
+    store.write_mart(sketches.genre_user_sketches(ratings, movies), root, "genre_users")
+    found = sketches.distinct_users(store.read_mart(spark, root, "genre_users"), "genre", first=1993, last=1996)
+    some = ratings.where(F.col("year").between(1993, 1996)).select("movie_id", "user_id").distinct()
+    exact = genres.with_genre(some, movies).groupBy("genre").agg(F.count_distinct("user_id").alias("users"))
+    near = sketches.distinct_is_near(F.col("distinct_users"), F.col("users")).alias("near")
+    return found.join(exact, "genre").select("genre", "users", near)
+
+
+def movie_medians_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of movies over some years, from stored sketches of single years, held against exact ranks."""
+    root = new_scratch_dir(spark, "sketches")
+    ratings = _ratings(spark, sf_dir)
+    store.write_mart(sketches.rating_sketches(ratings, "movie_id"), root, "movie_ratings")
+    stored = store.read_mart(spark, root, "movie_ratings")
+    medians = sketches.rating_quantile(stored, "movie_id", first=1993, last=1996)
+    some = ratings.where(F.col("year").between(1993, 1996))
+    checked = sketches.quantile_is_near(medians, count_ratings(some, "movie_id", "rating"), "movie_id")
+    return checked.select("movie_id", "n", "near")
+
+
+def _store(spark: SparkSession, sf_dir: str, *marts: str) -> str:
+    """Run the job for some marts, or all; returns where it has put them. Each query runs it anew, from the tables as they are."""
     root = new_scratch_dir(spark, "pipeline")
-    pipeline.run_all(spark, standin.raw_tables(spark, sf_dir), root, LIMITS)
+    pipeline.run_all(spark, standin.raw_tables(spark, sf_dir), root, LIMITS, marts or pipeline.MARTS)
     return root
 
 
 def _stored(mart: str, *rounded: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = store.read_mart(spark, _store(spark, sf_dir), mart)
+        df = store.read_mart(spark, _store(spark, sf_dir, mart), mart)
         return in_report_order(_round6(df, *rounded).drop("genre_array"), mart)
 
     return query
@@ -272,6 +342,33 @@ def pipeline_mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.table_row_counts(marts)
 
 
+# Marts after batches
+
+
+#: Days from which on the second and the third batch of ratings begin; the third also has some of the years before.
+_SECOND, _THIRD = 9_496 * 86_400, 10_227 * 86_400
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> str:
+    """Ratings added in three batches, the later ones with years that are there already; returns the store's root."""
+    root = new_scratch_dir(spark, "batches")
+    increments.set_movies(spark, root, standin.movies_raw(spark, sf_dir), LIMITS)
+    at, late = F.coalesce("timestamp", F.lit(0)), F.pmod(F.xxhash64("user_id", "movie_id"), F.lit(10)) == 0
+    number = F.when(late | (at >= _THIRD), 2).when(at >= _SECOND, 1).otherwise(0)
+    ratings = standin.ratings_raw(spark, sf_dir).withColumn("batch", number)
+    for k in range(3):
+        increments.add_ratings(spark, root, ratings.where(F.col("batch") == k).drop("batch"), LIMITS)
+    return root
+
+
+def _after_batches(mart: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = increments.mart(spark, _batches(spark, sf_dir), mart)
+        return in_report_order(df.drop("genre_array"), mart)
+
+    return query
+
+
 # Feeds
 
 
@@ -279,7 +376,7 @@ def feed_overview_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings, movies = _ratings(spark, sf_dir), _movies(spark, sf_dir)
     counts = count_ratings(ratings, "movie_id", "rating")
     stats = movie_ops.movie_stats(counts, movies, MIN_RATINGS, COUNTED)
-    kpis = feeds.overview_kpis(stats, user_ops.user_activity(ratings), counts, COUNTED)
+    kpis = feeds.overview_kpis(stats, user_ops.user_profile(ratings), counts, COUNTED)
     return _round6(kpis, "mean_of_movie_means", "global_mean")
 
 
@@ -297,10 +394,8 @@ def feed_top_genre_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_chosen_genre_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten largest genres are offered; a reader who changes nothing gets the first five."""
-    offered = top_rows(_genre_stats(spark, sf_dir), "genre_stats", 10).select("genre")
-    chosen = [row.genre for row in offered.limit(5).collect()]
-    trends = feeds.chosen_genre_trends(_genre_years(spark, sf_dir), chosen)
+    """The largest genres are offered; a reader who changes nothing gets the first five."""
+    trends = genres.largest_genre_trends(_ratings(spark, sf_dir), _movies(spark, sf_dir), 5)
     return in_report_order(trends, "genre_year_trends")
 
 
@@ -332,17 +427,17 @@ def feed_tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_hist_ratings_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hist = feeds.ratings_per_user_histogram(_users(spark, sf_dir))
+    hist = feeds.ratings_per_user_histogram(_profiles(spark, sf_dir))
     return _round6(hist, "bin_from", "bin_to").orderBy("bin")
 
 
 def feed_hist_avg_given(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hist = feeds.average_given_histogram(_users(spark, sf_dir))
+    hist = feeds.average_given_histogram(_profiles(spark, sf_dir))
     return _round6(hist, "bin_from", "bin_to").orderBy("bin")
 
 
 def feed_user_segments_right_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.user_segments_right_closed(_users(spark, sf_dir))
+    return feeds.user_segments_right_closed(_profiles(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -391,6 +486,13 @@ QUERIES: dict[str, Query] = {
     "ratings_year_slice": ratings_year_slice,
     "tags_for_movie": tags_for_movie,
     "tags_for_movie_other_buckets": tags_for_movie_other_buckets,
+    "tags_of_user": tags_of_user,
+    "ratings_of_busy_years": ratings_of_busy_years,
+    "top_stored_users": top_stored_users,
+    "csv_rejected_rows": csv_rejected_rows,
+    "csv_stored_links": csv_stored_links,
+    "genre_audience": genre_audience,
+    "movie_medians_rolled_up": movie_medians_rolled_up,
     "pipeline_mart_rows": pipeline_mart_rows,
     "pipeline_movie_stats": _stored("movie_stats"),
     "pipeline_movie_bayesian": _stored("movie_bayesian"),
@@ -401,6 +503,9 @@ QUERIES: dict[str, Query] = {
     "pipeline_yearly_trends": _stored("yearly_trends"),
     "pipeline_user_activity": _stored("user_activity", "rating_stddev"),
     "pipeline_top_tags": _stored("top_tags"),
+    "marts_after_batches": _after_batches("movie_stats"),
+    "genre_trends_after_batches": _after_batches("genre_year_trends"),
+    "yearly_trends_after_batches": _after_batches("yearly_trends"),
     "feed_overview_kpis": feed_overview_kpis,
     "feed_genre_volume_by_year": feed_genre_volume_by_year,
     "feed_genre_popularity": feed_genre_popularity,

@@ -64,6 +64,37 @@ def unparsable_rows(
     ).select(F.lit(table).alias("table_name"), "row_count", "unparsable")
 
 
+def store_source(
+    spark: SparkSession, directory: str, table: str, root: str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Parse a source file once into ``<root>/<table>``; returns its typed rows, and the rejected lines.
+
+    A line that does not fit the schema is kept twice over: as a typed row, in which what did not fit is NULL, as
+    `read_source` has it, and as it stands in the file, ``(table_name, file, line)`` and its typed columns. The
+    rejected ones lie in a folder of their own, so reading them costs nothing of the others.
+    """
+    columns = [c.split()[0] for c in SOURCES[table].split(", ")]
+    rows = spark.read.csv(
+        f"{directory}/{table}.csv",
+        schema=f"{SOURCES[table]}, line STRING",
+        header=True,
+        encoding="UTF-8",
+        nullValue="",
+        escape='"',
+        multiLine=multi_line,
+        columnNameOfCorruptRecord="line",
+    )
+    rejected = F.col("line").isNotNull()
+    file = F.when(rejected, F.col("_metadata.file_path")).alias("file")
+    rows.select(*columns, "line", file, rejected.alias("rejected")).write.mode("overwrite").parquet(
+        f"{root}/{table}", partitionBy=["rejected"], compression="snappy"
+    )
+    schema = f"{SOURCES[table]}, line STRING, file STRING, rejected BOOLEAN"
+    stored = spark.read.schema(schema).parquet(f"{root}/{table}")
+    lines = stored.where("rejected").select(F.lit(table).alias("table_name"), "file", "line", *columns)
+    return stored.select(*columns), lines
+
+
 def write_source(df: DataFrame, directory: str, table: str) -> None:
     """Write a source table as CSV under its original header names, whitespace kept."""
     df.toDF(*CSV_HEADERS[table]).write.mode("overwrite").csv(
