@@ -1,12 +1,13 @@
 """A corpus pipeline: toxicity, near duplicates, benchmark decontamination, tokens.
 
 Each stage takes the documents that the one before kept and, but for the last, returns those it keeps
-with the columns of ``documents``. What every stage returns is written and read again.
+with the columns of ``documents``. What every stage returns is written and read again. Decisions are about rows: where an
+operator reports on ids, it is given a hash of the whole row as id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfstar.llm import bpe, decontamination, jaccard_join, toxicity
@@ -17,34 +18,67 @@ from halfstar.llm.tables import stored
 WIDTH, PERCENT = 5, 80
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A number for each row's content: all columns, and which of them are NULL."""
+    return F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
+    """Documents that the toxicity model does not reject; all their columns as they were.
+
+    Each row is decided by its own whole text, so repeated rows and ids are decided alike or apart as their texts are;
+    a NULL or empty text has the score of no features. An empty table gives an empty one.
+    """
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+    own = docs.withColumnRenamed("score", "_own_score")  # the model's column has this name
+    return toxicity.score(own, model).where(F.col("score") < TOXIC_FROM).drop("score").withColumnRenamed("_own_score", "score").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest id; repeated rows once.
+    """Of each component of similar documents exactly one row: that of the smallest id.
 
-    Rows without an id cannot be named by the join and stay.
+    Rows are told apart by all their columns, so an id that occurs in several components has a row in each that it is the
+    smallest of. Rows without an id come after all others, rows of one id in the order of a hash. Repeated rows are one, also if they have no
+    text; other rows with a NULL or empty text are similar to nothing and stay. Texts of any length are compared whole.
     """
-    found = stored(jaccard_join.similar_components(docs, WIDTH, PERCENT), "components")
-    others = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near_duplicates")
-    kept = docs.join(others, "doc_id", "left_anti")
-    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():  # the texts need not move to be told apart
-        return kept
-    return kept.join(repeated, "doc_id", "left_anti").union(kept.join(repeated, "doc_id", "left_semi").dropDuplicates())
+    keyed = docs.withColumn("_row", row_key(docs))
+    found = jaccard_join.similar_components(keyed.select(F.col("_row").alias("doc_id"), "text"), WIDTH, PERCENT)
+    found = stored(found.select(F.col("doc_id").alias("_row"), "component_id"), "components")
+    rows = found.groupBy("component_id", "_row").agg(F.count("*").alias("copies"))
+    # components of one row need no choice
+    several = rows.groupBy("component_id").agg(F.count("*").alias("rows"), F.max("copies").alias("copies"))
+    several = stored(several.where("rows > 1 or copies > 1"), "groups")
+    inside = stored(found.distinct().join(several.select("component_id"), "component_id", "left_semi"), "grouped_rows")
+    named = keyed.select("_row", "doc_id").join(inside, "_row").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row")
+    chosen = named.groupBy("component_id").agg(F.min(order).alias("first")).select("component_id", F.col("first._row").alias("_row"))
+    others = stored(inside.join(chosen, ["component_id", "_row"], "left_anti").select("_row"), "near_duplicates")
+    kept = keyed.join(others, "_row", "left_anti")
+    repeated = stored(rows.where("copies > 1").select("_row"), "repeated")
+    if not repeated.isEmpty():  # only their texts need to move to be told apart
+        once = kept.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
+        kept = kept.join(repeated, "_row", "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, read(spark, sf_dir, "benchmark"))
-    return docs.join(stored(found.select("doc_id").distinct(), "contaminated"), "doc_id", "left_anti")
+    """Documents that hold no benchmark item, decided row by row.
+
+    Rows with a NULL or empty text hold none and stay, also without an id; repeated rows go or stay together. Items of less
+    than five words count by their whole sequence. An empty table of either kind leaves the documents as they are.
+    """
+    keyed = docs.withColumn("_row", row_key(docs))
+    found = decontamination.contaminated(keyed.select(F.col("_row").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"), short_items=True)
+    others = stored(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return keyed.join(others, "_row", "left_anti").select(*docs.columns)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, and the digest of the bytes that they decode to."""
+    """Ids of each document, and the digest of the bytes that they decode to.
+
+    A row for each row; a NULL or empty text has no ids and decodes to nothing. Texts of any length are encoded whole; columns beside those of documents
+    are left out. An empty table gives an empty one.
+    """
     docs = docs.select("doc_id", "lang", "source", "text")
     return bpe.round_trip(docs, vocabulary()).select(
         "doc_id",
