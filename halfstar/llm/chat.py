@@ -40,13 +40,14 @@ def unescape_role(role: Column) -> Column:
 def expand(conversations: DataFrame) -> DataFrame:
     """Training examples of ``conversations (conv_id, turn, role, text)``.
 
-    Returns ``(conv_id, example, last, text, loss_start, loss_chars)``: the examples of a conversation are numbered
+    Returns ``(conv_id, alone, example, last, text, loss_start, loss_chars)``: the examples of a conversation are numbered
     from 0; ``last`` marks the one that holds all turns. The loss mask are ``loss_chars`` code points from
     position ``loss_start`` (from 0), the reply as it is written in the text; -1 and 0 where nothing is trainable.
 
     Turns are ordered by number, then role, then text, so ties have a defined order; NULLs come first. Repeated rows
-    are turns of their own. NULL texts and roles are empty. Rows with a NULL ``conv_id`` form one conversation.
-    Other columns are ignored; an empty table has no example. A conversation of n turns has up to n examples, each with
+    are turns of their own. NULL texts and roles are empty. A row with a NULL ``conv_id`` is a conversation of its own, of one turn; ``alone`` tells
+    these apart and is NULL for all others.
+    Other columns are ignored; an empty table has no example. Texts of any length are whole. A conversation of n turns has up to n examples, each with
     its context, as the method asks; the turns of one conversation are gathered in one row, its turns being a document,
     not a group of the data.
     """
@@ -59,11 +60,12 @@ def expand(conversations: DataFrame) -> DataFrame:
             escape(t["text"]).alias("body"),
         ),
     )
-    chats = conversations.select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(written.alias("turns"))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone")
+    chats = conversations.select("conv_id", alone, "turn", "role", "text").groupBy("conv_id", "alone").agg(written.alias("turns"))
     n = F.size("turns")
     ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | F.element_at("turns", i)["reply"])
     ends = F.transform(ends, lambda i, k: F.struct(k.alias("example"), i.alias("end")))
-    chats = chats.select("conv_id", "turns", F.inline(ends))
+    chats = chats.select("conv_id", "alone", "turns", F.inline(ends))
     whole = F.transform(F.slice("turns", 1, F.col("end")), lambda t: F.concat(t["head"], t["body"], F.lit(END + NEXT)))
     final = F.element_at("turns", F.col("end"))
     text = F.array_join(whole, "")
@@ -71,7 +73,7 @@ def expand(conversations: DataFrame) -> DataFrame:
     return (
         chats.withColumn("text", text)
         .withColumns({"loss_start": F.when(final["reply"], start).otherwise(-1), "loss_chars": F.when(final["reply"], F.length(final["body"])).otherwise(0)})
-        .select("conv_id", "example", (F.col("end") == n).alias("last"), "text", F.col("loss_start").cast("long").alias("loss_start"), F.col("loss_chars").cast("long").alias("loss_chars"))
+        .select("conv_id", "alone", "example", (F.col("end") == n).alias("last"), "text", F.col("loss_start").cast("long").alias("loss_start"), F.col("loss_chars").cast("long").alias("loss_chars"))
     )
 
 

@@ -1,7 +1,7 @@
 """Binary files that tasks write and read in shared storage.
 
-Spark's writers have no raw bytes, so tasks open files through Arrow's file systems, which
-know ``file``, ``hdfs``, ``s3`` and ``gs`` addresses. A task gives its file a name of its own and returns
+Spark's writers have no raw bytes, so tasks open files through Arrow's file systems, by addresses that are made
+complete on the driver. A task gives its file a name of its own and returns
 that name as a row; what the stored rows name counts, and what a lost or repeated task left besides is never read.
 """
 
@@ -12,6 +12,27 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+#: Schemes of addresses that Arrow opens, and those that it knows by another name.
+SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
+_RENAMED = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder's full address, the same place for Spark and for Arrow on every executor.
+
+    An address without a scheme is one of the session's default file system, which Arrow would take for a local one.
+    Raises ValueError for a scheme that Arrow does not know.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    scheme, rest = system.makeQualified(path).toString().split(":", 1)
+    scheme = _RENAMED.get(scheme, scheme)
+    if scheme not in SCHEMES:
+        raise ValueError(f"binary files cannot be written to {folder}: no file system for {scheme}")
+    return f"{scheme}:{rest}" if rest.startswith("//") else f"{scheme}://{rest}"
 
 
 def new_file(folder: str, suffix: str) -> tuple[str, pa.NativeFile]:

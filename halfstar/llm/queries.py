@@ -103,6 +103,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     parsed = examples.select(
         "conv_id",
+        "alone",
         F.when(F.col("last"), F.size(turns)).alias("n_turns"),
         F.when(F.col("last"), F.sha2(whole, 256)).alias("turns_sha256"),
         F.struct("example", chat.loss_text(F.col("text"), F.col("loss_start"), F.col("loss_chars")).alias("loss")).alias("part"),
@@ -110,7 +111,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     loss = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["loss"]), "")
     return (
-        parsed.groupBy("conv_id")
+        parsed.groupBy("conv_id", "alone")
         .agg(F.max("n_turns").cast("long").alias("n_turns"), F.max("turns_sha256").alias("turns_sha256"), loss.alias("loss"), F.sum("chars").alias("formatted_chars"))
         .select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
     )

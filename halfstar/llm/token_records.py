@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..sources.scratch import new_scratch_dir
-from .files import chunks, new_file, open_random, open_stream
+from .files import chunks, new_file, open_random, open_stream, qualified
 from .tables import partitions, stored
 from .words import SEGMENT, grouped, span_hashes, text_buffers
 
 #: Chunks of text whose ids a Python worker remembers.
 REMEMBERED = 1 << 20
+#: First characters of a text that put rows of one id in order; a hash of the whole text decides further.
+HEAD = 16
 #: Rows of one Arrow batch of results.
 BATCH_ROWS = 1 << 12
 
@@ -209,12 +211,12 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | No
     """Encode ``docs (doc_id, text, ...)``, append ``end_id`` to each and write them in ascending order of ``doc_id``.
 
     ``tokenizer`` is the JSON of a byte-level tokenizer. Files are numbered by ``part``, which follows the order of
-    ids; NULL ids come first and repeated ids are ordered by their text. A NULL or empty text has the end id only.
+    ids; NULL ids come first and rows of one id are ordered by the beginning of their text, then by a hash of it. A NULL or empty text has the end id only.
     Returns the stored index, ``(part, file, doc_id, offset, bytes, n_tokens)``: a row for each row of ``docs``.
     Other columns are ignored. Ids take two bytes each if the vocabulary allows.
     """
     spark = docs.sparkSession
-    folder = folder or new_scratch_dir(spark, "records")
+    folder = qualified(spark, folder or new_scratch_dir(spark, "records"))
     size = Tokenizer.from_str(tokenizer).get_vocab_size()
     width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
     shared = spark.sparkContext.broadcast(tokenizer)
@@ -240,9 +242,11 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | No
             if file is not None:
                 file.close()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = docs.repartitionByRange(partitions(spark), order[0]).sortWithinPartitions(*order)
+    # rows of one id, or of none, are dealt by their text, and equal rows by their place, so no id fills a task
+    docs = docs.withColumns({"head": F.substring("text", 1, HEAD), "hash": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    order = [F.col(c).asc_nulls_first() for c in ("doc_id", "head", "hash", "place")]
+    dealt = docs.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
     return stored(dealt.withColumn("part", F.spark_partition_id()).mapInArrow(run, INDEX), "record_index")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_scratch_dir
-from .files import chunks, new_file, open_stream
+from .files import chunks, new_file, open_stream, qualified
 from .tables import partitions, stored
 
 #: Fixed values of the formats: magic number of the dictionary's frame, profile of revisit records.
@@ -162,7 +162,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, folder: str | None = No
     has no files. Payloads are equal if their SHA-1 and length are, as the format has it.
     """
     spark = pages.sparkSession
-    folder = folder or new_scratch_dir(spark, "warc")
+    folder = qualified(spark, folder or new_scratch_dir(spark, "warc"))
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     keys = [F.unhex(F.sha1(payload.cast("binary"))).alias("digest"), F.octet_length(payload).alias("size")]
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"), *keys)

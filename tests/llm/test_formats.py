@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from halfstar.llm import bpe, chat, embedding_dedup, queries, token_records, url_rules, warc
+from halfstar.llm import bpe, chat, embedding_dedup, files, queries, token_records, url_rules, warc
 
 PIECES = ["a", "b ", " ", "  ", "\n", "'ll", "'", "'v", "e", " é", "1", "\t", "\u3000", "\x1c", "<|endoftext|>", "!", "\u00a0", "x y", "x,y.\r\n", ".\n", "a's", "9.5", "日本", "😀", "the and ing"]
 
@@ -304,3 +304,59 @@ def test_recall_at_the_threshold():
         k, tables = embedding_dedup.tables_for(n, 0.9)
         hashes = embedding_dedup.Hashes(64, k, tables)
         assert (hashes.keys(a) == hashes.keys(b)).any(axis=1).mean() >= 0.95
+
+
+# skew and addresses
+
+
+
+def test_rows_of_one_id_are_dealt_to_many_files(spark, tmp_path):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        source = file.read()
+    rows = [(i if i % 3 else (None if i % 2 else 7), f"text {i % 900}") for i in range(2400)] + [(7, "the same")] * 800
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    index = token_records.write_records(docs, source, 2, f"file://{tmp_path}")
+    parts = {r.part: r.n for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    assert sum(parts.values()) == len(rows) and max(parts.values()) < 2.5 * len(rows) / 8
+    got = sorted(((r.start, r.doc_id) for r in token_records.read_records(index).collect()))
+    ids = [d for _, d in got]
+    assert ids == sorted(ids, key=lambda d: (d is not None, d or 0))
+
+
+def test_tokenizers_that_are_not_byte_level_are_refused():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file, pytest.raises(ValueError):
+        token_records.LibraryEncoder(file.read(), 2)
+
+
+def test_conversations_without_an_id_are_single_turns(spark):
+    rows = [(None, i, "assistant" if i % 2 else "user", f"t{i // 4}") for i in range(400)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    found = chat.expand(table).collect()
+    lonely = [r for r in found if r.conv_id is None]
+    assert len(lonely) == 400 and all(r.last and r.example == 0 and r.text.count(chat.START) == 1 for r in lonely)
+    assert len({r.alone for r in lonely}) == 400 and [r.alone for r in found if r.conv_id == 1] == [None]
+
+
+def test_folders_without_a_scheme_are_completed(spark, tmp_path):
+    assert files.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert files.qualified(spark, f"file:{tmp_path}") == files.qualified(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+    with pytest.raises(ValueError):
+        files.qualified(spark, "webhdfs://nowhere:1/x")
+    pages = spark.createDataFrame([(1, "u", "x"), (2, "u", "x")], "page_id long, url string, html string")
+    listed = warc.write_archives(pages, folder=str(tmp_path / "a"))
+    assert all(r.file.startswith("file:///") for r in listed.collect())
+    assert sorted((r.page_id, r.refers_to) for r in warc.read_archives(listed).collect()) == [(1, 2), (2, None)]
+
+
+def test_query_formats_every_character(spark):
+    """The formatted characters of op10, counted from the template turn by turn."""
+    turns = {}
+    for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect():
+        turns.setdefault(r.conv_id, []).append((r.turn, r.role, r.text or ""))
+    broken = lambda t: len(t) + len(re.findall(r"[<\[]\\*(?=/?s>|/?INST\]|<?/?SYS>>|\|[A-Za-z0-9_]*\|>)", t))
+    got = {r.conv_id: r.formatted_chars for r in queries.QUERIES["op10_chat_formatting"](spark, "/root/testdata/sf0.001").collect()}
+    assert set(got) == {*turns, -7}
+    for c, each in turns.items():
+        sizes = [len(chat.START) + len(role) + 1 + broken(text) + len(chat.END) + 1 for _, role, text in sorted(each)]
+        ends = [i for i, t in enumerate(sorted(each)) if t[1] == "assistant" or i == len(each) - 1]
+        assert got[c] == sum(sum(sizes[: i + 1]) for i in ends)
