@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .signature_tree import Forest, Tree, bitmap_bits, link_sets
+from .signature_tree import MAX_BITS, Forest, Tree, bitmap_bits, link_sets
 from .tables import connected_components, partitions, stored
 from .words import distinct_sets, grouped, mix, salted, shingle_hashes, word_hashes
 
@@ -29,6 +29,8 @@ from .words import distinct_sets, grouped, mix, salted, shingle_hashes, word_has
 SMALL = 24
 #: A block holds about so many sets, and so many shingles, at most.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 22
+#: Times that each set of a broken cluster is compared under one of its keys, before all of them are looked at.
+ROUNDS = 2
 #: Texts of one step when keys are made: equal keys are combined within a step, before the shuffle.
 KEY_STEP = 1 << 23
 
@@ -349,19 +351,17 @@ def _links(texts: DataFrame, members: DataFrame, width: int, percent: int) -> Da
         return links
     large = large.drop("side", "part")
     parts = _parts(large.drop("text"), links)
-    heads = parts.where("set_id = part").withColumn("block", F.pmod(F.xxhash64("set_id", F.lit("head")), "blocks"))
-    pieces = heads.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_SETS)).cast("long").alias("heads"), F.count("*").alias("pieces"))
-    heads = stored(heads.join(stored(pieces, "pieces"), "cluster").where("pieces > 1").withColumn("block", F.pmod("block", "heads")), "heads")
-    if heads.isEmpty():
-        return links
-    texts = large.select("set_id", "text")
-    rows = heads.select("cluster", "block", F.lit(0).alias("side"), "part", "set_id")
-    links = links.union(stored(_link_blocks(rows.join(texts, "set_id"), width, percent), "head_links"))
-    parts = _parts(large.drop("text"), links)
+    pieces = parts.groupBy("cluster").agg(F.count_distinct("part").alias("pieces"))
+    # pieces that fit a block are joined there; of more, hardly any belong together
+    pieces = stored(pieces.where((F.col("pieces") > 1) & (F.col("pieces") <= BLOCK_SETS)), "pieces")
+    heads = parts.where("set_id = part").join(pieces, "cluster").select("cluster", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
+    if not pieces.isEmpty():
+        links = links.union(stored(_link_blocks(heads.join(large.select("set_id", "text"), "set_id"), width, percent), "head_links"))
+        parts = _parts(large.drop("text"), links)
     broken = stored(parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high"), "broken")
     if broken.isEmpty():
         return links
-    texts = stored(large.join(broken, "cluster").select("set_id", "text"), "broken_texts")
+    texts = large.join(broken, "cluster").select("set_id", "text")
     return links.union(_links_of_keys(texts, parts.join(broken, "cluster").select("set_id", "n", "part"), width, percent))
 
 
@@ -369,22 +369,52 @@ def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int)
     """Links between sets of different parts: such sets share a key, so only keys of several parts have to be looked at.
 
     The sets of such a key are a block. Those of a larger one are told apart by size first: similar
-    sets are of one band of sizes or of two neighbouring ones. Only within two bands that have more than a block of sets are pairs of blocks
-    traversed, so what moves is the sets of a key and band times the blocks of its neighbours.
+    sets are of one band of sizes or of two neighbouring ones. Before that, each set is compared under one of its keys only, twice, which
+    joins most parts that belong together, as similar sets share many keys. Only within two bands that have more than a block of sets are pairs of blocks
+    looked at. What moves is a set's bitmap, once for each of its blocks; texts follow only for sets whose bitmap and size allow
+    that another one of the block is similar.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches, KEY_STEP):
             keys, owner = _step_keys(batch["text"], width, percent)
+            order = np.argsort(owner, kind="stable")  # equal names in a row are stored in less space
+            keys, owner = keys[order], owner[order]
             for low in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([_signed(keys[low : low + (1 << 16)]), pa.array(owner[low : low + (1 << 16)])], ["key", "set_id"])
 
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
     keyed = stored(texts.select("text").mapInArrow(run, "key long, set_id long"), "keys_of_parts")
-    keyed = stored(keyed.join(parts, "set_id").withColumn("band", band), "keyed_parts")
-    groups = keyed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("sets")).where("low < high")
-    groups = stored(groups.select("key", "sets"), "keys_between")
-    rows = stored(keyed.join(groups, "key"), "between")
+    seen = keyed.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
+    keyed = stored(keyed.join(stored(seen.select("key"), "keys_seen"), "key"), "keys_shared")
+    bitmaps = stored(_bitmaps(texts, width), "bitmaps")
+    texts = texts.select("set_id", "text")
+    parts, links = stored(parts.withColumn("band", band), "parts_of_keys"), None
+
+    def linked(placed: DataFrame) -> DataFrame:
+        likely = stored(_plausible(placed.join(bitmaps, "set_id"), percent), "plausible")
+        return stored(_link_blocks(likely.join(texts, "set_id"), width, percent), "key_links")
+
+    for number in range(ROUNDS):  # most of what is similar meets here, so that few keys are left
+        one = keyed.groupBy("set_id").agg(F.min_by("key", F.xxhash64("key", F.lit(number))).alias("cluster"))
+        one = stored(one, "chosen_keys")
+        blocks = one.groupBy("cluster").agg(F.count("*").alias("sets")).where("sets > 1")
+        block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.ceil(F.col("sets") / BLOCK_SETS).cast("long")).alias("block")
+        placed = one.join(blocks, "cluster").join(parts, "set_id").select("cluster", block, F.lit(0).alias("side"), "part", "set_id")
+        found = linked(placed)
+        links = found if links is None else links.union(found)
+        # parts are named by a set, so links between parts are links between these names
+        joined = found.join(parts.select(F.col("set_id").alias("a"), F.col("part").alias("x")), "a")
+        joined = joined.join(parts.select(F.col("set_id").alias("b"), F.col("part").alias("y")), "b")
+        merged = connected_components(joined.select(F.col("x").alias("a"), F.col("y").alias("b")), "merged").select(F.col("node").alias("part"), "component")
+        renamed = parts.join(stored(merged, "merged"), "part", "left").withColumn("part", F.coalesce("component", "part"))
+        parts = stored(renamed.select("set_id", "n", "part", "band"), "parts_of_keys")
+    keyed = stored(keyed.join(parts, "set_id"), "keyed_parts")
+    names = [F.bit_xor(F.xxhash64("set_id", F.lit(salt))).alias(f"names{salt}") for salt in (0, 1)]
+    groups = keyed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("sets"), *names).where("low < high")
+    # similar sets share many keys; of those that the very same sets have, one will do
+    groups = groups.groupBy("sets", "names0", "names1").agg(F.min("key").alias("key"))
+    rows = stored(keyed.join(stored(groups.select("key", "sets"), "keys_between"), "key"), "between")
     small = rows.where(F.col("sets") <= BLOCK_SETS).select("key", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
     # a larger key: blocks of each band, and pairs of blocks of a band or two
     many = rows.where(F.col("sets") > BLOCK_SETS)
@@ -403,8 +433,102 @@ def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int)
     large = pairs("blocks", F.col("band"), F.least(first, second), F.greatest(first, second), first > second)
     large = large.union(pairs("above", F.col("band"), first, second, F.lit(0)))
     large = large.union(pairs("below", F.col("band") - 1, second, first, F.lit(1)))
-    placed = small.union(large).withColumnRenamed("key", "cluster")
-    return stored(_link_blocks(placed.join(texts.select("set_id", "text"), "set_id"), width, percent), "key_links")
+    return links.union(linked(small.union(large).withColumnRenamed("key", "cluster")))
+
+
+def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """Sets with their size and a bitmap of two bits or more for each shingle, ``(set_id, n, bits)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches):
+            values, starts = document_sets(batch["text"], width)
+            sizes = np.diff(starts)
+            out = []
+            for low, size in zip(starts[:-1].tolist(), sizes.tolist(), strict=True):
+                bits = min(MAX_BITS, max(512, 1 << (2 * size - 1).bit_length()))
+                row = np.zeros(bits, dtype=np.uint8)
+                row[values[low : low + size] & np.uint64(bits - 1)] = 1
+                out.append(np.packbits(row, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch["set_id"], pa.array(sizes), pa.array(out, pa.binary())], ["set_id", "n", "bits"])
+
+    return texts.select("set_id", "text").mapInArrow(run, "set_id long, n long, bits binary")
+
+
+def _plausible(placed: DataFrame, percent: int) -> DataFrame:
+    """Of ``placed (cluster, block, side, part, set_id, n, bits)`` the rows that some row of another part in their block may be similar to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            cluster, block = (table[c].to_numpy() for c in ("cluster", "block"))
+            cut = int(np.flatnonzero((cluster != cluster[-1]) | (block != block[-1]))[-1]) + 1 if (cluster[0], block[0]) != (cluster[-1], block[-1]) else 0
+            rest = table.slice(cut)  # the last block may go on
+            if cut:
+                yield from _may_be_similar(table.slice(0, cut), percent)
+        if rest is not None and rest.num_rows:
+            yield from _may_be_similar(rest, percent)
+
+    n = partitions(placed.sparkSession)
+    names = ["cluster", "block", "side", "part", "set_id", "n", "bits"]
+    dealt = placed.select(*names).repartition(n, "cluster", "block").sortWithinPartitions("cluster", "block")
+    return dealt.mapInArrow(run, "cluster long, block long, side int, part long, set_id long")
+
+
+def _may_be_similar(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows of whole blocks; pairs of all blocks are tested together, by their distance in the table."""
+    cluster, block, part, sizes = (table[c].to_numpy() for c in ("cluster", "block", "part", "n"))
+    raw = table["bits"].to_pylist()
+    words = np.array([len(b) // 8 for b in raw])
+    fresh = np.ones(len(words), dtype=bool)
+    fresh[1:] = (cluster[1:] != cluster[:-1]) | (block[1:] != block[:-1])
+    number = np.cumsum(fresh)
+    # bitmaps by their width; those of twice the width folded as well
+    place = np.zeros((2, len(words)), dtype=np.int64)
+    maps, hidden = {}, {}
+    for w in np.unique(words).tolist():
+        for twice in (0, 1):
+            rows = np.flatnonzero(words == w << twice)
+            if len(rows):
+                each = np.frombuffer(b"".join([raw[i] for i in rows]), dtype=np.uint64).reshape(len(rows), 1 << twice, w)
+                maps[w, twice] = np.bitwise_or.reduce(each, axis=1)
+                hidden[w, twice] = sizes[rows] - np.bitwise_count(maps[w, twice]).sum(axis=1).astype(np.int64)
+                place[twice, rows] = np.arange(len(rows))
+    keep = np.zeros(len(words), dtype=bool)
+    left = np.arange(len(words))
+    for distance in range(1, len(words)):
+        left = left[left + distance < len(words)]
+        left = left[number[left] == number[left + distance]]  # blocks are contiguous, so the others are done
+        if not len(left):
+            break
+        right = left + distance
+        some = part[left] != part[right]
+        small, great = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
+        some &= 100 * small >= percent * great
+        i, j, small, great = left[some], right[some], small[some], great[some]
+        w = np.minimum(words[i], words[j])
+        for width in np.unique(w).tolist():
+            at = np.flatnonzero(w == width)
+            # with a ratio of sizes above one half, widths differ by a factor of two at most; otherwise the pair is kept
+            fit = at[np.maximum(words[i[at]], words[j[at]]) <= 2 * width]
+            keep[i[np.setdiff1d(at, fit)]] = keep[j[np.setdiff1d(at, fit)]] = True
+            for part_of in np.array_split(fit, max(1, len(fit) * width >> 20)):
+                a, b = i[part_of], j[part_of]
+                both, hide = np.full((len(a), width), np.uint64(2**64 - 1)), np.full(len(a), 1 << 60)
+                for rows in (a, b):
+                    for twice in (0, 1):
+                        mine = words[rows] == width << twice
+                        if mine.any():
+                            spot = place[twice, rows[mine]]
+                            both[mine] &= maps[width, twice][spot]
+                            hide[mine] = np.minimum(hide[mine], hidden[width, twice][spot])
+                shared = np.minimum(np.bitwise_count(both).sum(axis=1).astype(np.int64) + hide, small[part_of])
+                good = (100 + percent) * shared >= percent * (small[part_of] + great[part_of])
+                keep[a[good]] = keep[b[good]] = True
+    if keep.any():
+        out = table.filter(pa.array(keep)).select(["cluster", "block", "side", "part", "set_id"]).combine_chunks()
+        yield from out.to_batches(1 << 16)
 
 
 def _parts(placed: DataFrame, links: DataFrame) -> DataFrame:

@@ -85,3 +85,36 @@ def test_odd_rows_do_not_break_a_stage(spark):
             if name == "ngram_jaccard":
                 kept = sorted((r.doc_id for r in df.collect()), key=str)
                 assert kept in ([], sorted([None, None, 1, 2, 3], key=str))
+
+
+def similar_text(group, k):
+    return " ".join([*(f"g{group}w{i}" for i in range(40)), f"end{k}"])
+
+
+def test_one_row_of_each_group_stays_also_for_repeated_ids(spark):
+    """Seven rows, two groups, and an id with a row in each."""
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    groups = [(1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (9, 0), (9, 1)]
+    rows = [(i, similar_text(g, k), "en", "s", 1) for k, (i, g) in enumerate(groups)]
+    rows += [(None, similar_text(0, 99), "en", "s", 1), (None, similar_text(2, 1), "en", None, 1), (None, similar_text(2, 1), None, "en", 1)]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = spark.createDataFrame([dict(zip(names, r)) for r in rows], schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()
+    found = sorted((str(r.doc_id), r.text.split("w")[0]) for r in kept)
+    assert found == [("1", "g0"), ("2", "g1"), ("None", "g2")]
+
+
+def test_clashing_columns_come_through(spark):
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40)
+    more = ("score", "_row", "component_id", "copies", "row", "set_id", "part")
+    wide = docs.selectExpr("*", *(f"concat('{c}', doc_id) as {c}" for c in more))
+    plain, clashing = docs, wide
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = corpus_pipeline.stored(stage(spark, plain, SMALL), f"plain-{name}")
+        clashing = corpus_pipeline.stored(stage(spark, clashing, SMALL), f"clashing-{name}")
+        assert clashing.columns == wide.columns and plain.schema == schema
+        rows = clashing.collect()
+        assert ids(plain) == sorted(r.doc_id for r in rows)
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in more)
+    assert corpus_pipeline.to_tokens(spark, clashing, SMALL).count() == len(rows)

@@ -419,3 +419,56 @@ def test_a_filter_too_large_to_broadcast_gives_the_same_scores(spark, monkeypatc
         for a, b in zip(whole, joined, strict=True):
             assert a[:4] == b[:4] and np.allclose(a[4:], b[4:])
     assert bloom_lm.score(documents(spark, []), train).count() == 0
+
+
+# large clusters and repeated ids
+
+
+def test_near_copies_under_one_id_are_placed_once(spark, monkeypatch):
+    """Texts are fetched by row: near copies that share an id bring no more texts than there are."""
+    base = [f"w{i}" for i in range(80)]
+    rows = [(7, " ".join([*base[:-1], f"u{i}"])) for i in range(200)] + [(7, " ".join(base))] * 50
+    placed = {}
+    write = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, label: placed.setdefault(label, write(df, label)))
+    got = jaccard_join.similar_components(documents(spark, rows), 3, 90).collect()
+    assert len(got) == 250 and {r.component_id for r in got} == {7}
+    assert placed["placed"].count() == 201
+
+
+def test_a_broken_cluster_is_compared_by_shared_keys(spark, monkeypatch):
+    """Groups that only share a passage, and chains inside them, over many blocks."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(16)]
+    rows, i = [], 0
+    for group in range(30):
+        own = [f"g{group}_{k}" for k in range(rng.randrange(2, 14))]
+        for _ in range(rng.randrange(1, 9)):
+            words = [*passage, *own]
+            if rng.random() < 0.7:
+                words[rng.randrange(len(words))] = f"x{i}"
+            rows.append((i, " ".join(words)))
+            i += 1
+    moved = []
+    link = jaccard_join._link_blocks
+    monkeypatch.setattr(jaccard_join, "_link_blocks", lambda df, *a: moved.append(df.count()) or link(df, *a))
+    for blocks in (1024, 5, 2):
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", blocks)
+        for percent in (80, 90):
+            got = jaccard_join.similar_components(documents(spark, rows), 3, percent).collect()
+            assert sorted(map(tuple, got)) == brute_components(rows, 3, percent), (blocks, percent)
+
+
+def test_chain_over_many_blocks_moves_few_rows(spark, monkeypatch):
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(120):  # neighbours are similar, ends are not
+        if i % 3 == 0:
+            base[i * 7 % 150] = f"v{i}"
+        rows.append((i, " ".join(base) + f" t{i}"))
+    moved = []
+    link = jaccard_join._link_blocks
+    monkeypatch.setattr(jaccard_join, "_link_blocks", lambda df, *a: moved.append(df.count()) or link(df, *a))
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 10)
+    got = jaccard_join.similar_components(documents(spark, rows), 3, 90).collect()
+    assert sorted(map(tuple, got)) == brute_components(rows, 3, 90)
+    assert moved[0] == len(rows) and sum(moved) < 12 * len(rows)  # as many blocks, and all pairs of them, would be 132 times
