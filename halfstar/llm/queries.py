@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bloom_lm, bpe, chat, decontamination, embedding_dedup, hard_negatives, jaccard_join, pii, token_records, toxicity, url_rules, warc
+from . import alignment, bloom_lm, bpe, chat, decontamination, embedding_dedup, hard_negatives, jaccard_join, oracle, pii, token_records, toxicity, url_rules, warc
 from .tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,4 +160,4 @@ QUERIES: dict[str, Query] = {
 }
 
 #: DuckDB statements, where SQL can express a query.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.STATEMENTS
