@@ -7,7 +7,7 @@ operator reports on ids, it is given a hash of the whole row as id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfstar.llm import bpe, decontamination, jaccard_join, toxicity
@@ -18,9 +18,17 @@ from halfstar.llm.tables import stored
 WIDTH, PERCENT = 5, 80
 
 
-def row_key(docs: DataFrame) -> Column:
-    """A number for each row's content: all columns, and which of them are NULL."""
-    return F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
+def free_name(docs: DataFrame, name: str) -> str:
+    """A name that no column has."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
+def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row's content, of all columns and which of them are NULL, and its name."""
+    name = free_name(docs, "_row")
+    return docs.withColumn(name, F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))), name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +38,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     a NULL or empty text has the score of no features. An empty table gives an empty one.
     """
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
-    own = docs.withColumnRenamed("score", "_own_score")  # the model's column has this name
-    return toxicity.score(own, model).where(F.col("score") < TOXIC_FROM).drop("score").withColumnRenamed("_own_score", "score").select(*docs.columns)
+    own = free_name(docs, "_score")  # the model's column has the name without the bar
+    scored = toxicity.score(docs.withColumnRenamed("score", own), model).where(F.col("score") < TOXIC_FROM)
+    return scored.drop("score").withColumnRenamed(own, "score").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,23 +50,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     smallest of. Rows without an id come after all others, rows of one id in the order of a hash. Repeated rows are one, also if they have no
     text; other rows with a NULL or empty text are similar to nothing and stay. Texts of any length are compared whole.
     """
-    keyed = docs.withColumn("_row", row_key(docs))
-    found = jaccard_join.similar_components(keyed.select(F.col("_row").alias("doc_id"), "text"), WIDTH, PERCENT)
-    found = stored(found.select(F.col("doc_id").alias("_row"), "component_id"), "components")
-    rows = found.groupBy("component_id", "_row").agg(F.count("*").alias("copies"))
+    keyed, row = with_row(docs)
+    found = jaccard_join.similar_components(keyed.select(F.col(row).alias("doc_id"), "text"), WIDTH, PERCENT)
+    found = stored(found.select(F.col("doc_id").alias(row), "component_id"), "components")
+    rows = found.groupBy("component_id", row).agg(F.count("*").alias("copies"))
     # components of one row need no choice
     several = rows.groupBy("component_id").agg(F.count("*").alias("rows"), F.max("copies").alias("copies"))
     several = stored(several.where("rows > 1 or copies > 1"), "groups")
     inside = stored(found.distinct().join(several.select("component_id"), "component_id", "left_semi"), "grouped_rows")
-    named = keyed.select("_row", "doc_id").join(inside, "_row").distinct()
-    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row")
-    chosen = named.groupBy("component_id").agg(F.min(order).alias("first")).select("component_id", F.col("first._row").alias("_row"))
-    others = stored(inside.join(chosen, ["component_id", "_row"], "left_anti").select("_row"), "near_duplicates")
-    kept = keyed.join(others, "_row", "left_anti")
-    repeated = stored(rows.where("copies > 1").select("_row"), "repeated")
+    named = keyed.select(row, "doc_id").join(inside, row).distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col(row).alias("row"))
+    chosen = named.groupBy("component_id").agg(F.min(order).alias("first")).select("component_id", F.col("first.row").alias(row))
+    others = stored(inside.join(chosen, ["component_id", row], "left_anti").select(row), "near_duplicates")
+    kept = keyed.join(others, row, "left_anti")
+    repeated = stored(rows.where("copies > 1").select(row), "repeated")
     if not repeated.isEmpty():  # only their texts need to move to be told apart
-        once = kept.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
-        kept = kept.join(repeated, "_row", "left_anti").unionByName(once)
+        once = kept.join(repeated, row, "left_semi").dropDuplicates([row])
+        kept = kept.join(repeated, row, "left_anti").unionByName(once)
     return kept.select(*docs.columns)
 
 
@@ -67,10 +76,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows with a NULL or empty text hold none and stay, also without an id; repeated rows go or stay together. Items of less
     than five words count by their whole sequence. An empty table of either kind leaves the documents as they are.
     """
-    keyed = docs.withColumn("_row", row_key(docs))
-    found = decontamination.contaminated(keyed.select(F.col("_row").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"), short_items=True)
-    others = stored(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return keyed.join(others, "_row", "left_anti").select(*docs.columns)
+    keyed, row = with_row(docs)
+    found = decontamination.contaminated(keyed.select(F.col(row).alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"), short_items=True)
+    others = stored(found.select(F.col("doc_id").alias(row)).distinct(), "contaminated")
+    return keyed.join(others, row, "left_anti").select(*docs.columns)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

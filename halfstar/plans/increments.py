@@ -11,7 +11,7 @@ What depends on every pair of user and movie, `user_activity` and what follows f
 and is derived from the stored ratings (see `pipeline`).
 """
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +20,7 @@ from ..operators import cleaning, genres, movies as movie_ops, timeline
 from ..sources.versions import Draft, Version, part_name
 from .pipeline import Thresholds
 
-#: Marts of a version, and whether they lie in year folders.
+#: Marts that lie in year folders, and all others that can be kept up.
 BY_YEAR = ("yearly_trends", "genre_year_trends")
 WHOLE = (
     "rating_distribution",
@@ -31,6 +31,8 @@ WHOLE = (
     "hidden_gems",
     "decade_quality",
 )
+#: Marts that are derived from `movie_stats`.
+_OF_STATS = {"movie_bayesian", "hidden_gems", "decade_quality"}
 
 
 def set_movies(
@@ -39,33 +41,49 @@ def set_movies(
     """Start a store with its movies, or replace them: marts are derived anew, from the counts."""
     draft = Draft(spark, root)
     draft.replace(cleaning.clean_movies(raw_movies), "movies")
-    if "ratings" in draft.tables():
-        _derive(draft, limits, None)
+    if kept := _kept(draft):
+        _derive(draft, limits, kept, draft.parts("rating_counts"))
     return draft.commit()
 
 
 def add_ratings(
-    spark: SparkSession, root: str, raw_ratings: DataFrame, limits: Thresholds = Thresholds()
+    spark: SparkSession,
+    root: str,
+    raw_ratings: DataFrame,
+    limits: Thresholds = Thresholds(),
+    marts: Iterable[str] | None = None,
 ) -> int:
     """Add a batch of raw ratings to a store that has movies; returns the number of the new version.
 
-    A batch that is empty, or has no row that survives cleaning, changes no mart.
+    The marts that the store has are kept up, and those of ``marts`` from now on, too; a store without any
+    gets all, unless ``marts`` names some. A batch that is empty, or has no row that survives cleaning, changes no mart.
     """
     draft = Draft(spark, root)
     before = set(draft.entries)
     batch = draft.append(cleaning.clean_ratings(raw_ratings), "ratings", by="year")
-    touched = sorted({e.part for e in draft.entries if e.table == "ratings" and e not in before})
+    touched = sorted({e.part for e in draft.entries if e.table == "ratings" and e.part and e not in before})
     _add_up(draft, count_ratings(batch, "movie_id", "year", "rating"), "rating_counts", touched)
     users = batch.select("year", "user_id").distinct()
     known = draft.read("year_users", touched, users.schema)
     draft.replace(known.unionByName(users).distinct(), "year_users", "year", touched)
     _add_up(draft, count_ratings(batch, "movie_id", "rating"), "movie_counts")
     _add_up(draft, count_ratings(batch, "hour", "rating"), "hour_counts")
-    if touched or not set(WHOLE) <= set(draft.tables()):
-        _derive(draft, limits, touched)
+    kept = _kept(draft)
+    new = set(BY_YEAR + WHOLE if marts is None and not kept else marts or ()) - kept
+    if new & _OF_STATS:
+        new |= {"movie_stats"} - kept
+    if unknown := new - {*BY_YEAR, *WHOLE}:
+        raise ValueError(f"no marts that can be kept up: {sorted(unknown)}")
+    if touched:
+        _derive(draft, limits, kept, touched)
+    _derive(draft, limits, new, draft.parts("rating_counts"))
     return draft.commit()
 
 
+def _kept(draft: Draft) -> set[str]:
+    return set(draft.tables()) & {*BY_YEAR, *WHOLE}
+
+
 def _add_up(draft: Draft, counts: DataFrame, table: str, parts: Sequence[str] | None = None) -> None:
     """Replace stored counts, or given parts of them, by their sum with new ones."""
     keys = [c for c in counts.columns if c != COUNTED]
@@ -74,25 +92,33 @@ def _add_up(draft: Draft, counts: DataFrame, table: str, parts: Sequence[str] |
     draft.replace(total, table, "year" if parts is not None else None, parts)
 
 
-def _derive(draft: Draft, limits: Thresholds, touched: Iterable[str] | None) -> None:
-    """Derive marts from the counts: those by year for the given years, or all."""
+def _derive(draft: Draft, limits: Thresholds, marts: set[str], parts: Sequence[str]) -> None:
+    """Derive marts from the counts: those by year for the years of some parts."""
     t = limits
     movies = draft.read("movies")
-    counts, hours = draft.read("movie_counts"), draft.read("hour_counts")
-    parts = draft.parts("rating_counts") if touched is None else list(touched)
-    if parts:
+    counts = draft.read("movie_counts")
+
+    def keep(mart: str, build: Callable[[], DataFrame]) -> None:
+        if mart in marts:
+            draft.replace(build(), mart)
+
+    if parts and marts & set(BY_YEAR):
         years, users = draft.read("rating_counts", parts), draft.read("year_users", parts)
-        trends = timeline.yearly_trends(users, t.first_year, t.last_year, years)
-        draft.replace(trends, "yearly_trends", "year", parts)
-        trends = genres.genre_year_trends(years, movies, t.first_year, t.last_year, COUNTED)
-        draft.replace(trends, "genre_year_trends", "year", parts)
-    draft.replace(timeline.rating_distribution(counts, COUNTED), "rating_distribution")
-    draft.replace(timeline.hourly_activity(hours, COUNTED), "hourly_activity")
-    draft.replace(genres.genre_stats(counts, movies, COUNTED), "genre_stats")
-    stats = draft.replace(movie_ops.movie_stats(counts, movies, t.min_ratings, COUNTED), "movie_stats")
-    draft.replace(movie_ops.movie_bayesian(stats, counts, t.min_votes, COUNTED), "movie_bayesian")
-    draft.replace(movie_ops.hidden_gems(stats, t.gems_min_avg, t.gems_lo, t.gems_hi), "hidden_gems")
-    draft.replace(movie_ops.decade_quality(stats, t.first_decade, t.last_decade), "decade_quality")
+        if "yearly_trends" in marts:
+            trends = timeline.yearly_trends(users, t.first_year, t.last_year, years)
+            draft.replace(trends, "yearly_trends", "year", parts)
+        if "genre_year_trends" in marts:
+            trends = genres.genre_year_trends(years, movies, t.first_year, t.last_year, COUNTED)
+            draft.replace(trends, "genre_year_trends", "year", parts)
+    keep("rating_distribution", lambda: timeline.rating_distribution(counts, COUNTED))
+    keep("hourly_activity", lambda: timeline.hourly_activity(draft.read("hour_counts"), COUNTED))
+    keep("genre_stats", lambda: genres.genre_stats(counts, movies, COUNTED))
+    keep("movie_stats", lambda: movie_ops.movie_stats(counts, movies, t.min_ratings, COUNTED))
+    if marts & _OF_STATS:
+        stats = draft.read("movie_stats")
+        keep("movie_bayesian", lambda: movie_ops.movie_bayesian(stats, counts, t.min_votes, COUNTED))
+        keep("hidden_gems", lambda: movie_ops.hidden_gems(stats, t.gems_min_avg, t.gems_lo, t.gems_hi))
+        keep("decade_quality", lambda: movie_ops.decade_quality(stats, t.first_decade, t.last_decade))
 
 
 def mart(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:

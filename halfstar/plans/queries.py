@@ -349,7 +349,7 @@ def pipeline_mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SECOND, _THIRD = 9_496 * 86_400, 10_227 * 86_400
 
 
-def _batches(spark: SparkSession, sf_dir: str) -> str:
+def _batches(spark: SparkSession, sf_dir: str, mart: str) -> str:
     """Ratings added in three batches, the later ones with years that are there already; returns the store's root."""
     root = new_scratch_dir(spark, "batches")
     increments.set_movies(spark, root, standin.movies_raw(spark, sf_dir), LIMITS)
@@ -357,13 +357,13 @@ def _batches(spark: SparkSession, sf_dir: str) -> str:
     number = F.when(late | (at >= _THIRD), 2).when(at >= _SECOND, 1).otherwise(0)
     ratings = standin.ratings_raw(spark, sf_dir).withColumn("batch", number)
     for k in range(3):
-        increments.add_ratings(spark, root, ratings.where(F.col("batch") == k).drop("batch"), LIMITS)
+        increments.add_ratings(spark, root, ratings.where(F.col("batch") == k).drop("batch"), LIMITS, [mart])
     return root
 
 
 def _after_batches(mart: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = increments.mart(spark, _batches(spark, sf_dir), mart)
+        df = increments.mart(spark, _batches(spark, sf_dir, mart), mart)
         return in_report_order(df.drop("genre_array"), mart)
 
     return query

@@ -72,7 +72,8 @@ class Version:
         return sorted({e.table for e in self.entries})
 
     def parts(self, table: str) -> list[str]:
-        return sorted({e.part for e in self.entries if e.table == table})
+        """The parts of a partitioned table that have rows."""
+        return sorted({e.part for e in self.entries if e.table == table and e.part})
 
     def folder(self, table: str = "") -> str:
         """The folder of a table that is stored whole."""
@@ -121,12 +122,22 @@ class Draft(Version):
         # a scan without columns: the values are in the folders' names
         stored = self.spark.read.schema(df.schema).parquet(folder)
         names = [part_name(by, r[0]) for r in stored.select(by).distinct().collect()]
+        if not names:  # no folder of a part says what the rows look like
+            folder = self.new_folder(table)
+            self.spark.createDataFrame([], df.schema).write.parquet(folder)
+            return [Entry(table, "", folder)]
         return [Entry(table, name, f"{folder}/{name}") for name in sorted(names)]
 
+    def _put(self, table: str, by: str | None, old: list[Entry], new: list[Entry]) -> None:
+        """Let a table consist of these entries; an empty one of a partitioned table counts only by itself."""
+        mine = old + new
+        mine = ([e for e in mine if e.part] or mine[-1:]) if by else mine
+        self.entries = [e for e in self.entries if e.table != table] + mine
+
     def append(self, df: DataFrame, table: str, by: str | None = None) -> DataFrame:
         """Add rows to a table; returns them as stored. A part may lie in several folders."""
         entries = self._store(df, table, by)
-        self.entries += entries
+        self._put(table, by, [e for e in self.entries if e.table == table], entries)
         return _read(self.spark, self.root, table, entries, df.schema)
 
     def replace(
@@ -137,9 +148,8 @@ class Draft(Version):
         Whoever gives ``parts`` gives rows of these only; a part without rows is gone then.
         """
         entries = self._store(df, table, by)
-        self.entries = [
-            e for e in self.entries if e.table != table or (parts is not None and e.part not in parts)
-        ] + entries
+        old = [e for e in self.entries if e.table == table and parts is not None and e.part not in parts]
+        self._put(table, by, old, entries)
         return _read(self.spark, self.root, table, entries, df.schema)
 
     def commit(self) -> int:

@@ -212,3 +212,30 @@ def test_a_failed_batch_can_be_added_again(spark, raw, tmp_path, monkeypatch):
     clean = cleaning.clean_ratings(raw["ratings"])
     stored = increments.mart(spark, root, "rating_counts")
     assert same(count_ratings(clean, "movie_id", "year", "rating"), stored)
+
+
+def test_only_the_marts_of_a_store_are_kept_up(spark, raw, tmp_path):
+    root = str(tmp_path)
+    increments.set_movies(spark, root, raw["movies"], LIMITS)
+    early, late = (raw["ratings"].where(c) for c in ("timestamp < 820454400", "timestamp >= 820454400 or timestamp is null"))
+    increments.add_ratings(spark, root, early, LIMITS, ["yearly_trends"])
+    marts = {*increments.BY_YEAR, *increments.WHOLE}
+    assert set(versions.Version(spark, root).tables()) & marts == {"yearly_trends"}
+    increments.add_ratings(spark, root, late, LIMITS, ["genre_year_trends", "hidden_gems"])
+    assert set(versions.Version(spark, root).tables()) & marts == {"yearly_trends", "genre_year_trends", "hidden_gems", "movie_stats"}
+    ratings, listed = cleaning.clean_ratings(raw["ratings"]), cleaning.clean_movies(raw["movies"])
+    for name in ("yearly_trends", "genre_year_trends", "hidden_gems", "movie_stats"):
+        assert same(expected_marts(ratings, listed)[name], increments.mart(spark, root, name)), name
+    with pytest.raises(ValueError):
+        increments.add_ratings(spark, root, late, LIMITS, ["user_activity"])
+
+
+def test_a_store_may_begin_with_an_empty_batch(spark, raw, tmp_path):
+    root = str(tmp_path)
+    increments.set_movies(spark, root, raw["movies"], LIMITS)
+    increments.add_ratings(spark, root, raw["ratings"].limit(0), LIMITS)
+    assert all(increments.mart(spark, root, m).count() == 0 for m in (*increments.BY_YEAR, *increments.WHOLE, "ratings"))
+    increments.add_ratings(spark, root, raw["ratings"], LIMITS)
+    ratings, listed = cleaning.clean_ratings(raw["ratings"]), cleaning.clean_movies(raw["movies"])
+    for name, df in expected_marts(ratings, listed).items():
+        assert same(df, increments.mart(spark, root, name)), name
