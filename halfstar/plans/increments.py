@@ -102,8 +102,9 @@ def _derive(draft: Draft, limits: Thresholds, marts: set[str], parts: Sequence[s
         if mart in marts:
             draft.replace(build(), mart)
 
-    if parts and marts & set(BY_YEAR):
-        years, users = draft.read("rating_counts", parts), draft.read("year_users", parts)
+    if marts & set(BY_YEAR):
+        some = parts or None  # without any part, the tables are stored whole, and empty
+        years, users = draft.read("rating_counts", some), draft.read("year_users", some)
         if "yearly_trends" in marts:
             trends = timeline.yearly_trends(users, t.first_year, t.last_year, years)
             draft.replace(trends, "yearly_trends", "year", parts)
