@@ -27,8 +27,9 @@ def qualified(spark: SparkSession, folder: str) -> str:
     Raises ValueError for a scheme that Arrow does not know.
     """
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    scheme, rest = system.makeQualified(path).toString().split(":", 1)
+    if path.toUri().getScheme() is None:
+        path = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path)
+    scheme, rest = path.toString().split(":", 1)
     scheme = _RENAMED.get(scheme, scheme)
     if scheme not in SCHEMES:
         raise ValueError(f"binary files cannot be written to {folder}: no file system for {scheme}")
