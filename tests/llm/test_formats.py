@@ -293,6 +293,17 @@ def test_links_equal_brute_force(spark, monkeypatch, block):
     assert embedding_dedup.near_duplicates(table.where("false")).count() == 0
 
 
+def test_chains_of_vectors_are_one_component(spark):
+    """Ends that are linked over a middle vector only, whichever of the three has the smallest hash."""
+    rng, rows = np.random.default_rng(3), []
+    for chain in range(30):
+        x, y = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        rows += [(10 * chain + k, (np.cos(a) * x + np.sin(a) * y).tolist()) for k, a in enumerate(np.radians([0, 13.5, 27]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table, 0.9).collect()}
+    assert got == {10 * chain + k: (1 + (k == 1), 10 * chain) for chain in range(30) for k in range(3)}
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(11)
     a = rng.standard_normal((1500, 64))
