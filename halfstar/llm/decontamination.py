@@ -6,7 +6,8 @@ n shingles, of which m have to be in the document, any n - m + 1 have one that i
 shingles, and each class is compared with windows of 2u shingles that begin at every u-th shingle of
 a document. A passage of at most u shingles lies whole in one of them, and an item of more than u/2, of which four fifths lie there, has a
 similarity to it of at least 0.19: all of 64 minima differ with a chance of about 10**-6. Minima of
-windows are minima of blocks of the smallest class, taken together two by two, so each shingle is hashed once for all classes.
+windows are minima of blocks of the smallest class, taken together two by two, so each shingle is hashed once for all classes. Shingles that
+no item of the slice has are left out before: they can be no item's minimum, and without them a window only comes nearer to the items it holds.
 
 A document and an item with any minimum, or any of the shingles looked up, in common are a candidate pair, which an exact count of the item's distinct
 shingles in the *whole* document decides. Items come in slices of bounded size, which are broadcast; for
@@ -44,12 +45,22 @@ def _minima(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks(counts: np.ndarray, per: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where each block of ``per`` entries begins, and the number of blocks of each text."""
-    many = -(-counts // per)
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    first = np.concatenate([[0], np.cumsum(many)[:-1]])
-    return np.repeat(starts, many) + per * (np.arange(many.sum()) - np.repeat(first, many)), many
+def _changes(text: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Where a new block begins."""
+    fresh = np.ones(len(text), dtype=bool)
+    fresh[1:] = (text[1:] != text[:-1]) | (block[1:] != block[:-1])
+    return np.flatnonzero(fresh)
+
+
+def _windows(minima: np.ndarray, text: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minima and texts of all windows of two neighbouring blocks; ``block`` counts within a text, and empty blocks are left out."""
+    next_to = np.zeros(len(text), dtype=bool)  # whether the block before is there
+    next_to[1:] = (text[1:] == text[:-1]) & (block[1:] == block[:-1] + 1)
+    joined = np.flatnonzero(next_to)
+    windows = minima.copy()
+    windows[:, joined - 1] = np.minimum(minima[:, joined - 1], minima[:, joined])
+    alone = np.flatnonzero(~next_to & (block > 0))  # the window that begins with the empty block before
+    return np.concatenate([windows, minima[:, alone]], axis=1), np.concatenate([text, text[alone]])
 
 
 class ItemIndex:
@@ -66,6 +77,11 @@ class ItemIndex:
         small = [(key, i) for i in np.flatnonzero((sizes > 0) & (sizes <= EXACT)) for key in self.sets[i][: sizes[i] - -(-percent * sizes[i] // 100) + 1]]
         small.sort()
         self.keys, self.of_key = np.array([k for k, _ in small], dtype=np.uint64), np.array([i for _, i in small], dtype=np.int64)
+        #: All shingles of items of the classes, and which leading bits they have.
+        self.known = np.unique(np.concatenate([values[:0], *(self.sets[i] for i in np.flatnonzero(sizes > EXACT))]))
+        bits = int(np.clip(len(self.known), 1 << 6, 1 << 20) - 1).bit_length() + 4
+        self.leading, self.shift = np.zeros(1 << bits, dtype=bool), np.uint64(64 - bits)
+        self.leading[self.known >> self.shift] = True
         self.classes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
         upper = np.where(sizes > EXACT, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), 0)
         for u in np.unique(upper[upper > 0]):
@@ -93,23 +109,28 @@ class ItemIndex:
         found = self.exact(values, counts)
         if not len(values) or not self.classes:
             return found
+        at = np.flatnonzero(self.leading[values >> self.shift])
+        place = np.searchsorted(self.known, values[at])
+        at = at[self.known[np.minimum(place, len(self.known) - 1)] == values[at]]
+        if not len(at):
+            return found
+        ends = np.cumsum(counts)
+        text = np.searchsorted(ends, at, side="right")
         size = self.classes[0][0]  # smaller blocks than the smallest class needs are left out
-        cuts, many = _blocks(counts, size)
-        minima = _minima(values, cuts)
+        block = (at - (ends - counts)[text]) // size
+        cuts = _changes(text, block)
+        minima, text, block = _minima(values[at], cuts), text[cuts], block[cuts]
         for u, items, known, seen in self.classes:
             while size < u:
-                cuts, fewer = _blocks(many, 2)
-                minima, many, size = np.minimum.reduceat(minima, cuts, axis=1), fewer, 2 * size
-            text = np.repeat(np.arange(len(many)), many)
-            # windows of two neighbouring blocks of one text
-            windows = minima.copy()
-            joined = np.flatnonzero(text[1:] == text[:-1])
-            windows[:, joined] = np.minimum(minima[:, joined], minima[:, joined + 1])
+                block, size = block // 2, 2 * size
+                cuts = _changes(text, block)
+                minima, text, block = np.minimum.reduceat(minima, cuts, axis=1), text[cuts], block[cuts]
+            windows, of_window = _windows(minima, text, block)
             shift = np.uint64(64 - int(seen.shape[1]).bit_length() + 1)
             for k in range(MINIMA):
                 for w in np.flatnonzero(seen[k][windows[k] >> shift]):
                     for i in np.flatnonzero(known[k] == windows[k, w]):
-                        found.add((int(text[w]), int(items[i])))
+                        found.add((int(of_window[w]), int(items[i])))
         return found
 
 

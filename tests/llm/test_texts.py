@@ -436,6 +436,29 @@ def test_near_copies_under_one_id_are_placed_once(spark, monkeypatch):
     assert placed["placed"].count() == 201
 
 
+def test_only_shingles_of_items_are_hashed_for_minima(monkeypatch):
+    """Of a document, the passages it has of items, wherever they begin and whatever gaps they have; nothing of the rest."""
+    rng = random.Random(31)
+    items = [" ".join(f"i{n}_{k}" for k in range(size)) for n, size in enumerate([13, 20, 21, 36, 37, 70, 150, 300])]
+    index = decontamination.ItemIndex([*range(len(items))], items)
+    texts, wanted = [" ".join(f"z{k}" for k in range(5000))], set()
+    for _ in range(120):
+        n = rng.randrange(len(items))
+        words_of = items[n].split()
+        shingles = len(words_of) - 4
+        if rng.random() < 0.6 and shingles >= 25:  # one word differs: five shingles are missing
+            words_of[rng.randrange(len(words_of))] = "other"
+        wanted.add((len(texts), n))
+        texts.append(" ".join([*(f"y{k}" for k in range(rng.randrange(400))), *words_of, *(f"x{k}" for k in range(rng.randrange(90)))]))
+    values, starts = words.shingle_hashes(*words.word_hashes(pa.array(texts)), 5, whole_if_short=False)
+    hashed = []
+    minima = decontamination._minima
+    monkeypatch.setattr(decontamination, "_minima", lambda v, cuts: hashed.append(len(v)) or minima(v, cuts))
+    assert index.candidates(values, np.diff(starts)) == wanted
+    assert sum(hashed) == np.isin(values, np.concatenate(index.sets)).sum()
+    assert index.candidates(values[: starts[1]], np.diff(starts[:2])) == set()
+
+
 def test_a_broken_cluster_is_compared_by_shared_keys(spark, monkeypatch):
     """Groups that only share a passage, and chains inside them, over many blocks."""
     rng = random.Random(8)
