@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import connected_components, partitions, stored
+from .tables import connected_components, partitions, smallest_reached, stored
 
 #: Cell width; chance that a pair at the threshold is missed; unrelated vectors that may share a cell: the more, the
 #: fewer tables a vector has to be moved for, and the more of its cosines are worked out in one product.
@@ -175,21 +175,6 @@ def _search(distinct: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
     return results.select("node", "n"), results.select(F.col("node").alias("a"), F.col("low").alias("b"))
 
 
-def _smallest_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest of ``n`` indexes that each one reaches over the pairs."""
-    low = np.arange(n)
-    while True:
-        a, b = low[i], low[j]
-        hung = low.copy()
-        np.minimum.at(hung, a, b)
-        np.minimum.at(hung, b, a)
-        while (hung[hung] != hung).any():
-            hung = hung[hung]
-        if (hung == low).all():
-            return low
-        low = hung
-
-
 def _compared(rows: list[pa.RecordBatch], group: tuple, hashes: dict[int, Hashes], threshold: float) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(rows).combine_chunks()
     dim, number, _, x, y = (int(v) for v in group)
@@ -221,7 +206,7 @@ def _compared(rows: list[pa.RecordBatch], group: tuple, hashes: dict[int, Hashes
     order = np.argsort(nodes, kind="stable")
     rank = np.empty(len(nodes), dtype=np.int64)
     rank[order] = np.arange(len(nodes))
-    low = nodes[order][_smallest_reached(len(nodes), rank[i], rank[j])][rank]
+    low = nodes[order][smallest_reached(len(nodes), rank[i], rank[j])][rank]
     linked = used[(counts[used] > 0) | (low[used] != nodes[used])]
     if len(linked):
         yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(counts[linked]), pa.array(low[linked])], ["node", "n", "low"])

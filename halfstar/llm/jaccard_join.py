@@ -1,11 +1,13 @@
 """N-gram Jaccard join: documents whose sets of word shingles are similar, and their components.
 
-Two steps keep it exact. **Keys** bring similar sets together without comparing any: sets
+Three steps keep it exact. **Keys** bring similar sets together without comparing any: sets
 of nearly equal size are cut into classes by a hash of the shingle, one class more than
 two similar sets can differ in shingles, so at least one class is equal in both; its hash is a key
 of both. (Small sets, whose classes may be empty, use single shingles: of any two similar
-sets, the first few in hash order share one.) Keys of a step of texts travel packed by buckets, in a single exchange. Sets with a common key, taken
-transitively, form a cluster. **Signature trees** then find within each cluster which sets are really similar
+sets, the first few in hash order share one.) Keys of a step of texts travel packed by buckets, in a single exchange. **Parity sketches**
+then tell which sets of a key can be similar: bits in which the sketches of two sets differ stand for shingles that only one of them has, so their
+number is never above the sets' difference. Sets that pass, taken transitively, form a cluster; chance keys join none, so clusters
+do not grow together as the corpus grows. **Signature trees** find within each cluster which sets are really similar
 (see ``signature_tree``), over blocks of bounded size. A large cluster that does not turn out to be of one piece
 is split again, now by the keys that sets of different pieces share.
 
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .signature_tree import MAX_BITS, Forest, Tree, bitmap_bits, link_sets
-from .tables import connected_components, partitions, stored
+from .tables import connected_components, partitions, smallest_reached, stored
 from .words import distinct_sets, grouped, mix, salted, shingle_hashes, word_hashes
 
 #: Sets of at most this size use single shingles as keys.
@@ -51,6 +53,21 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def parity_sketches(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """For each set a bitmap, of a bit or two for each shingle: whether an odd number of its shingles falls on a bit.
+
+    Shingles that two sets share cancel out, so their sketches differ in no more bits than the sets in shingles. Halves of a sketch
+    laid over each other are the sketch of half the width.
+    """
+    sizes = np.diff(starts)
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), 64, MAX_BITS)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    at = first[of] + (values & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=first[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return pa.array([packed[a:b] for a, b in zip((first[:-1] // 8).tolist(), (first[1:] // 8).tolist(), strict=True)], pa.binary())
+
+
 def _bands(largest: int) -> np.ndarray:
     """Upper sizes of the bands up to that of ``largest``, each half as large again as the one before, and one more."""
     out = [SMALL]
@@ -109,15 +126,15 @@ def set_keys(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.n
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """For each row its ``doc_id``, its ``row`` (a hash of id and text), the size of its set and the set's fingerprint (0: empty)."""
+    """For each row its ``doc_id``, its ``row`` (a hash of id and text), and its set's size, fingerprint (0: empty) and parity sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches):
             values, starts = document_sets(batch["text"], width)
-            columns = [batch["doc_id"], batch["row"], pa.array(np.diff(starts)), _signed(fingerprints(values, starts))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "set_id"])
+            columns = [batch["doc_id"], batch["row"], pa.array(np.diff(starts)), _signed(fingerprints(values, starts)), parity_sketches(values, starts)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "set_id", "sketch"])
 
-    return docs.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, n_shingles long, set_id long")
+    return docs.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, n_shingles long, set_id long, sketch binary")
 
 
 def _step_keys(texts: pa.Array, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,36 +152,18 @@ def _step_keys(texts: pa.Array, width: int, percent: int) -> tuple[np.ndarray, n
     return keys[order], owner[order]
 
 
-def _stars(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of sorted keys, the places where a new one begins; and pairs of each other set of a key and the first one, each pair once."""
-    head = np.ones(len(keys), dtype=bool)
-    head[1:] = keys[1:] != keys[:-1]
-    first = np.flatnonzero(head)
-    left, right = owner[~head], owner[first[np.cumsum(head)[~head] - 1]]
-    order = np.lexsort((right, left))
-    left, right = left[order], right[order]
-    fresh = left != right
-    fresh[1:] &= (left[1:] != left[:-1]) | (right[1:] != right[:-1])
-    return first, left[fresh], right[fresh]
-
-
-#: Sets, lower 48 bits of keys, and the place of each key's set among the sets; and pairs of sets that share a key.
-_PACKED = "bucket int, names binary, keys binary, owners binary, lefts binary, rights binary"
+#: Sets, lower 48 bits of keys, and the place of each key's set among the sets.
+_PACKED = "bucket int, names binary, keys binary, owners binary"
 
 
 def _packed_keys(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """Keys of all sets, a row for each step of texts and bucket of keys.
-
-    Within a step, a key that many sets share goes with the first of them only; the others are linked to it by pairs.
-    """
+    """Keys of all sets, a row for each step of texts and bucket of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches, KEY_STEP):
             keys, owner = _step_keys(batch["text"], width, percent)
             if not len(keys):
                 continue
-            first, left, right = _stars(keys, owner)
-            keys, owner = keys[first], owner[first]
             bucket = (keys >> np.uint64(48)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -173,52 +172,175 @@ def _packed_keys(docs: DataFrame, width: int, percent: int, buckets: int) -> Dat
                 part = order[cuts[number] : cuts[number + 1]]
                 names, place = np.unique(owner[part], return_inverse=True)
                 low = np.ascontiguousarray(keys[part].view("<u2").reshape(-1, 4)[:, :3])
-                rows.append((number, names.tobytes(), low.tobytes(), place.astype("<u2" if len(names) <= 1 << 16 else "<u4").tobytes(), b"", b""))
-            rows[0] = (*rows[0][:4], left.tobytes(), right.tobytes())
+                rows.append((number, names.tobytes(), low.tobytes(), place.astype("<u2" if len(names) <= 1 << 16 else "<u4").tobytes()))
             columns = [pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(zip(*rows, strict=True))]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PACKED.split(", ")])
 
     return docs.select("text").mapInArrow(run, _PACKED)
 
 
+_GROUPS = "key long, sets long, set_id long"
+
+
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs ``(a, b)`` of sets that share a key, enough to connect all that do, from rows that come bucket by bucket."""
-    pending: list[tuple[np.ndarray, np.ndarray]] = []
+    """Sets ``(key, sets, set_id)`` of each key that several have, from rows that come bucket by bucket.
 
-    def pairs(left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for low in range(0, len(left), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(x[low : low + (1 << 16)]) for x in (left, right)], ["a", "b"])
+    Similar sets share many keys; of those that the very same sets have, one will do.
+    """
+    pending: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def done() -> Iterator[pa.RecordBatch]:
+    def done(bucket: int) -> Iterator[pa.RecordBatch]:
         keys, owner = (np.concatenate(x) for x in zip(*pending, strict=True))
         order = np.lexsort((owner, keys))
-        yield from pairs(*_stars(keys[order], owner[order])[1:])
+        keys, owner = keys[order], owner[order]
+        fresh = np.ones(len(keys), dtype=bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        keys, owner = keys[fresh], owner[fresh]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sets = np.diff(np.append(first, len(keys)))
+        names = [np.add.reduceat(salted(owner.view(np.uint64), salt), first) for salt in (8, 9)]
+        several = np.flatnonzero(sets > 1)
+        order = several[np.lexsort((first[several], names[1][several], names[0][several], sets[several]))]
+        same = np.zeros(len(order), dtype=bool)
+        same[1:] = np.all([x[order[1:]] == x[order[:-1]] for x in (sets, *names)], axis=0)
+        chosen = np.zeros(len(sets), dtype=bool)
+        chosen[order[~same]] = True
+        rows = np.flatnonzero(np.repeat(chosen, sets))
+        many = np.repeat(sets, sets)
+        for low in range(0, len(rows), 1 << 16):
+            some = rows[low : low + (1 << 16)]
+            columns = [_signed(salted(keys[some], bucket + 10)), pa.array(many[some]), pa.array(owner[some])]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "sets", "set_id"])
 
     now = None
     for batch in batches:
-        for number, names, low, place, left, right in zip(*(batch[c].to_pylist() for c in batch.schema.names), strict=True):
+        for number, names, low, place in zip(*(batch[c].to_pylist() for c in batch.schema.names), strict=True):
             if number != now and pending:
-                yield from done()
+                yield from done(now)
                 pending = []
             now = number
-            yield from pairs(np.frombuffer(left, np.int64), np.frombuffer(right, np.int64))
             parts = np.frombuffer(low, "<u2").reshape(-1, 3).astype(np.uint64)
             keys = parts[:, 0] | parts[:, 1] << np.uint64(16) | parts[:, 2] << np.uint64(32)
             place = np.frombuffer(place, f"<u{len(place) // len(keys)}")
             pending.append((keys, np.frombuffer(names, np.int64)[place]))
     if pending:
-        yield from done()
+        yield from done(now)
 
 
-def _clusters(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Sets that share keys, transitively: ``(set_id, cluster)``; sets that share none are left out.
+def _clusters(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """Sets that share a key and whose sketches allow them to be similar, transitively: ``(set_id, cluster)``; sets without such a one are left out.
 
-    A task holds the keys of one bucket, a quarter of a partition. A key that occurs in very many texts has one row for each step, so it fills no bucket.
+    A task holds the keys of one bucket, a quarter of a partition. Sets of a key that more than a block of them have are compared in blocks that are dealt by a hash, and
+    where that does not make them one piece, in pairs of blocks of a band of sizes or two.
     """
     n = partitions(docs.sparkSession)
     packed = _packed_keys(docs, width, percent, 4 * n).repartition(n, "bucket").sortWithinPartitions("bucket")
-    edges = packed.mapInArrow(_shared_keys, _LINKS)
-    return connected_components(edges, "clusters").select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
+    groups = stored(packed.mapInArrow(_shared_keys, _GROUPS), "key_groups")
+    sketches = sets.join(groups.select("set_id").distinct(), "set_id", "left_semi").select("set_id", F.col("n_shingles").alias("n"), "sketch")
+    sketches = stored(sketches.dropDuplicates(["set_id"]), "sketches")
+    block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.ceil(F.col("sets") / BLOCK_SETS).cast("long"))
+    placed = groups.select(F.col("key").alias("cluster"), block.alias("block"), F.lit(0).alias("side"), F.col("set_id").alias("part"), "set_id")
+    edges = stored(_likely(placed.join(sketches, "set_id"), percent), "likely")
+    large = groups.where(F.col("sets") > BLOCK_SETS)
+    if not large.isEmpty():
+        known = _named(connected_components(edges, "likely_parts"))
+        parts = sketches.select("set_id", "n").join(stored(known, "likely_parts"), "set_id", "left")
+        rows = stored(large.join(parts.withColumn("part", F.coalesce("cluster", "set_id")), "set_id").withColumn("band", _band(percent)), "large_groups")
+        apart = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        rows = rows.join(stored(apart.select("key"), "groups_apart"), "key").select("key", "part", "set_id", "band")
+        edges = edges.union(stored(_likely(_paired_blocks(rows).withColumnRenamed("key", "cluster").join(sketches, "set_id"), percent), "likely"))
+    return _named(connected_components(edges, "clusters"))
+
+
+def _named(components: DataFrame) -> DataFrame:
+    return components.select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
+
+
+def _likely(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of sets of a block that sizes and sketches allow to be similar, enough of them to connect all these.
+
+    ``placed (cluster, block, side, part, set_id, n, sketch)``. If a block has sets of side 1, only pairs across the sides count.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_blocks(batches):
+            i, j = _likely_pairs(table, percent)
+            names, place = np.unique(table["set_id"].to_numpy(), return_inverse=True)
+            low = smallest_reached(len(names), place[i], place[j])
+            hung = np.flatnonzero(low != np.arange(len(names)))
+            if len(hung):
+                yield pa.RecordBatch.from_arrays([pa.array(names[hung]), pa.array(names[low[hung]])], ["a", "b"])
+
+    n = partitions(placed.sparkSession)
+    names = ["cluster", "block", "side", "part", "set_id", "n", "sketch"]
+    return placed.select(*names).repartition(n, "cluster", "block").sortWithinPartitions("cluster", "block").mapInArrow(run, _LINKS)
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that come block by block, in tables that hold whole blocks."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        cluster, block = (table[c].to_numpy() for c in ("cluster", "block"))
+        cut = int(np.flatnonzero((cluster != cluster[-1]) | (block != block[-1]))[-1]) + 1 if (cluster[0], block[0]) != (cluster[-1], block[-1]) else 0
+        rest = table.slice(cut)  # the last block may go on
+        if cut:
+            yield table.slice(0, cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _likely_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of whole blocks that may be similar, in pairs; those of all blocks are tested together, by their distance in the table."""
+    cluster, block, side, part, sizes = (table[c].to_numpy() for c in ("cluster", "block", "side", "part", "n"))
+    raw = table["sketch"].to_pylist()
+    words = np.array([len(b) // 8 for b in raw])
+    fresh = np.ones(len(words), dtype=bool)
+    fresh[1:] = (cluster[1:] != cluster[:-1]) | (block[1:] != block[:-1])
+    number = np.cumsum(fresh) - 1
+    across = np.maximum.reduceat(side, np.flatnonzero(fresh))[number] > 0
+    # sketches by their width; those of twice the width folded as well
+    place = np.zeros((2, len(words)), dtype=np.int64)
+    maps = {}
+    for w in np.unique(words).tolist():
+        for twice in (0, 1):
+            rows = np.flatnonzero(words == w << twice)
+            if len(rows):
+                each = np.frombuffer(b"".join([raw[i] for i in rows]), dtype=np.uint64).reshape(len(rows), 1 << twice, w)
+                maps[w, twice] = np.bitwise_xor.reduce(each, axis=1)
+                place[twice, rows] = np.arange(len(rows))
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    left = np.arange(len(words))
+    for distance in range(1, len(words)):
+        left = left[left + distance < len(words)]
+        left = left[number[left] == number[left + distance]]  # blocks are contiguous, so the others are done
+        if not len(left):
+            break
+        right = left + distance
+        small, great = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
+        some = (part[left] != part[right]) & (100 * small >= percent * great) & (~across[left] | (side[left] != side[right]))
+        i, j = left[some], right[some]
+        differ = (small[some] + great[some]) * (100 - percent) // (100 + percent)
+        good = np.maximum(words[i], words[j]) > 2 * np.minimum(words[i], words[j])  # of too different widths to be compared
+        for (w, of_i, of_j), at in _by_width(words[i], words[j]):
+            for step in np.array_split(at, max(1, len(at) * w >> 20)):
+                a, b = maps[w, of_i][place[of_i, i[step]]], maps[w, of_j][place[of_j, j[step]]]
+                good[step] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= differ[step]
+        found.append((i[good], j[good]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    return i, j
+
+
+def _by_width(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
+    """Pairs of the same two widths, at most a factor of two apart: the smaller one, and which of the two is twice that."""
+    for w in np.unique(np.minimum(a, b)).tolist():
+        for of_a, of_b in ((0, 0), (0, 1), (1, 0)):
+            at = np.flatnonzero((a == w << of_a) & (b == w << of_b))
+            if len(at):
+                yield (w, of_a, of_b), at
 
 
 _LINKS = "a long, b long"
@@ -301,7 +423,7 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
     sets = stored(shingle_sets(docs, width), "sets")
-    clusters = _clusters(docs, width, percent)
+    clusters = _clusters(docs, sets, width, percent)
     # one row stands for a set; whether it is repeated is known
     rows = sets.where("set_id <> 0").groupBy("set_id", "row").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
     chosen = rows.groupBy("set_id").agg(F.min(F.struct("row", "copies")).alias("one"), F.max("n").alias("n"))
@@ -383,13 +505,12 @@ def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int)
             for low in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([_signed(keys[low : low + (1 << 16)]), pa.array(owner[low : low + (1 << 16)])], ["key", "set_id"])
 
-    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
     keyed = stored(texts.select("text").mapInArrow(run, "key long, set_id long"), "keys_of_parts")
     seen = keyed.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
     keyed = stored(keyed.join(stored(seen.select("key"), "keys_seen"), "key"), "keys_shared")
     bitmaps = stored(_bitmaps(texts, width), "bitmaps")
     texts = texts.select("set_id", "text")
-    parts, links = stored(parts.withColumn("band", band), "parts_of_keys"), None
+    parts, links = stored(parts.withColumn("band", _band(percent)), "parts_of_keys"), None
 
     def linked(placed: DataFrame) -> DataFrame:
         likely = stored(_plausible(placed.join(bitmaps, "set_id"), percent), "plausible")
@@ -416,8 +537,17 @@ def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int)
     groups = groups.groupBy("sets", "names0", "names1").agg(F.min("key").alias("key"))
     rows = stored(keyed.join(stored(groups.select("key", "sets"), "keys_between"), "key"), "between")
     small = rows.where(F.col("sets") <= BLOCK_SETS).select("key", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
-    # a larger key: blocks of each band, and pairs of blocks of a band or two
-    many = rows.where(F.col("sets") > BLOCK_SETS)
+    large = _paired_blocks(rows.where(F.col("sets") > BLOCK_SETS))
+    return links.union(linked(small.union(large).withColumnRenamed("key", "cluster")))
+
+
+def _band(percent: int) -> Column:
+    """Similar sets are of one band of sizes or of two neighbouring ones."""
+    return F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
+
+
+def _paired_blocks(many: DataFrame) -> DataFrame:
+    """Sets ``(key, part, set_id, band)`` of large keys, dealt to blocks ``(key, block, side, part, set_id)``: of each band, and pairs of blocks of a band or two."""
     blocks = stored(many.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("long").alias("blocks")), "band_blocks")
     own = many.join(blocks, ["key", "band"]).withColumn("own", F.pmod(F.xxhash64("set_id", F.lit("band")), "blocks"))
     above = blocks.select("key", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
@@ -432,8 +562,7 @@ def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int)
 
     large = pairs("blocks", F.col("band"), F.least(first, second), F.greatest(first, second), first > second)
     large = large.union(pairs("above", F.col("band"), first, second, F.lit(0)))
-    large = large.union(pairs("below", F.col("band") - 1, second, first, F.lit(1)))
-    return links.union(linked(small.union(large).withColumnRenamed("key", "cluster")))
+    return large.union(pairs("below", F.col("band") - 1, second, first, F.lit(1)))
 
 
 def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
@@ -458,17 +587,8 @@ def _plausible(placed: DataFrame, percent: int) -> DataFrame:
     """Of ``placed (cluster, block, side, part, set_id, n, bits)`` the rows that some row of another part in their block may be similar to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            cluster, block = (table[c].to_numpy() for c in ("cluster", "block"))
-            cut = int(np.flatnonzero((cluster != cluster[-1]) | (block != block[-1]))[-1]) + 1 if (cluster[0], block[0]) != (cluster[-1], block[-1]) else 0
-            rest = table.slice(cut)  # the last block may go on
-            if cut:
-                yield from _may_be_similar(table.slice(0, cut), percent)
-        if rest is not None and rest.num_rows:
-            yield from _may_be_similar(rest, percent)
+        for table in _whole_blocks(batches):
+            yield from _may_be_similar(table, percent)
 
     n = partitions(placed.sparkSession)
     names = ["cluster", "block", "side", "part", "set_id", "n", "bits"]

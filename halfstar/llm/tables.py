@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def smallest_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest of ``n`` indexes that each one reaches over the pairs."""
+    low = np.arange(n)
+    while True:
+        a, b = low[i], low[j]
+        hung = low.copy()
+        np.minimum.at(hung, a, b)
+        np.minimum.at(hung, b, a)
+        while (hung[hung] != hung).any():
+            hung = hung[hung]
+        if (hung == low).all():
+            return low
+        low = hung
+
+
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
     """The smallest node that each node of ``edges (a, b)`` can reach, as ``(node, component)``.
 

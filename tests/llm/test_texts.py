@@ -459,6 +459,36 @@ def test_only_shingles_of_items_are_hashed_for_minima(monkeypatch):
     assert index.candidates(values[: starts[1]], np.diff(starts[:2])) == set()
 
 
+def test_texts_that_only_share_a_passage_are_not_moved(spark, monkeypatch):
+    """They share keys, but their sketches tell that they are not similar: no cluster grows from them."""
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([*passage, *(f"o{i}_{k}" for k in range(60 + i % 20))])) for i in range(150)]
+    rows.append((500, rows[3][1] + " more"))
+    placed = {}
+    write = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, label: placed.setdefault(label, write(df, label)))
+    for width, percent in ((3, 90), (5, 80)):
+        placed.clear()
+        got = jaccard_join.similar_components(documents(spark, rows), width, percent).collect()
+        assert sorted(map(tuple, got)) == brute_components(rows, width, percent)
+        assert placed["key_groups"].count() > 2 and placed["placed"].count() == 2
+
+
+@pytest.mark.parametrize("percent", [64, 80, 90])
+def test_sketches_keep_all_similar_sets(percent):
+    rng = np.random.default_rng(percent)
+    for size in (1, 5, 24, 63, 64, 65, 200, 1000, 70_000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[len(a) * (100 - percent) // (100 + percent) :], rng.integers(0, 1 << 63, size // 50, dtype=np.uint64)]))
+        c = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        sets = [a, a[size * (100 - percent) // 100 :], b, c]
+        sketches = jaccard_join.parity_sketches(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+        facts = {"cluster": [1] * 4, "block": [0] * 4, "side": [0] * 4, "part": [*range(4)], "n": [*map(len, sets)]}
+        found = set(zip(*jaccard_join._likely_pairs(pa.table({**facts, "sketch": sketches}), percent), strict=True))
+        similar = {(i, j) for i in range(4) for j in range(i + 1, 4) if signature_tree.similar(sets[i], sets[j], percent)}
+        assert similar <= found and ((0, 3) not in found or size < 63)
+
+
 def test_a_broken_cluster_is_compared_by_shared_keys(spark, monkeypatch):
     """Groups that only share a passage, and chains inside them, over many blocks."""
     rng = random.Random(8)
