@@ -20,9 +20,10 @@ def with_genre(sums: DataFrame, movies: DataFrame) -> DataFrame:
     """Repeat each row of ``sums`` for every genre entry of its movie.
 
     The list of genres is joined first and exploded after, so that a shuffled
-    join moves one row per movie and not one per entry.
+    join moves one row per movie and not one per entry. Movies, far larger than as
+    they are stored, are not broadcast.
     """
-    wide = sums.join(movies.select("movie_id", "genre_array"), "movie_id")
+    wide = sums.join(movies.select("movie_id", "genre_array").hint("merge"), "movie_id")
     return wide.withColumn("genre", F.explode("genre_array")).where(
         F.col("genre") != X.NO_GENRE
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from halfstar.functions.weighted import count_ratings
-from halfstar.operators import movies, timeline, users
+from halfstar.operators import genres, movies, timeline, users
 from halfstar.operators.cleaning import clean_movies
 from halfstar.plans import standin
 from halfstar.plans.queries import QUERIES
@@ -106,3 +106,14 @@ def test_each_stored_mart_query_runs_the_job(spark, monkeypatch):
     monkeypatch.setattr(registered.pipeline, "run_all", lambda *a, **b: runs.append(a[2]) or run_all(*a, **b))
     counts = [queries()[name](spark, SF_DIR).count() for name in ("pipeline_movie_stats", "pipeline_movie_stats", "pipeline_genre_stats")]
     assert len(set(runs)) == 3 and counts[0] == counts[1] > 0 and counts[2] > 0
+
+
+def test_stored_movies_are_not_broadcast(spark, tmp_path):
+    """As stored they take far less room than their rows, so their size on disk must not send them to the driver."""
+    listed = clean_movies(standin.movies_raw(spark, SF_DIR))
+    store.write_mart(listed, str(tmp_path), "movies")
+    rows = [(u, 1 + u % 9, float(1 + u % 5), 2000) for u in range(90)]
+    ratings = spark.createDataFrame(rows, "user_id int, movie_id int, rating float, year int")
+    kept = store.read_mart(spark, str(tmp_path), "movies")
+    for df in (movies.movie_stats(ratings, kept, 1), genres.genre_stats(ratings, kept)):
+        assert "Broadcast" not in executed(df)
