@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .signature_tree import MAX_BITS, Forest, Tree, bitmap_bits, link_sets
-from .tables import connected_components, partitions, smallest_reached, stored
+from .tables import connected_components, few, partitions, smallest_reached, stored
 from .words import distinct_sets, grouped, mix, salted, shingle_hashes, word_hashes
 
 #: Sets of at most this size use single shingles as keys.
@@ -33,6 +33,8 @@ SMALL = 24
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 22
 #: Times that each set of a broken cluster is compared under one of its keys, before all of them are looked at.
 ROUNDS = 2
+#: Sets whose keys or sketches make up a task.
+TASK_SETS = 1 << 12
 #: Texts of one step when keys are made: equal keys are combined within a step, before the shuffle.
 KEY_STEP = 1 << 23
 
@@ -227,7 +229,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from done(now)
 
 
-def _clusters(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+def _clusters(docs: DataFrame, sets: DataFrame, n_sets: int, width: int, percent: int) -> DataFrame:
     """Sets that share a key and whose sketches allow them to be similar, transitively: ``(set_id, cluster)``; sets without such a one are left out.
 
     A task holds the keys of one bucket, a quarter of a partition. Sets of a key that more than a block of them have are compared in blocks that are dealt by a hash, and
@@ -235,20 +237,23 @@ def _clusters(docs: DataFrame, sets: DataFrame, width: int, percent: int) -> Dat
     """
     n = partitions(docs.sparkSession)
     packed = _packed_keys(docs, width, percent, 4 * n).repartition(n, "bucket").sortWithinPartitions("bucket")
-    groups = stored(packed.mapInArrow(_shared_keys, _GROUPS), "key_groups")
+    groups = stored(few(packed, n_sets, TASK_SETS).mapInArrow(_shared_keys, _GROUPS), "key_groups")
+    rows = groups.count()
     sketches = sets.join(groups.select("set_id").distinct(), "set_id", "left_semi").select("set_id", F.col("n_shingles").alias("n"), "sketch")
-    sketches = stored(sketches.dropDuplicates(["set_id"]), "sketches")
+    sketches = stored(few(sketches.dropDuplicates(["set_id"]), rows, TASK_SETS), "sketches")
     block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.ceil(F.col("sets") / BLOCK_SETS).cast("long"))
     placed = groups.select(F.col("key").alias("cluster"), block.alias("block"), F.lit(0).alias("side"), F.col("set_id").alias("part"), "set_id")
-    edges = stored(_likely(placed.join(sketches, "set_id"), percent), "likely")
+    edges = stored(_likely(placed.join(sketches, "set_id"), percent, _tasks(rows)), "likely")
     large = groups.where(F.col("sets") > BLOCK_SETS)
     if not large.isEmpty():
         known = _named(connected_components(edges, "likely_parts"))
-        parts = sketches.select("set_id", "n").join(stored(known, "likely_parts"), "set_id", "left")
-        rows = stored(large.join(parts.withColumn("part", F.coalesce("cluster", "set_id")), "set_id").withColumn("band", _band(percent)), "large_groups")
-        apart = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-        rows = rows.join(stored(apart.select("key"), "groups_apart"), "key").select("key", "part", "set_id", "band")
-        edges = edges.union(stored(_likely(_paired_blocks(rows).withColumnRenamed("key", "cluster").join(sketches, "set_id"), percent), "likely"))
+        parts = sketches.select("set_id", "n").join(stored(few(known, rows), "likely_parts"), "set_id", "left")
+        many = large.join(parts.withColumn("part", F.coalesce("cluster", "set_id")), "set_id").withColumn("band", _band(percent))
+        many = stored(few(many, rows), "large_groups")
+        apart = many.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        many = many.join(stored(few(apart.select("key"), rows), "groups_apart"), "key").select("key", "part", "set_id", "band")
+        placed, tasks = _paired_blocks(many, rows)
+        edges = edges.union(stored(_likely(placed.withColumnRenamed("key", "cluster").join(sketches, "set_id"), percent, tasks), "likely"))
     return _named(connected_components(edges, "clusters"))
 
 
@@ -256,7 +261,18 @@ def _named(components: DataFrame) -> DataFrame:
     return components.select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
 
 
-def _likely(placed: DataFrame, percent: int) -> DataFrame:
+def _by_block(placed: DataFrame, columns: list[str], tasks: int) -> DataFrame:
+    """Rows dealt by ``(cluster, block)``, those of a block next to each other, to no more tasks than ``tasks`` or cores."""
+    dealt = placed.select(*columns).repartition(partitions(placed.sparkSession), "cluster", "block")
+    return few(dealt.sortWithinPartitions("cluster", "block"), tasks, 1)
+
+
+def _tasks(rows: int, shingles: int = 0) -> int:
+    """A task has about a block of sets."""
+    return -(-rows // BLOCK_SETS) + shingles // BLOCK_SHINGLES
+
+
+def _likely(placed: DataFrame, percent: int, tasks: int) -> DataFrame:
     """Pairs ``(a, b)`` of sets of a block that sizes and sketches allow to be similar, enough of them to connect all these.
 
     ``placed (cluster, block, side, part, set_id, n, sketch)``. If a block has sets of side 1, only pairs across the sides count.
@@ -271,9 +287,8 @@ def _likely(placed: DataFrame, percent: int) -> DataFrame:
             if len(hung):
                 yield pa.RecordBatch.from_arrays([pa.array(names[hung]), pa.array(names[low[hung]])], ["a", "b"])
 
-    n = partitions(placed.sparkSession)
-    names = ["cluster", "block", "side", "part", "set_id", "n", "sketch"]
-    return placed.select(*names).repartition(n, "cluster", "block").sortWithinPartitions("cluster", "block").mapInArrow(run, _LINKS)
+    columns = ["cluster", "block", "side", "part", "set_id", "n", "sketch"]
+    return _by_block(placed, columns, tasks).mapInArrow(run, _LINKS)
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -346,10 +361,10 @@ def _by_width(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[tuple[int, int, in
 _LINKS = "a long, b long"
 
 
-def _link_blocks(placed: DataFrame, width: int, percent: int) -> DataFrame:
+def _link_blocks(placed: DataFrame, width: int, percent: int, tasks: int) -> DataFrame:
     """Links within each block of ``placed (cluster, block, side, part, set_id, text)``, as pairs of set and smallest linked set.
 
-    Blocks are dealt to tasks by a hash and come sorted, so a task holds one block at a time. Sets of the same ``part`` are linked
+    Blocks are dealt to tasks by a hash and come together, so a task holds one block at a time. Sets of the same ``part`` are linked
     already. If a block has sets of side 1, only links across the sides are looked for.
     """
 
@@ -371,13 +386,7 @@ def _link_blocks(placed: DataFrame, width: int, percent: int) -> DataFrame:
         if pending:
             yield from _linked(pending, width, percent)
 
-    n = partitions(placed.sparkSession)
-    return (
-        placed.repartition(n, "cluster", "block")
-        .sortWithinPartitions("cluster", "block")
-        .select("cluster", "block", "side", "part", "set_id", "text")
-        .mapInArrow(run, _LINKS)
-    )
+    return _by_block(placed, ["cluster", "block", "side", "part", "set_id", "text"], tasks).mapInArrow(run, _LINKS)
 
 
 def _linked(rows: list[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -423,22 +432,26 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
     sets = stored(shingle_sets(docs, width), "sets")
-    clusters = _clusters(docs, sets, width, percent)
+    n_rows = sets.count()
+    clusters = _clusters(docs, sets, n_rows, width, percent)
     # one row stands for a set; whether it is repeated is known
     rows = sets.where("set_id <> 0").groupBy("set_id", "row").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
     chosen = rows.groupBy("set_id").agg(F.min(F.struct("row", "copies")).alias("one"), F.max("n").alias("n"))
-    members = stored(clusters.join(chosen.select("set_id", "one.*", "n"), "set_id"), "members")
+    members = stored(few(clusters.join(chosen.select("set_id", "one.*", "n"), "set_id"), n_rows), "members")
     links = _links(docs.where("text is not null").select("row", "text"), members, width, percent)
     found = connected_components(links, "links").select(F.col("node").alias("set_id"), "component")
     # empty sets get a key of their own each, which spreads them
     named = sets.withColumn("key", F.when(F.col("set_id") == 0, F.xxhash64("doc_id")).otherwise(F.col("set_id")))
     named = stored(
-        named.join(stored(found, "found"), "set_id", "left").select(
-            "doc_id", "n_shingles", F.coalesce("component", "key").alias("key")
+        few(
+            named.join(stored(few(found, n_rows), "found"), "set_id", "left").select(
+                "doc_id", "n_shingles", F.coalesce("component", "key").alias("key")
+            ),
+            n_rows,
         ),
         "named",
     )
-    lowest = stored(named.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id")), "lowest")
+    lowest = stored(few(named.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id")), n_rows), "lowest")
     return named.join(lowest, "key", "left").select(
         "doc_id",
         "n_shingles",
@@ -453,11 +466,16 @@ def _links(texts: DataFrame, members: DataFrame, width: int, percent: int) -> Da
     one set stands for each component found in a block, these are joined in the same way, and only
     where a cluster is still not in one piece do the keys decide what else can be linked.
     """
+    rows, shingles = members.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tasks = _tasks(rows, shingles)
     sizes = stored(
-        members.groupBy("cluster").agg(
-            F.greatest(
-                F.lit(1), F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
-            ).cast("long").alias("blocks")
+        few(
+            members.groupBy("cluster").agg(
+                F.greatest(
+                    F.lit(1), F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+                ).cast("long").alias("blocks")
+            ),
+            rows,
         ),
         "sizes",
     )
@@ -466,21 +484,21 @@ def _links(texts: DataFrame, members: DataFrame, width: int, percent: int) -> Da
     moved = placed.join(texts, "row")
     if not members.where("copies > 1").isEmpty():  # repeated rows bring their text once each
         moved = moved.where("copies = 1").unionByName(moved.where("copies > 1").dropDuplicates(["set_id"]))
-    placed = stored(moved.drop("row", "copies"), "placed")  # the texts of candidates, moved once
-    links = stored(_link_blocks(placed, width, percent), "block_links")
+    placed = stored(few(moved.drop("row", "copies"), tasks, 1), "placed")  # the texts of candidates, moved once
+    links = stored(_link_blocks(placed, width, percent, tasks), "block_links")
     large = placed.where("blocks > 1")
     if large.isEmpty():
         return links
     large = large.drop("side", "part")
-    parts = _parts(large.drop("text"), links)
+    parts = _parts(large.drop("text"), links, rows)
     pieces = parts.groupBy("cluster").agg(F.count_distinct("part").alias("pieces"))
     # pieces that fit a block are joined there; of more, hardly any belong together
-    pieces = stored(pieces.where((F.col("pieces") > 1) & (F.col("pieces") <= BLOCK_SETS)), "pieces")
+    pieces = stored(few(pieces.where((F.col("pieces") > 1) & (F.col("pieces") <= BLOCK_SETS)), rows), "pieces")
     heads = parts.where("set_id = part").join(pieces, "cluster").select("cluster", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
     if not pieces.isEmpty():
-        links = links.union(stored(_link_blocks(heads.join(large.select("set_id", "text"), "set_id"), width, percent), "head_links"))
-        parts = _parts(large.drop("text"), links)
-    broken = stored(parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high"), "broken")
+        links = links.union(stored(_link_blocks(heads.join(large.select("set_id", "text"), "set_id"), width, percent, tasks), "head_links"))
+        parts = _parts(large.drop("text"), links, rows)
+    broken = stored(few(parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high"), rows), "broken")
     if broken.isEmpty():
         return links
     texts = large.join(broken, "cluster").select("set_id", "text")
@@ -506,39 +524,42 @@ def _links_of_keys(texts: DataFrame, parts: DataFrame, width: int, percent: int)
                 yield pa.RecordBatch.from_arrays([_signed(keys[low : low + (1 << 16)]), pa.array(owner[low : low + (1 << 16)])], ["key", "set_id"])
 
     keyed = stored(texts.select("text").mapInArrow(run, "key long, set_id long"), "keys_of_parts")
+    rows = keyed.count()
     seen = keyed.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
-    keyed = stored(keyed.join(stored(seen.select("key"), "keys_seen"), "key"), "keys_shared")
+    keyed = stored(few(keyed.join(stored(few(seen.select("key"), rows), "keys_seen"), "key"), rows), "keys_shared")
     bitmaps = stored(_bitmaps(texts, width), "bitmaps")
     texts = texts.select("set_id", "text")
     parts, links = stored(parts.withColumn("band", _band(percent)), "parts_of_keys"), None
+    sets, shingles = parts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
-    def linked(placed: DataFrame) -> DataFrame:
-        likely = stored(_plausible(placed.join(bitmaps, "set_id"), percent), "plausible")
-        return stored(_link_blocks(likely.join(texts, "set_id"), width, percent), "key_links")
+    def linked(placed: DataFrame, tasks: int) -> DataFrame:
+        likely = stored(_plausible(placed.join(bitmaps, "set_id"), percent, tasks), "plausible")
+        return stored(_link_blocks(likely.join(texts, "set_id"), width, percent, tasks), "key_links")
 
     for number in range(ROUNDS):  # most of what is similar meets here, so that few keys are left
         one = keyed.groupBy("set_id").agg(F.min_by("key", F.xxhash64("key", F.lit(number))).alias("cluster"))
-        one = stored(one, "chosen_keys")
+        one = stored(few(one, rows), "chosen_keys")
         blocks = one.groupBy("cluster").agg(F.count("*").alias("sets")).where("sets > 1")
         block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.ceil(F.col("sets") / BLOCK_SETS).cast("long")).alias("block")
         placed = one.join(blocks, "cluster").join(parts, "set_id").select("cluster", block, F.lit(0).alias("side"), "part", "set_id")
-        found = linked(placed)
+        found = linked(placed, _tasks(sets, shingles))
         links = found if links is None else links.union(found)
         # parts are named by a set, so links between parts are links between these names
         joined = found.join(parts.select(F.col("set_id").alias("a"), F.col("part").alias("x")), "a")
         joined = joined.join(parts.select(F.col("set_id").alias("b"), F.col("part").alias("y")), "b")
         merged = connected_components(joined.select(F.col("x").alias("a"), F.col("y").alias("b")), "merged").select(F.col("node").alias("part"), "component")
-        renamed = parts.join(stored(merged, "merged"), "part", "left").withColumn("part", F.coalesce("component", "part"))
-        parts = stored(renamed.select("set_id", "n", "part", "band"), "parts_of_keys")
-    keyed = stored(keyed.join(parts, "set_id"), "keyed_parts")
+        renamed = parts.join(stored(few(merged, sets), "merged"), "part", "left").withColumn("part", F.coalesce("component", "part"))
+        parts = stored(few(renamed.select("set_id", "n", "part", "band"), sets), "parts_of_keys")
+    keyed = stored(few(keyed.join(parts, "set_id"), rows), "keyed_parts")
     names = [F.bit_xor(F.xxhash64("set_id", F.lit(salt))).alias(f"names{salt}") for salt in (0, 1)]
     groups = keyed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("sets"), *names).where("low < high")
     # similar sets share many keys; of those that the very same sets have, one will do
     groups = groups.groupBy("sets", "names0", "names1").agg(F.min("key").alias("key"))
-    rows = stored(keyed.join(stored(groups.select("key", "sets"), "keys_between"), "key"), "between")
-    small = rows.where(F.col("sets") <= BLOCK_SETS).select("key", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
-    large = _paired_blocks(rows.where(F.col("sets") > BLOCK_SETS))
-    return links.union(linked(small.union(large).withColumnRenamed("key", "cluster")))
+    between = stored(few(keyed.join(stored(few(groups.select("key", "sets"), rows), "keys_between"), "key"), rows), "between")
+    small = between.where(F.col("sets") <= BLOCK_SETS).select("key", F.lit(0).cast("long").alias("block"), F.lit(0).alias("side"), "part", "set_id")
+    large, tasks = _paired_blocks(between.where(F.col("sets") > BLOCK_SETS), rows)
+    rows = between.count()
+    return links.union(linked(small.union(large).withColumnRenamed("key", "cluster"), tasks + _tasks(rows, rows * shingles // max(1, sets))))
 
 
 def _band(percent: int) -> Column:
@@ -546,9 +567,13 @@ def _band(percent: int) -> Column:
     return F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
 
 
-def _paired_blocks(many: DataFrame) -> DataFrame:
-    """Sets ``(key, part, set_id, band)`` of large keys, dealt to blocks ``(key, block, side, part, set_id)``: of each band, and pairs of blocks of a band or two."""
-    blocks = stored(many.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("long").alias("blocks")), "band_blocks")
+def _paired_blocks(many: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """Sets ``(key, part, set_id, band)`` of large keys, at most ``rows``, dealt to blocks ``(key, block, side, part, set_id)``: of each band, and pairs of blocks of a band or two.
+
+    Comes with the tasks that are worth it, a pair of blocks each.
+    """
+    blocks = stored(few(many.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("long").alias("blocks")), rows), "band_blocks")
+    tasks = blocks.agg(F.coalesce(F.sum(F.col("blocks") * F.col("blocks")), F.lit(0))).first()[0] * 3
     own = many.join(blocks, ["key", "band"]).withColumn("own", F.pmod(F.xxhash64("set_id", F.lit("band")), "blocks"))
     above = blocks.select("key", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
     below = blocks.select("key", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
@@ -562,7 +587,7 @@ def _paired_blocks(many: DataFrame) -> DataFrame:
 
     large = pairs("blocks", F.col("band"), F.least(first, second), F.greatest(first, second), first > second)
     large = large.union(pairs("above", F.col("band"), first, second, F.lit(0)))
-    return large.union(pairs("below", F.col("band") - 1, second, first, F.lit(1)))
+    return large.union(pairs("below", F.col("band") - 1, second, first, F.lit(1))), tasks
 
 
 def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
@@ -583,17 +608,15 @@ def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("set_id", "text").mapInArrow(run, "set_id long, n long, bits binary")
 
 
-def _plausible(placed: DataFrame, percent: int) -> DataFrame:
+def _plausible(placed: DataFrame, percent: int, tasks: int) -> DataFrame:
     """Of ``placed (cluster, block, side, part, set_id, n, bits)`` the rows that some row of another part in their block may be similar to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_blocks(batches):
             yield from _may_be_similar(table, percent)
 
-    n = partitions(placed.sparkSession)
-    names = ["cluster", "block", "side", "part", "set_id", "n", "bits"]
-    dealt = placed.select(*names).repartition(n, "cluster", "block").sortWithinPartitions("cluster", "block")
-    return dealt.mapInArrow(run, "cluster long, block long, side int, part long, set_id long")
+    columns = ["cluster", "block", "side", "part", "set_id", "n", "bits"]
+    return _by_block(placed, columns, tasks).mapInArrow(run, "cluster long, block long, side int, part long, set_id long")
 
 
 def _may_be_similar(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
@@ -651,9 +674,8 @@ def _may_be_similar(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         yield from out.to_batches(1 << 16)
 
 
-def _parts(placed: DataFrame, links: DataFrame) -> DataFrame:
+def _parts(placed: DataFrame, links: DataFrame, rows: int) -> DataFrame:
     """Placed sets with the component they are known to belong to."""
     found = connected_components(links, "parts").select(F.col("node").alias("set_id"), "component")
-    return stored(
-        placed.join(found, "set_id", "left").withColumn("part", F.coalesce("component", "set_id")).drop("component"), "parts"
-    )
+    known = placed.join(found, "set_id", "left").withColumn("part", F.coalesce("component", "set_id")).drop("component")
+    return stored(few(known, rows), "parts")

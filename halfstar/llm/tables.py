@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import new_scratch_dir
 
+#: Rows of a few numbers that make up a task.
+TASK_ROWS = 1 << 16
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the session's shared scratch folder and read it again.
@@ -24,6 +27,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def few(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """``df``, worth about ``rows`` rows, in no more tasks than one for ``each`` of them, but for all cores at least.
+
+    A task that writes a file costs far more than a handful of rows, so that a small table in many partitions takes the
+    longer the more of them there are. Tables with rows for all partitions stay as they are. Partitions follow each other whole
+    and in their order within a task.
+    """
+    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def smallest_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest of ``n`` indexes that each one reaches over the pairs."""
     low = np.arange(n)
@@ -46,30 +59,31 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     neighbours of a node under the smallest of them, so that paths halve and the edges
     end as stars. A minimum per node is combined before the shuffle; the joins that bring it back
     have both sides in stored tables, so a node with very many edges is split. Each step is
-    written to the shared folder. Nodes without edges are not in the result.
+    written to the shared folder, few edges to few files; ``edges`` are counted first, so they had better be stored. Nodes without edges are not in the result.
     """
+    rows = edges.count()  # later steps have no more
     edges = stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+        few(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), rows),
         label,
     )
-    while not _are_stars(edges):
+    while not _are_stars(edges, rows):
         # large star: larger neighbours of a node under the smallest one
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), label)
+        lowest = stored(few(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), rows), label)
         large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        large = stored(large, label)
+        large = stored(few(large, rows), label)
         # small star: a node and its smaller neighbours under the smallest one
-        lowest = stored(large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n")), label)
+        lowest = stored(few(large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n")), rows), label)
         moved = large.join(lowest.where("n > 1").drop("n"), "a").where("b <> low").select(F.col("b").alias("a"), "low")
         small = moved.union(lowest.select("a", "low")).withColumnRenamed("low", "b").distinct()
-        edges = stored(small, label)
+        edges = stored(few(small, rows), label)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def _are_stars(edges: DataFrame) -> bool:
+def _are_stars(edges: DataFrame, rows: int) -> bool:
     """Whether each node hangs under one node only, which hangs under none."""
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
     ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
     nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return nodes.where("up + down > 1").isEmpty()
+    return few(nodes, rows).where("up + down > 1").isEmpty()

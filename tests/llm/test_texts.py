@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from halfstar.llm import bloom_lm, decontamination, jaccard_join, signature_tree, toxicity, words
+from halfstar.llm import bloom_lm, decontamination, jaccard_join, signature_tree, tables, toxicity, words
 from halfstar.llm.tables import connected_components
 
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -525,3 +525,34 @@ def test_chain_over_many_blocks_moves_few_rows(spark, monkeypatch):
     got = jaccard_join.similar_components(documents(spark, rows), 3, 90).collect()
     assert sorted(map(tuple, got)) == brute_components(rows, 3, 90)
     assert moved[0] == len(rows) and sum(moved) < 12 * len(rows)  # as many blocks, and all pairs of them, would be 132 times
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """However many partitions shuffles have, a few edges or blocks are done by a task for each core at most, and blocks stay whole."""
+    most, files = spark.sparkContext.defaultParallelism, []
+    write = tables.stored
+
+    def noted(df, label):
+        out = write(df, label)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(tables, "stored", noted)
+    edges = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(500, 501), (502, 501)], "a long, b long")
+    blocks = spark.range(4000).selectExpr("id % 40 cluster", "id % 7 block", "id")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = {r.node: r.component for r in connected_components(edges).collect()}
+        placed = jaccard_join._by_block(blocks, ["cluster", "block", "id"], 3)
+        tasks = placed.rdd.glom().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {**dict.fromkeys(range(300), 0), 500: 500, 501: 500, 502: 500}
+    assert 0 < max(files) <= most
+    assert len(tasks) <= most and sum(map(len, tasks)) == 4000
+    seen = [(r.cluster, r.block) for t in tasks for k, r in enumerate(t) if not k or (r.cluster, r.block) != (t[k - 1].cluster, t[k - 1].block)]
+    assert len(seen) == len(set(seen)) == 280
