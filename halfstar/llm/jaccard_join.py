@@ -240,7 +240,7 @@ def _clusters(docs: DataFrame, sets: DataFrame, n_sets: int, width: int, percent
     groups = stored(few(packed, n_sets, TASK_SETS).mapInArrow(_shared_keys, _GROUPS), "key_groups")
     rows = groups.count()
     sketches = sets.join(groups.select("set_id").distinct(), "set_id", "left_semi").select("set_id", F.col("n_shingles").alias("n"), "sketch")
-    sketches = stored(few(sketches.dropDuplicates(["set_id"]), rows, TASK_SETS), "sketches")
+    sketches = stored(few(sketches.dropDuplicates(["set_id"]), n_sets, TASK_SETS), "sketches")
     block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.ceil(F.col("sets") / BLOCK_SETS).cast("long"))
     placed = groups.select(F.col("key").alias("cluster"), block.alias("block"), F.lit(0).alias("side"), F.col("set_id").alias("part"), "set_id")
     edges = stored(_likely(placed.join(sketches, "set_id"), percent, _tasks(rows)), "likely")
@@ -484,7 +484,7 @@ def _links(texts: DataFrame, members: DataFrame, width: int, percent: int) -> Da
     moved = placed.join(texts, "row")
     if not members.where("copies > 1").isEmpty():  # repeated rows bring their text once each
         moved = moved.where("copies = 1").unionByName(moved.where("copies > 1").dropDuplicates(["set_id"]))
-    placed = stored(few(moved.drop("row", "copies"), tasks, 1), "placed")  # the texts of candidates, moved once
+    placed = stored(moved.drop("row", "copies"), "placed")  # the texts of candidates, moved once; the join reads all texts, so its tasks are not made few
     links = stored(_link_blocks(placed, width, percent, tasks), "block_links")
     large = placed.where("blocks > 1")
     if large.isEmpty():
