@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from halfstar.llm import bpe, decontamination, jaccard_join, toxicity
 from halfstar.llm.queries import TOXIC_FROM, read, toxicity_model, vocabulary
-from halfstar.llm.tables import stored
+from halfstar.llm.tables import few, stored
 
 #: Shingles of the near-duplicate stage, and the similarity from which documents count as one.
 WIDTH, PERCENT = 5, 80
@@ -53,17 +53,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed, row = with_row(docs)
     found = jaccard_join.similar_components(keyed.select(F.col(row).alias("doc_id"), "text"), WIDTH, PERCENT)
     found = stored(found.select(F.col("doc_id").alias(row), "component_id"), "components")
+    n_rows = found.count()
     rows = found.groupBy("component_id", row).agg(F.count("*").alias("copies"))
     # components of one row need no choice
     several = rows.groupBy("component_id").agg(F.count("*").alias("rows"), F.max("copies").alias("copies"))
-    several = stored(several.where("rows > 1 or copies > 1"), "groups")
-    inside = stored(found.distinct().join(several.select("component_id"), "component_id", "left_semi"), "grouped_rows")
+    several = stored(few(several.where("rows > 1 or copies > 1"), n_rows), "groups")
+    inside = found.distinct().join(several.select("component_id"), "component_id", "left_semi")
+    inside = stored(few(inside, n_rows), "grouped_rows")
     named = keyed.select(row, "doc_id").join(inside, row).distinct()
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col(row).alias("row"))
     chosen = named.groupBy("component_id").agg(F.min(order).alias("first")).select("component_id", F.col("first.row").alias(row))
-    others = stored(inside.join(chosen, ["component_id", row], "left_anti").select(row), "near_duplicates")
+    others = inside.join(chosen, ["component_id", row], "left_anti").select(row)
+    others = stored(few(others, n_rows), "near_duplicates")
     kept = keyed.join(others, row, "left_anti")
-    repeated = stored(rows.where("copies > 1").select(row), "repeated")
+    repeated = stored(few(rows.where("copies > 1").select(row), n_rows), "repeated")
     if not repeated.isEmpty():  # only their texts need to move to be told apart
         once = kept.join(repeated, row, "left_semi").dropDuplicates([row])
         kept = kept.join(repeated, row, "left_anti").unionByName(once)
@@ -78,7 +81,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     keyed, row = with_row(docs)
     found = decontamination.contaminated(keyed.select(F.col(row).alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"), short_items=True)
-    others = stored(found.select(F.col("doc_id").alias(row)).distinct(), "contaminated")
+    found = stored(found.select(F.col("doc_id").alias(row)), "contaminated_pairs")
+    others = stored(few(found.distinct(), found.count()), "contaminated")
     return keyed.join(others, row, "left_anti").select(*docs.columns)
 
 

@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
+from .tables import in_small_batches
 from .words import grouped
 
 #: Characters of a text, bytes of a match and tokens that are handled without halving.
@@ -35,7 +36,7 @@ LEAF_CHARS, LEAF_BYTES, LEAF_TOKENS = 1 << 13, 64, 1 << 12
 #: Characters before a cut within which a match may still change.
 REACH = 4
 #: Matches whose tokens a task remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -224,7 +225,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "text", ids: s
     grow with the data.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    docs = docs.drop(ids)
+    docs = in_small_batches(docs.drop(ids))
     names = [*docs.columns, ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +245,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, column: str = "text", id
     The bytes come from the ids alone. One Python worker for each task does both, where the two operators chained would take two.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    docs = docs.drop(ids, decoded)
+    docs = in_small_batches(docs.drop(ids, decoded))
     names = [*docs.columns, ids, decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import in_small_batches
 from .words import distinct_sets, grouped, salted, shingle_hashes, word_hashes
 
 #: Words of a shingle; percent of an item's shingles that a document must hold.
@@ -188,4 +189,4 @@ def _search(docs: DataFrame, shared, percent: int) -> DataFrame:
                 columns = [batch["doc_id"].take(pa.array(at)), pa.array(ids, pa.int64()), pa.array(some, pa.int64()), pa.array(all_, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_shared", "n_item"])
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, n_shared long, n_item long")
+    return in_small_batches(docs).mapInArrow(run, "doc_id long, item_id long, n_shared long, n_item long")

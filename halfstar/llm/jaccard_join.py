@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .signature_tree import MAX_BITS, Forest, Tree, bitmap_bits, link_sets
-from .tables import connected_components, few, partitions, smallest_reached, stored
+from .tables import connected_components, few, in_small_batches, partitions, smallest_reached, stored
 from .words import distinct_sets, grouped, mix, salted, shingle_hashes, word_hashes
 
 #: Sets of at most this size use single shingles as keys.
@@ -37,6 +37,8 @@ ROUNDS = 2
 TASK_SETS = 1 << 12
 #: Texts of one step when keys are made: equal keys are combined within a step, before the shuffle.
 KEY_STEP = 1 << 23
+#: Texts of one step where nothing is combined.
+SET_STEP = 1 << 21
 
 
 def document_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +133,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """For each row its ``doc_id``, its ``row`` (a hash of id and text), and its set's size, fingerprint (0: empty) and parity sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches):
+        for batch in grouped(batches, SET_STEP):
             values, starts = document_sets(batch["text"], width)
             columns = [batch["doc_id"], batch["row"], pa.array(np.diff(starts)), _signed(fingerprints(values, starts)), parity_sketches(values, starts)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "set_id", "sketch"])
@@ -430,7 +432,7 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     gives an empty result. Texts of any length are used whole.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
+    docs = in_small_batches(docs.withColumn("row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")))
     sets = stored(shingle_sets(docs, width), "sets")
     n_rows = sets.count()
     clusters = _clusters(docs, sets, n_rows, width, percent)
@@ -452,11 +454,12 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         "named",
     )
     lowest = stored(few(named.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id")), n_rows), "lowest")
-    return named.join(lowest, "key", "left").select(
+    found = named.join(lowest, "key", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+    return few(found, n_rows)
 
 
 def _links(texts: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
@@ -594,7 +597,7 @@ def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
     """Sets with their size and a bitmap of two bits or more for each shingle, ``(set_id, n, bits)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches):
+        for batch in grouped(batches, SET_STEP):
             values, starts = document_sets(batch["text"], width)
             sizes = np.diff(starts)
             out = []

@@ -10,6 +10,9 @@ from ..sources.scratch import new_scratch_dir
 
 #: Rows of a few numbers that make up a task.
 TASK_ROWS = 1 << 16
+#: Bytes that go to a Python worker at once; less than the steps of texts in which keys are made, so as not to cut them anew.
+BATCH_BYTES = 7 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -37,6 +40,18 @@ def few(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
     return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends rows to Python workers in batches of about ``BATCH_BYTES``, or a single row.
+
+    Spark's own limit is 10,000 rows or 64 MB. Each task holds a batch of texts in the JVM, in buffers outside the heap, and another one in its
+    worker, and both keep most of that memory for later tasks. A limit that the session has been given stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_LIMIT, None) is None:
+        conf.set(_LIMIT, str(BATCH_BYTES))
+    return df
+
+
 def smallest_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest of ``n`` indexes that each one reaches over the pairs."""
     low = np.arange(n)

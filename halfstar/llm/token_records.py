@@ -25,10 +25,12 @@ from tokenizers import Tokenizer
 from ..sources.scratch import new_scratch_dir
 from .files import chunks, new_file, open_random, open_stream, qualified
 from .tables import partitions, stored
-from .words import SEGMENT, grouped, span_hashes, text_buffers
+from .words import grouped, span_hashes, text_buffers
 
 #: Chunks of text whose ids a Python worker remembers.
 REMEMBERED = 1 << 20
+#: Bytes that are looked up at once.
+SEGMENT = 1 << 20
 #: First characters of a text that put rows of one id in order; a hash of the whole text decides further.
 HEAD = 16
 #: Rows of one Arrow batch of results.

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .tables import stored
+from .tables import in_small_batches, stored
 from .words import grouped, mix, salted, span_hashes
 
 #: Sizes of the n-grams, number of hashed features.
@@ -116,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
             lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (grams.astype(np.int32), counts.astype(np.float64))]
             yield pa.RecordBatch.from_arrays([batch["toxic"], *lists], ["toxic", "grams", "counts"])
 
-    sample = training_sample(docs, labels, rows).mapInArrow(extract, "toxic int, grams array<int>, counts array<double>")
+    sample = in_small_batches(training_sample(docs, labels, rows)).mapInArrow(extract, "toxic int, grams array<int>, counts array<double>")
     sample = stored(sample, "toxic_sample")
     shares = sample.agg(F.count("*"), F.sum("toxic")).first()
     total, toxic = shares[0], shares[1] or 0
@@ -134,10 +134,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
         there = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(sums[1, there]), pa.array(sums[0, there])], ["gram", "p", "q"])
 
-    # at most FEATURES rows come back
-    sums = sample.mapInArrow(add_up, "gram long, p double, q double").groupBy("gram").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toPandas()
+    # at most FEATURES rows come back, in columns: an object for each of them would take the driver many times their size
+    sums = sample.mapInArrow(add_up, "gram long, p double, q double").groupBy("gram").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toArrow()
     ratio = np.zeros(FEATURES)
-    ratio[sums["gram"]] = log_count_ratios(sums["p"].to_numpy(), sums["q"].to_numpy())
+    ratio[sums["gram"].to_numpy()] = log_count_ratios(sums["p"].to_numpy(), sums["q"].to_numpy())
     return _regression(sample.coalesce(GRADIENT_TASKS), ratio, total)
 
 
@@ -164,8 +164,8 @@ def _regression(sample: DataFrame, ratios: np.ndarray, rows: int) -> ToxicityMod
                 out[-1] += error.sum()
             yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()])], ["gradient"])
 
-        parts = sample.mapInArrow(gradient, "gradient binary").collect()
-        slope = sum(np.frombuffer(p.gradient) for p in parts) / rows
+        parts = sample.mapInArrow(gradient, "gradient binary").toArrow()["gradient"]
+        slope = sum(np.frombuffer(p.as_buffer()) for p in parts) / rows
         slope[:-1] += PENALTY * ahead[:-1]
         before, point = point, ahead - STEP_SIZE * slope
         shared.destroy()
@@ -191,7 +191,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     fixed by its number of features.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("score")
+    docs = in_small_batches(docs.drop("score"))
     names = [*docs.columns, "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes that are hashed at once; bounds the arrays, not the texts.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Bytes of text that `grouped` gathers into one step.
 STEP = 1 << 23
 

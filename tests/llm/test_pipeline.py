@@ -3,11 +3,13 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
 import corpus_pipeline
-from halfstar.llm import queries, toxicity
+from halfstar.llm import bpe, decontamination, jaccard_join, queries, tables, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -118,3 +120,63 @@ def test_clashing_columns_come_through(spark):
         assert ids(plain) == sorted(r.doc_id for r in rows)
         assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in more)
     assert corpus_pipeline.to_tokens(spark, clashing, SMALL).count() == len(rows)
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    """Spark's own batches are of 10,000 rows or 64 MB, which two tasks of an executor hold twice each."""
+    limit = tables._LIMIT
+    docs = spark.range(600, numPartitions=1).selectExpr("id doc_id", "repeat(concat(id, ' word '), 5000) text")
+    spark.conf.unset(limit)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    calls = [
+        lambda: jaccard_join.similar_components(docs.limit(3)),
+        lambda: decontamination.contaminated(docs, docs.limit(1).withColumnRenamed("doc_id", "item_id")),
+        lambda: toxicity.score(docs, toxicity.ToxicityModel(np.zeros(toxicity.FEATURES), np.zeros(toxicity.FEATURES), 0.0)),
+        lambda: bpe.round_trip(docs, bpe.Vocabulary({b"a": 0}, "a")),
+    ]
+    try:
+        for call in calls:
+            spark.conf.unset(limit)
+            call()
+            found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+            assert sum(found) > 20_000_000 and max(found) < tables.BATCH_BYTES + 100_000
+        spark.conf.set(limit, "32m")  # a limit of the session's own stays
+        calls[0]()
+        assert spark.conf.get(limit) in ("32m", "33554432b", str(32 << 20))
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_small_tables_of_stages_are_few_files(spark, monkeypatch):
+    """However many partitions shuffles have, tables of a few ids are written by a task for each core at most."""
+    files = {}
+    write = tables.stored
+
+    def noted(df, label):
+        out = write(df, label)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "stored", noted)
+    rows = [(i, None, None, " ".join(f"w{i // 3}x{k}" for k in range(12))) for i in range(600)]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, lang string, source string, text string").repartition(4)
+    docs = write(docs, "test_few_files")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()
+        monkeypatch.setattr(corpus_pipeline, "read", lambda *_: spark.createDataFrame([(k, rows[3 * k][3]) for k in range(199)], "item_id long, text string"))
+        clean = corpus_pipeline.drop_contaminated(spark, docs, SMALL).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.doc_id for r in kept) == list(range(0, 600, 3))
+    assert sorted(r.doc_id for r in clean) == [597, 598, 599]
+    assert {"components", "groups", "grouped_rows", "near_duplicates", "contaminated"} <= set(files)
+    assert max(files.values()) <= max(4, spark.sparkContext.defaultParallelism)
