@@ -12,8 +12,8 @@ Both ways ask the same filter and give the same scores.
 Probabilities of a word after another are interpolated with those of words (Jelinek and Mercer):
 b c(v w) / c(v) + (1 - b) p(w). The first word follows the end of a text.
 
-Counts are added up per step of texts before the shuffle. Each task then takes whole segments of the filter, in the order
-of hashes, and holds the n-grams of one segment at a time.
+Counts are added up per step of texts before the shuffle, which moves a row for each step and segment, not for each n-gram. Each task
+then takes whole segments of the filter and holds the n-grams of one segment at a time.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import partitions, stored
+from .tables import in_small_batches, partitions, stored
 from .words import grouped, mix, salted, word_hashes
 
 #: Bytes of the filter at least, segments that it is built in (as a power of 2), probes for each entry.
@@ -39,8 +39,12 @@ BROADCAST_BYTES = 3 << 25
 LOG_BASE, PAIR_WEIGHT = 1.5, 0.3
 #: Most frequent words whose exact counts are broadcast; the others are joined.
 FREQUENT = 1 << 18
-#: Bytes of text whose n-grams are counted together.
-COUNT_STEP = 1 << 25
+#: Bytes of text that are hashed together, and tokens, about, whose n-grams are counted together before the shuffle.
+COUNT_STEP, COUNT_TOKENS = 1 << 25, 1 << 21
+#: Bytes of text that are scored together.
+SCORE_STEP = 1 << 20
+#: Segments whose n-grams a task hands over at once.
+PACKED = 1 << 8
 
 END = np.uint64(0x2545F4914F6CDD1D)
 _SEGMENT = np.uint64(64 - SEGMENT_BITS)
@@ -52,9 +56,9 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, at[1:], END), at + np.arange(len(at))
 
 
-def pair_hashes(tokens: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before; the end comes before the first."""
-    before = np.concatenate([[END], tokens[:-1]])
+def pair_hashes(tokens: np.ndarray, first: np.ndarray | list[np.uint64] = (END,)) -> np.ndarray:
+    """Hash of each token with the one before; the end, or another token ``first``, comes before the first."""
+    before = np.concatenate([first, tokens[:-1]])
     return salted(salted(before, 22) + tokens, 23)
 
 
@@ -165,66 +169,127 @@ def count(docs: DataFrame) -> DataFrame:
     entries and its bits.
     """
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, COUNT_STEP):
-            tokens, _ = token_hashes(batch["text"])
-            for kind, grams in ((0, tokens), (1, pair_hashes(tokens))):
-                grams, n = np.unique(grams, return_counts=True)
-                for low in range(0, len(grams), 1 << 16):
-                    part = grams[low : low + (1 << 16)]
-                    key = salted(part, 21) if kind == 0 else part
-                    word = pa.array(part.view(np.int64), mask=np.full(len(part), kind == 1))
-                    yield pa.RecordBatch.from_arrays([pa.array((key >> _SEGMENT).astype(np.int32)), pa.array(key.view(np.int64)), word, pa.array(n[low : low + (1 << 16)])], ["segment", "gram", "word", "n"])
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: int | None = None
-        held: list[tuple[np.ndarray, np.ndarray]] = []  # n-grams of the segment and their counts
-        rest: pa.RecordBatch | None = None
-
-        def add(segment: np.ndarray, gram: np.ndarray, word: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            nonlocal now, held
-            cuts = np.concatenate([[0], np.flatnonzero(gram[1:] != gram[:-1]) + 1])
-            counts = np.add.reduceat(n, cuts)
-            segment, gram, word = segment[cuts], gram[cuts].view(np.uint64), word.take(pa.array(cuts))
-            known = np.flatnonzero(word.is_valid().to_numpy(zero_copy_only=False))
-            if len(known):
-                yield _row(0, word.take(pa.array(known)), counts[known], [None] * len(known))
-            borders = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1), len(segment)]
-            for low, high in zip(borders[:-1], borders[1:], strict=True):
-                if segment[low] != now:
-                    if held:
-                        yield done()
-                    now, held = int(segment[low]), []
-                held.append((gram[low:high], counts[low:high]))
-
-        def done() -> pa.RecordBatch:
-            bits, entries = _enter(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            return _row(1, pa.array([now], pa.int64()), np.array([entries]), [bits.tobytes()])
-
-        for batch in batches:
-            table = pa.Table.from_batches([x for x in (rest, batch) if x is not None and x.num_rows]).combine_chunks()
-            if not table.num_rows:
-                continue
-            gram = table["gram"].to_numpy()
-            # an n-gram may go on in the next batch
-            whole = int(np.searchsorted(gram != gram[-1], False)) if gram[0] == gram[-1] else int(np.flatnonzero(gram != gram[-1])[-1]) + 1
-            rest = table.slice(whole).to_batches()[0]
-            if whole:
-                part = table.slice(0, whole)
-                yield from add(part["segment"].to_numpy(), gram[:whole], part["word"].combine_chunks(), part["n"].to_numpy())
-        if rest is not None:
-            yield from add(rest["segment"].to_numpy(), rest["gram"].to_numpy(), rest["word"], rest["n"].to_numpy())
-        if held:
-            yield done()
-
     n = partitions(docs.sparkSession)
-    rows = docs.select("text").mapInArrow(gather, "segment int, gram long, word long, n long")
-    rows = rows.repartition(n, "segment").sortWithinPartitions("segment", "gram")
-    return stored(rows.mapInArrow(build, "kind int, key long, n long, bits binary"), "ngram_counts")
+    rows = in_small_batches(docs).select("text").mapInArrow(step_counts, "segment int, is_word boolean, grams binary, n binary")
+    rows = rows.repartition(n, "segment").sortWithinPartitions("segment")
+    return stored(rows.mapInArrow(_segments, "kind int, key long, n long, bits binary"), "ngram_counts")
+
 
+def step_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words and pairs of each step of texts: ``(segment, is_word, grams, n)``, a row for all words or pairs of a segment.
 
-def _row(kind: int, key: pa.Array, n: np.ndarray, bits: list[bytes | None]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, dtype=np.int32)), key, pa.array(n.astype(np.int64)), pa.array(bits, pa.binary())], ["kind", "key", "n", "bits"])
+    ``grams`` holds their hashes and ``n`` their counts, as 64-bit and 32-bit integers.
+    """
+    held: list[np.ndarray] = []
+    size = 0
+    for batch in grouped(batches, COUNT_STEP):
+        held.append(token_hashes(batch["text"])[0])
+        size += len(held[-1])
+        if size >= COUNT_TOKENS:
+            yield from _step(held)
+            size = 0
+    if held:
+        yield from _step(held)
+
+
+def _step(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The rows of some tokens, which leave ``held`` and are sorted in place."""
+    tokens = np.concatenate(held)
+    held.clear()
+    pairs = np.empty_like(tokens)
+    for low in range(0, len(tokens), 1 << 18):
+        before = tokens[low - 1 : low] if low else [END]
+        pairs[low : low + (1 << 18)] = pair_hashes(tokens[low : low + (1 << 18)], before)
+    words, counts = _counted(tokens)
+    del tokens
+    order = np.argsort(salted(words, 21))
+    words, counts = words[order], counts[order]
+    yield from _packed(True, words, counts, salted(words, 21))
+    grams, counts = _counted(pairs)
+    del pairs
+    yield from _packed(False, grams, counts, grams)
+
+
+def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and how often each occurs; sorts ``grams`` in place."""
+    grams.sort()
+    cuts = _cuts(grams)
+    # a step has less than 2^31 tokens, as one text has less than 2^31 bytes
+    return grams[cuts], np.diff(cuts, append=len(grams)).astype(np.int32)
+
+
+def _cuts(grams: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    fresh = np.ones(len(grams), dtype=bool)
+    np.not_equal(grams[1:], grams[:-1], out=fresh[1:])
+    return np.flatnonzero(fresh)
+
+
+def _packed(is_word: bool, grams: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each segment of the sorted ``keys``; some segments at a time."""
+    edges = np.searchsorted(keys >> _SEGMENT, np.arange((1 << SEGMENT_BITS) + 1, dtype=np.uint64))
+    for low in range(0, 1 << SEGMENT_BITS, PACKED):
+        at = edges[low : low + PACKED + 1]
+        used = np.flatnonzero(np.diff(at))
+        if len(used):
+            ends = np.append(at[used], at[-1])
+            columns = [pa.array((used + low).astype(np.int32)), pa.array(np.full(len(used), is_word)), _cells(grams, ends), _cells(counts, ends)]
+            yield pa.RecordBatch.from_arrays(columns, ["segment", "is_word", "grams", "n"])
+
+
+def _cells(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between each two of the places ``at``."""
+    offsets = ((at - at[0]) * values.itemsize).astype(np.int64)
+    data = values[at[0] : at[-1]]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())
+
+
+class _Sums:
+    """Sums of the counts of n-grams; those that wait to be added stay in proportion to the distinct ones."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting, self.distinct = 0, 1 << 16
+
+    def add(self, grams: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((grams, counts))
+        self.waiting += len(grams)
+        if self.waiting > 2 * self.distinct:
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        grams, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.argsort(grams)
+        grams = grams[order]
+        cuts = _cuts(grams)
+        out = grams[cuts], np.add.reduceat(counts[order], cuts, dtype=np.int64)
+        self.parts, self.waiting, self.distinct = [out], len(cuts), max(self.distinct, len(cuts))
+        return out
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stored rows of the segments, from rows of ``step_counts`` in their order."""
+    now: int | None = None
+    words, pairs = _Sums(), _Sums()
+
+    def done() -> pa.RecordBatch:
+        (word, of_word), (pair, of_pair) = words.merged(), pairs.merged()
+        bits, entries = _enter(np.concatenate([salted(word, 21), pair]), np.concatenate([of_word, of_pair]))
+        kind = np.append(np.zeros(len(word), dtype=np.int32), np.int32(1))
+        columns = [pa.array(kind), pa.array(np.append(word.view(np.int64), now)), pa.array(np.append(of_word, entries)), pa.array([*[None] * len(word), bits.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "key", "n", "bits"])
+
+    for batch in batches:
+        for segment, is_word, grams, counts in zip(batch["segment"].to_pylist(), batch["is_word"].to_pylist(), batch["grams"], batch["n"], strict=True):
+            if segment != now:
+                if now is not None:
+                    yield done()
+                now, words, pairs = segment, _Sums(), _Sums()
+            (words if is_word else pairs).add(np.frombuffer(grams.as_buffer(), dtype=np.uint64), np.frombuffer(counts.as_buffer(), dtype=np.int32))
+    if now is not None:
+        yield done()
 
 
 def _totals(counted: DataFrame) -> tuple[int, int]:
@@ -292,7 +357,7 @@ def _joined_scores(docs: DataFrame, counted: DataFrame, tokens: int, words: int)
                 yield pa.RecordBatch.from_arrays([pa.array(x[part].view(np.int64)) for x in (pair, word, before)], ["pair", "word", "before"])
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, 1 << 22):
+        for batch in grouped(batches, SCORE_STEP):
             tokens, at = token_hashes(batch["text"])
             distinct, inverse = np.unique(pair_hashes(tokens), return_inverse=True)
             text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -337,7 +402,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     n_tokens, n_words = _totals(counted)
     model = load(counted) if filter_bytes(counted) <= BROADCAST_BYTES else None
     exact = counted.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
-    top = _frequent(exact).toPandas()
+    top = _frequent(exact).toArrow()  # in columns: an object for each row would take the driver many times their size
     order = np.argsort(top["word"].to_numpy().view(np.uint64))
     frequent = (top["word"].to_numpy().view(np.uint64)[order], top["c"].to_numpy()[order])
     total = n_tokens + 0.5 * (n_words + 1)
@@ -345,7 +410,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (words, counts) = shared.value
-        for batch in grouped(batches, 1 << 22):
+        for batch in grouped(batches, SCORE_STEP):
             tokens, at = token_hashes(batch["text"])
             distinct, inverse = np.unique(tokens, return_inverse=True)
             logs = model.log_probabilities(distinct, inverse, tokens) if model is not None else np.zeros(len(tokens))
@@ -376,7 +441,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
                         [names.take(pa.array(t)), pa.array(content[t]), pa.array(word[low : low + (1 << 16)].view(np.int64)), zero, pa.array(m), zero, none, none], _PARTS
                     )
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("content"))
+    rows = in_small_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("content")))
     parts = rows.mapInArrow(run, "doc_id long, content long, word long, texts long, tokens long, known long, base double, score double")
     known = parts.join(exact, "word", "left")
     if model is None:

@@ -406,6 +406,56 @@ def test_the_filter_grows_with_its_entries(spark, monkeypatch):
     assert (full.log_probabilities(*np.unique(tokens, return_inverse=True), tokens) <= 0).all()
 
 
+def test_counts_of_a_step_are_a_row_for_each_segment(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(300)) for _ in range(200)] + [None, ""]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 20], pa.string())], ["text"]) for k in range(0, len(texts), 20)]
+    tokens, _ = bloom_lm.token_hashes(pa.array(texts, pa.string()))
+    true = {True: Counter(tokens.tolist()), False: Counter(bloom_lm.pair_hashes(tokens).tolist())}
+    for most in (1 << 30, 20_000, 1):
+        monkeypatch.setattr(bloom_lm, "COUNT_TOKENS", most)
+        got, rows = {True: Counter(), False: Counter()}, 0
+        for part in bloom_lm.step_counts(iter(batches)):
+            rows += part.num_rows
+            for segment, is_word, grams, n in zip(*(part[x].to_pylist() for x in ("segment", "is_word", "grams", "n")), strict=True):
+                grams = np.frombuffer(grams, dtype=np.uint64)
+                assert set(((bloom_lm.salted(grams, 21) if is_word else grams) >> np.uint64(64 - bloom_lm.SEGMENT_BITS)).tolist()) == {segment}
+                got[is_word].update(dict(zip(grams.tolist(), np.frombuffer(n, dtype=np.int32).tolist(), strict=True)))
+        assert got == true
+        if most == 1 << 30:  # all batches together, many n-grams in a row
+            assert rows <= 2 << bloom_lm.SEGMENT_BITS < len(true[False])
+
+
+def test_segments_add_up_steps():
+    rng = np.random.default_rng(5)
+    grams = rng.integers(0, 1 << 52, 3000, dtype=np.uint64)  # all of segment 0
+    parts, true = [], Counter()
+    for _ in range(80):  # enough for sums to be merged on the way
+        some, n = rng.permutation(grams)[:2500], rng.integers(1, 9, 2500).astype(np.int32)
+        true.update(dict(zip(some.tolist(), n.tolist(), strict=True)))
+        parts.append(([0, False], some.tobytes(), n.tobytes()))
+    word = np.array([77], dtype=np.uint64)
+    parts += [([9, True], word.tobytes(), np.array([k], dtype=np.int32).tobytes()) for k in (2, 3)]
+    batches = [pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "is_word": [w], "grams": [g], "n": [n]}) for (s, w), g, n in parts]
+    rows = [r for x in bloom_lm._segments(iter(batches)) for r in x.to_pylist()]
+    keys = np.array(list(true))
+    bits, entries = bloom_lm._enter(keys.astype(np.uint64), np.array(list(true.values())))
+    assert rows[0] == {"kind": 1, "key": 0, "n": entries, "bits": bits.tobytes()}
+    assert rows[1] == {"kind": 0, "key": 77, "n": 5, "bits": None}
+    assert (rows[2]["kind"], rows[2]["key"], len(rows)) == (1, 9, 3)
+
+
+def test_texts_to_score_go_to_workers_in_small_batches(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    session = spark.newSession()
+    docs = documents(session, [(1, "some words"), (2, None)])
+    bloom_lm.count(docs)
+    assert int(session.conf.get(limit)) == tables.BATCH_BYTES
+    session.conf.unset(limit)
+    bloom_lm.score(docs, F.lit(False))
+    assert int(session.conf.get(limit)) == tables.BATCH_BYTES
+
+
 def test_a_filter_too_large_to_broadcast_gives_the_same_scores(spark, monkeypatch):
     rows = corpus(seed=14, n=60, longest=80) + [(None, "a b"), (None, None)]
     docs, train = documents(spark, rows), F.col("doc_id") % 3 != 0
