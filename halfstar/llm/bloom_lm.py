@@ -6,8 +6,8 @@ for up to the level of the rarer of its words, which it cannot exceed.
 
 The filter is cut into segments by the hash of the n-gram. Each has as many bits as its own entries need for a rate of false
 answers of FALSE_POSITIVES, so the rate does not depend on the corpus. A filter of up to BROADCAST_BYTES is broadcast. A larger one
-stays where it is stored: the n-grams that the texts ask for are shuffled to the segments, and their probabilities joined back.
-Both ways ask the same filter and give the same scores.
+stays where it is stored: the n-grams that steps of texts ask for are shuffled to the segments, which send back their levels, and the
+exact counts of words with them. Both ways ask the same filter and give the same scores.
 
 Probabilities of a word after another are interpolated with those of words (Jelinek and Mercer):
 b c(v w) / c(v) + (1 - b) p(w). The first word follows the end of a text.
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ LOG_BASE, PAIR_WEIGHT = 1.5, 0.3
 FREQUENT = 1 << 18
 #: Bytes of text that are hashed together, and tokens, about, whose n-grams are counted together before the shuffle.
 COUNT_STEP, COUNT_TOKENS = 1 << 25, 1 << 21
+#: Tokens of a step that are worked on at once, where it needs several numbers for each.
+SLICE = 1 << 18
 #: Bytes of text that are scored together.
 SCORE_STEP = 1 << 20
 #: Segments whose n-grams a task hands over at once.
@@ -48,6 +51,8 @@ PACKED = 1 << 8
 
 END = np.uint64(0x2545F4914F6CDD1D)
 _SEGMENT = np.uint64(64 - SEGMENT_BITS)
+_ZSTD = pa.Codec("zstd")
+_TEXT_STEP = pa.schema({"step": pa.int64(), "n_words": pa.int64(), "n": pa.int64(), "words": pa.binary(), "seq": pa.binary(), "ids": pa.list_(pa.int64()), "sizes": pa.binary()})
 
 
 def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -196,10 +201,7 @@ def _step(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The rows of some tokens, which leave ``held`` and are sorted in place."""
     tokens = np.concatenate(held)
     held.clear()
-    pairs = np.empty_like(tokens)
-    for low in range(0, len(tokens), 1 << 18):
-        before = tokens[low - 1 : low] if low else [END]
-        pairs[low : low + (1 << 18)] = pair_hashes(tokens[low : low + (1 << 18)], before)
+    pairs = _pairs(tokens)
     words, counts = _counted(tokens)
     del tokens
     order = np.argsort(salted(words, 21))
@@ -210,6 +212,15 @@ def _step(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     yield from _packed(False, grams, counts, grams)
 
 
+def _pairs(tokens: np.ndarray) -> np.ndarray:
+    """As `pair_hashes`, some tokens at a time."""
+    pairs = np.empty_like(tokens)
+    for low in range(0, len(tokens), SLICE):
+        before = tokens[low - 1 : low] if low else [END]
+        pairs[low : low + SLICE] = pair_hashes(tokens[low : low + SLICE], before)
+    return pairs
+
+
 def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values and how often each occurs; sorts ``grams`` in place."""
     grams.sort()
@@ -314,75 +325,242 @@ def load(counted: DataFrame) -> LanguageModel:
     return LanguageModel(bits, starts, sizes, entries, *_totals(counted))
 
 
-def _looked_up(grams: DataFrame, counted: DataFrame, most: int) -> DataFrame:
-    """Levels above 0 of ``grams (gram)``, asked for in the stored segments: ``(gram, level)``."""
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bits = None, np.zeros(1, dtype=np.uint8)
-        for batch in batches:
-            segment = batch["segment"].to_numpy()
-            cuts = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1), len(segment)]
-            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                if high > low and batch["bits"][low].is_valid:  # a segment comes before what is asked of it
-                    now, bits = segment[low], np.frombuffer(batch["bits"][low].as_py(), dtype=np.uint8)
-                    low += 1
-                if high == low or segment[low] != now:
-                    continue
-                asked = batch["gram"].slice(low, high - low).to_numpy()
-                n = len(asked)
-                levels = _ask(bits, np.zeros(n, dtype=np.int64), np.full(n, 8 * len(bits), dtype=np.uint64), asked.view(np.uint64), np.full(n, most))
-                known = levels > 0
-                yield pa.RecordBatch.from_arrays([pa.array(asked[known]), pa.array(levels[known])], ["gram", "level"])
-
-    n = partitions(grams.sparkSession)
-    asked = grams.select(F.shiftrightunsigned("gram", 64 - SEGMENT_BITS).cast("int").alias("segment"), "gram", F.lit(None).cast("binary").alias("bits"))
-    segments = counted.where("kind = 1").select(F.col("key").cast("int").alias("segment"), F.lit(0).cast("long").alias("gram"), "bits")
-    rows = asked.union(segments).repartition(n, "segment").sortWithinPartitions("segment", F.col("bits").isNull())
-    return rows.mapInArrow(answer, "gram long, level long")
+def _narrow(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Sorted keys as the steps from one to the next, or from the start of its segment, and the bytes that each step takes.
+
+    In a large step the steps have 6 bytes; in none they have more than 7, as segments have less than 2^56 keys.
+    """
+    steps = keys.copy()
+    steps[1:] -= keys[:-1]
+    first = np.flatnonzero(np.diff(keys >> _SEGMENT, prepend=np.uint64(1 << SEGMENT_BITS)))
+    steps[first] = keys[first] & np.uint64((1 << (64 - SEGMENT_BITS)) - 1)
+    width = max(1, -(-int(steps.max(initial=np.uint64(0))).bit_length() // 8))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]), width
+
+
+def _wide(cells: list[np.ndarray], widths: list[int], segment: int) -> np.ndarray:
+    """The keys of cells of one segment, each written by `_narrow`."""
+    counts = np.array([len(x) // w for x, w in zip(cells, widths, strict=True)])
+    steps = np.zeros((int(counts.sum()), 8), dtype=np.uint8)
+    ends = np.cumsum(counts)
+    for width in set(widths):
+        of = np.array(widths) == width
+        steps[np.repeat(of, counts), :width] = np.concatenate([x for x, w in zip(cells, widths, strict=True) if w == width]).reshape(-1, width)
+    sums = np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+    before = np.concatenate([[np.uint64(0)], sums])[ends - counts]
+    return sums - np.repeat(before, counts) + (np.uint64(segment) << _SEGMENT)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Integers, the lowest bytes of all first, compressed."""
+    return _ZSTD.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T), asbytes=True)
+
+
+def _of_planes(raw: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(_ZSTD.decompress(raw, n * size, asbytes=True), dtype=np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and of each value the index among them."""
+    order = np.argsort(values)
+    ranked = values[order]
+    cuts = _cuts(ranked)
+    index = np.empty(len(values), dtype=np.int64)
+    index[order] = np.repeat(np.arange(len(cuts)), np.diff(cuts, append=len(values)))
+    return ranked[cuts], index
+
+
+def _spread(values: np.ndarray, of_distinct: np.ndarray) -> np.ndarray:
+    """For each value what its distinct one has; those are in their order."""
+    order = np.argsort(values)
+    cuts = _cuts(values[order])
+    out = np.empty(len(values), dtype=of_distinct.dtype)
+    out[order] = np.repeat(of_distinct, np.diff(cuts, append=len(values)))
+    return out
+
+
+def _text_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as numbers of words, a row for each step: ``(step, n_words, n, words, seq, ids, sizes)``.
+
+    ``words`` are the different words, the most frequent first; ``seq`` has the number of each of the ``n`` tokens, ``sizes`` the tokens of
+    each text and ``ids`` their ``doc_id``. A step has about COUNT_TOKENS tokens and whole texts.
+    """
+    task, step = TaskContext.get().partitionId() if TaskContext.get() else 0, 0
+    held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+
+    def done() -> pa.RecordBatch:
+        tokens, sizes, ids = (list(x) for x in zip(*held, strict=True))
+        held.clear()
+        words, index = _numbered(np.concatenate(tokens))
+        counts = np.bincount(index)
+        order = np.argsort(-counts, kind="stable")  # those of a count stay sorted
+        rank = np.empty(len(words), dtype=np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        words = words[order]
+        words[1:] -= words[:-1].copy()
+        values = [(task << 32) + step, len(words), len(index), _planes(words), _planes(rank[index]), pa.concat_arrays(ids).to_pylist(), np.concatenate(sizes).astype("<i4").tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TEXT_STEP.types, strict=True)], schema=_TEXT_STEP)
+
+    size = 0
+    for batch in grouped(batches, SCORE_STEP):
+        tokens, at = token_hashes(batch["text"])
+        held.append((tokens, np.diff(at), batch["doc_id"]))
+        size += len(tokens)
+        if size >= COUNT_TOKENS:
+            yield done()
+            step, size = step + 1, 0
+    if held:
+        yield done()
+
+
+def _tokens(step: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Different words of a row of `_text_steps`, and the number of each token's word."""
+    words = np.cumsum(_of_planes(step["words"], step["n_words"], np.uint64), dtype=np.uint64)
+    return words, _of_planes(step["seq"], step["n"], np.uint32)
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What steps ask of the segments: ``(segment, kind, key, n, words, pairs)``, a row for each step and segment, of kind 2.
+
+    ``key`` is the step; ``words`` and ``pairs`` are its n-grams, sorted and without repeats, by `_narrow`; ``n`` has the widths of both.
+    """
+    for batch in batches:
+        for step in batch.to_pylist():
+            words, seq = _tokens(step)
+            pairs = _pairs(words[seq])
+            pairs.sort()
+            asked = [np.sort(salted(words, 21)), pairs[_cuts(pairs)]]
+            (words, width), (pairs, wide) = map(_narrow, asked)
+            starts = np.arange((1 << SEGMENT_BITS) + 1, dtype=np.uint64)
+            of_word, of_pair = (np.searchsorted(x >> _SEGMENT, starts) for x in asked)
+            used = np.flatnonzero(np.diff(of_word) + np.diff(of_pair))
+            for low in range(0, len(used), PACKED):
+                part = used[low : low + PACKED]
+                m = len(part)
+                cells = (pa.array([x[a:b].tobytes() for a, b in zip(at[part], at[part + 1], strict=True)], pa.binary()) for x, at in ((words, of_word), (pairs, of_pair)))
+                columns = [pa.array(part.astype(np.int32)), pa.array(np.full(m, 2, dtype=np.int32)), pa.array(np.full(m, step["step"])), pa.array(np.full(m, 8 * width + wide)), *cells]
+                yield pa.RecordBatch.from_arrays(columns, ["segment", "kind", "key", "n", "words", "pairs"])
+
+
+def _of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stored words and the bits of segments in the form of `_asked`, of kinds 1 and 0; the bits are in ``pairs``."""
+    for batch in batches:
+        key = batch["key"].to_numpy()
+        bits = batch["kind"].to_numpy() == 1
+        segment = np.where(bits, key, (salted(key.view(np.uint64), 21) >> _SEGMENT).view(np.int64))
+        columns = [pa.array(segment.astype(np.int32)), pa.array((~bits).astype(np.int32)), batch["key"], batch["n"], pa.nulls(len(key), pa.binary()), batch["bits"]]
+        yield pa.RecordBatch.from_arrays(columns, ["segment", "kind", "key", "n", "words", "pairs"])
+
+
+def _answers(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """What segments answer: ``(step, segment, words, pairs)``, a row for each of kind 2, in the order of what it asks.
+
+    ``words`` has the levels of its words, as bytes, and then their counts, as 64-bit integers; ``pairs`` has the levels of its pairs. Rows come
+    sorted by segment and kind; levels are asked for up to ``most``.
+    """
+    now, bits, parts, known = None, np.zeros(1, dtype=np.uint8), [], None
+    none = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    for batch in batches:
+        group = 4 * batch["segment"].to_numpy().astype(np.int64) + batch["kind"].to_numpy()
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1), len(group)]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if high == low:
+                continue
+            rows = batch.slice(low, high - low)
+            segment, kind = divmod(int(group[low]), 4)
+            if segment != now:  # one that no n-gram was entered in has no bits
+                now, bits, parts, known = segment, np.zeros(1, dtype=np.uint8), [], None
+            if kind == 0:
+                bits = np.frombuffer(rows["pairs"][0].as_py(), dtype=np.uint8)
+            elif kind == 1:
+                parts.append((salted(rows["key"].to_numpy().view(np.uint64), 21), rows["n"].to_numpy()))
+            else:
+                if known is None:
+                    keys, counts = (np.concatenate(x) for x in zip(none, *parts, strict=True))
+                    order = np.argsort(keys)
+                    known = keys[order], counts[order]
+                yield _answered(rows, segment, bits, *known, most)
+
+
+def _answered(rows: pa.RecordBatch, segment: int, bits: np.ndarray, keys: np.ndarray, counts: np.ndarray, most: int) -> pa.RecordBatch:
+    widths = rows["n"].to_numpy()
+    out = []
+    for name, of in (("words", widths // 8), ("pairs", widths % 8)):
+        cells = [np.frombuffer(x, dtype=np.uint8) for x in rows[name].to_pylist()]
+        grams = _wide(cells, of.tolist(), segment)
+        ends = np.cumsum([len(x) // w for x, w in zip(cells, of, strict=True)])
+        n = len(grams)
+        levels = _ask(bits, np.zeros(n, dtype=np.int64), np.full(n, 8 * len(bits), dtype=np.uint64), grams, np.full(n, most)).astype(np.uint8)
+        exact = np.zeros(n, dtype="<i8")
+        if name == "words" and len(keys) and n:
+            where = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+            there = keys[where] == grams
+            exact[there] = counts[where[there]]
+        tail = (lambda a, b: exact[a:b].tobytes()) if name == "words" else lambda a, b: b""
+        out.append(pa.array([levels[a:b].tobytes() + tail(a, b) for a, b in zip([0, *ends[:-1]], ends, strict=True)], pa.binary()))
+    return pa.RecordBatch.from_arrays([rows["key"], rows["segment"], *out], ["step", "segment", "words", "pairs"])
 
 
 def _joined_scores(docs: DataFrame, counted: DataFrame, tokens: int, words: int) -> DataFrame:
-    """Scores by a filter that is too large to broadcast: ``(doc_id, content, score)``, of which the rows of a text add up.
+    """Scores by a filter that is too large to broadcast, of ``docs (doc_id, text)``: ``(doc_id, n_tokens, n_known, base_score, score)``.
 
-    ``docs (doc_id, text, content)``. Each pair that occurs is priced once, by its level and those of its two words.
+    Steps of texts are stored as numbers of words. Their n-grams go to the segments, each once for a step, and levels and counts come back in
+    the same order; nothing else of a text is shuffled but the numbers of its words.
     """
+    spark = docs.sparkSession
+    n, most = partitions(spark), _most(tokens)
+    steps = stored(docs.mapInArrow(_text_steps, "step long, n_words long, n long, words binary, seq binary, ids array<long>, sizes binary"), "text_steps")
+    form = "segment int, kind int, key long, n long, words binary, pairs binary"
+    asked = steps.select("step", "n_words", "n", "words", "seq").mapInArrow(_asked, form).union(counted.mapInArrow(_of_segments, form))
+    asked = asked.repartition(n, "segment").sortWithinPartitions("segment", "kind")
+    answers = stored(asked.mapInArrow(lambda x: _answers(x, most), "step long, segment int, words binary, pairs binary"), "answers")
+    none = (F.lit(None).cast(x.dataType).alias(x.name) for x in steps.schema if x.name not in ("step", "words", "seq"))
+    rows = answers.select("step", "segment", "words", F.col("pairs").alias("seq"), *none).unionByName(steps.withColumn("segment", F.lit(-1)))
+    rows = rows.repartition(n, "step").sortWithinPartitions("step", "segment")
+    return rows.mapInArrow(lambda x: _step_scores(x, tokens, words), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+
+
+def _step_scores(batches: Iterator[pa.RecordBatch], tokens: int, words: int) -> Iterator[pa.RecordBatch]:
+    """Scores of the texts of steps; each row of `_text_steps` has its answers after it, by segment."""
+    step: dict = {}
+    of_words: list[bytes] = []
+    of_pairs: list[bytes] = []
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, COUNT_STEP):
-            tokens, _ = token_hashes(batch["text"])
-            pair, first = np.unique(pair_hashes(tokens), return_index=True)
-            word, before = salted(tokens[first], 21), salted(np.where(first > 0, tokens[first - 1], END), 21)
-            for low in range(0, len(pair), 1 << 16):
-                part = slice(low, low + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(x[part].view(np.int64)) for x in (pair, word, before)], ["pair", "word", "before"])
+    def done() -> pa.RecordBatch:
+        distinct, seq = _tokens(step)
+        of_segments = [np.frombuffer(x, dtype=np.uint8).reshape(9, -1) for x in of_words]
+        order = np.argsort(salted(distinct, 21))
+        level, count = np.empty(len(distinct), dtype=np.uint8), np.empty(len(distinct), dtype=np.int64)
+        level[order] = np.concatenate([x[0] for x in of_segments])
+        count[order] = np.concatenate([x[1:].reshape(-1).view("<i8") for x in of_segments])
+        pair = _spread(_pairs(distinct[seq]), np.frombuffer(b"".join(of_pairs), dtype=np.uint8))
+        word = level[seq]
+        before = np.concatenate([level[distinct == END], word[:-1]])
+        logs = np.empty(len(seq))
+        for low in range(0, len(seq), SLICE):
+            logs[low : low + SLICE] = _logs(*(x[low : low + SLICE].astype(np.int64) for x in (word, before, pair)), tokens, words)
+        base = np.log10((count + 0.5) / (tokens + 0.5 * (words + 1)))
+        sizes = np.frombuffer(step["sizes"], dtype="<i4").astype(np.int64)
+        at = np.cumsum(sizes) - sizes
+        add = lambda x: pa.array(np.add.reduceat(x, at))  # noqa: E731  no text is without a token
+        return pa.RecordBatch.from_arrays(
+            [pa.array(step["ids"], pa.int64()), pa.array(sizes), add((count > 0).astype(np.int64)[seq]), add(base[seq]), add(logs)],
+            ["doc_id", "n_tokens", "n_known", "base_score", "score"],
+        )
 
-    def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, SCORE_STEP):
-            tokens, at = token_hashes(batch["text"])
-            distinct, inverse = np.unique(pair_hashes(tokens), return_inverse=True)
-            text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            both, times = np.unique(text * len(distinct) + inverse, return_counts=True)
-            text, pair = both // len(distinct), distinct[both % len(distinct)]
-            for low in range(0, len(both), 1 << 16):
-                part = slice(low, low + (1 << 16))
-                of = pa.array(text[part])
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(of), batch["content"].take(of), pa.array(pair[part].view(np.int64)), pa.array(times[part])], ["doc_id", "content", "pair", "times"])
-
-    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logs = _logs(*(batch[x].to_numpy() for x in ("of_word", "of_before", "of_pair")), tokens, words)
-            yield pa.RecordBatch.from_arrays([batch["pair"], pa.array(logs)], ["pair", "log"])
-
-    pairs = stored(docs.select("text").mapInArrow(asked, "pair long, word long, before long").dropDuplicates(["pair"]), "asked_pairs")
-    # every word that occurs is the second of a pair, and the end is before the first
-    grams = pairs.select(F.col("pair").alias("gram")).union(pairs.select("word").union(pairs.select("before")).distinct())
-    levels = stored(_looked_up(grams, counted, _most(tokens)), "levels")
-    for name in ("pair", "word", "before"):
-        pairs = pairs.join(levels.select(F.col("gram").alias(name), F.col("level").alias(f"of_{name}")), name, "left")
-    pairs = pairs.select("pair", *(F.coalesce(f"of_{x}", F.lit(0).cast("long")).alias(f"of_{x}") for x in ("word", "before", "pair")))
-    priced = stored(pairs.mapInArrow(price, "pair long, log double"), "priced_pairs")
-    used = docs.select("doc_id", "text", "content").mapInArrow(uses, "doc_id long, content long, pair long, times long")
-    return used.join(priced, "pair").select("doc_id", "content", (F.col("times") * F.col("log")).alias("score"))
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["segment"] < 0:
+                if step:
+                    yield done()
+                step, of_words, of_pairs = row, [], []
+            else:
+                of_words.append(row["words"])
+                of_pairs.append(row["seq"])
+    if step:
+        yield done()
 
 
 def score(docs: DataFrame, train: Column) -> DataFrame:
@@ -400,7 +578,10 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     counted = count(docs.where("train"))
     n_tokens, n_words = _totals(counted)
-    model = load(counted) if filter_bytes(counted) <= BROADCAST_BYTES else None
+    if filter_bytes(counted) > BROADCAST_BYTES:
+        joined = _joined_scores(in_small_batches(docs).select("doc_id", "text"), counted, n_tokens, n_words)
+        return joined.select("doc_id", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    model = load(counted)
     exact = counted.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
     top = _frequent(exact).toArrow()  # in columns: an object for each row would take the driver many times their size
     order = np.argsort(top["word"].to_numpy().view(np.uint64))
@@ -413,7 +594,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
         for batch in grouped(batches, SCORE_STEP):
             tokens, at = token_hashes(batch["text"])
             distinct, inverse = np.unique(tokens, return_inverse=True)
-            logs = model.log_probabilities(distinct, inverse, tokens) if model is not None else np.zeros(len(tokens))
+            logs = model.log_probabilities(distinct, inverse, tokens)
             c, found = np.zeros(len(distinct)), np.zeros(len(distinct), dtype=bool)
             if len(words):
                 where = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
@@ -444,10 +625,6 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     rows = in_small_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("content")))
     parts = rows.mapInArrow(run, "doc_id long, content long, word long, texts long, tokens long, known long, base double, score double")
     known = parts.join(exact, "word", "left")
-    if model is None:
-        none = {x: F.lit(0).cast("long") for x in ("word", "texts", "tokens", "known", "c")}
-        joined = _joined_scores(rows, counted, n_tokens, n_words).withColumns(none | {"base": F.lit(0.0)})
-        known = known.unionByName(joined)
     rare = F.col("texts") == 0
     seen = F.coalesce("c", F.lit(0))
     sums = known.groupBy("doc_id", "content").agg(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,19 +16,36 @@ TASK_ROWS = 1 << 16
 #: Bytes that go to a Python worker at once; less than the steps of texts in which keys are made, so as not to cut them anew.
 BATCH_BYTES = 7 << 20
 _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the session's shared scratch folder and read it again.
 
     Cuts the lineage: a lost executor costs the tasks it ran and nothing before them. What
-    is read has no known partitioning, so that joins shuffle it and skewed joins can split it.
+    is read has no known partitioning, so that joins shuffle it and skewed joins can split it. The shuffles
+    that led to it are removed once it is written.
     """
     path = new_scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile leaves no shuffle files; else they stay until the driver happens to collect its garbage."""
+    was = spark.conf.get(_CLEANED, None)
+    spark.conf.set(_CLEANED, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(_CLEANED)
+        else:
+            spark.conf.set(_CLEANED, was)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

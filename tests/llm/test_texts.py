@@ -4,6 +4,7 @@ import dataclasses
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -471,6 +472,67 @@ def test_a_filter_too_large_to_broadcast_gives_the_same_scores(spark, monkeypatc
     assert bloom_lm.score(documents(spark, []), train).count() == 0
 
 
+def test_a_large_filter_is_asked_in_few_rows(spark, monkeypatch):
+    """Texts are shuffled as numbers of words, and what they ask as a row for each step and segment, not one for each pair or use."""
+    texts = [" ".join(f"w{(k * 7919 + i * i) % 6000}" for i in range(300)) for k in range(150)]
+    docs = documents(spark, [(k, t) for k, t in enumerate(texts)] + [(None, texts[0]), (None, None)]).coalesce(2)
+    tables_stored, keep = {}, bloom_lm.stored
+
+    def noted(df, label):
+        tables_stored[label] = keep(df, label)
+        return tables_stored[label]
+
+    monkeypatch.setattr(bloom_lm, "stored", noted)
+    monkeypatch.setattr(bloom_lm, "BROADCAST_BYTES", 0)
+    scores = bloom_lm.score(docs, F.lit(True))
+    assert "Join" not in scores._jdf.queryExecution().optimizedPlan().toString()
+    assert scores.count() == len(texts) + 2
+    pairs = len({(a, b) for t in texts for a, b in zip(["", *t.split()], [*t.split(), ""], strict=True)})
+    counts = {label: t.count() for label, t in tables_stored.items() if label != "ngram_counts"}
+    assert max(counts.values()) <= 2 << bloom_lm.SEGMENT_BITS < pairs
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_keys_of_segments_are_narrowed_and_widened(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 64, n, dtype=np.uint64), np.array([0, (1 << 64) - 1], dtype=np.uint64)[: 2 * (n > 1)]]))
+    steps, width = bloom_lm._narrow(keys)
+    segments = (keys >> np.uint64(64 - bloom_lm.SEGMENT_BITS)).astype(int)
+    for segment in np.unique(segments):
+        cell = steps[segments == segment].ravel()
+        two = bloom_lm._wide([cell, cell[:0], cell], [width, 3, width], int(segment))
+        assert (two == np.tile(keys[segments == segment], 2)).all()
+
+
+def test_texts_of_many_steps_come_back(monkeypatch):
+    monkeypatch.setattr(bloom_lm, "COUNT_TOKENS", 50)
+    texts = ["a b a", None, "", *(f"w{k % 9} w{k % 4} x" for k in range(60))]
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(len(texts) - 1)], pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    monkeypatch.setattr(bloom_lm, "SCORE_STEP", 40)
+    rows = [r for x in bloom_lm._text_steps(iter([batch])) for r in x.to_pylist()]
+    assert len(rows) > 2 and len({r["step"] for r in rows}) == len(rows)
+    tokens = [words[seq] for words, seq in map(bloom_lm._tokens, rows)]
+    expected, at = bloom_lm.token_hashes(pa.array(texts, pa.string()))
+    assert (np.concatenate(tokens) == expected).all()
+    assert [i for r in rows for i in r["ids"]] == batch["doc_id"].to_pylist()
+    assert (np.concatenate([np.frombuffer(r["sizes"], "<i4") for r in rows]) == np.diff(at)).all()
+
+
+def test_stored_tables_leave_no_shuffles(spark):
+    def files():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {x.getName() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(found) if x.getName().startswith("shuffle_")}
+
+    cleaned = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(cleaned), files()
+    table = tables.stored(spark.range(1000).withColumn("k", F.xxhash64("id")).repartition(8, "k"), "shuffled")
+    for _ in range(4):  # they are removed in the background, but do not wait for the driver's garbage
+        if left := files() - before:
+            time.sleep(0.5)
+    assert not left
+    assert table.count() == 1000 and spark.conf.get(cleaned) == was
+
+
 # large clusters and repeated ids
 
 
