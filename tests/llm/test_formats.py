@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -304,6 +305,71 @@ def test_chains_of_vectors_are_one_component(spark):
     assert got == {10 * chain + k: (1 + (k == 1), 10 * chain) for chain in range(30) for k in range(3)}
 
 
+def cell_rows(vectors, cells, copies):
+    n = len(vectors)
+    columns = {"cell": pa.array(cells, pa.int64()), "x": pa.array([0] * n, pa.int32()), "side": pa.array([0] * n, pa.int32()), "node": pa.array(np.arange(n) * 7919 % 10_007)}
+    return pa.RecordBatch.from_pydict(columns | {"raw": pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary()), "copies": pa.array(copies, pa.int64())})
+
+
+def test_a_cell_of_near_copies_takes_little_memory():
+    rng = np.random.default_rng(12)
+    n = 1000
+    rows = cell_rows(rng.standard_normal(64) + 0.05 * rng.standard_normal((n, 64)), [5] * n, [1] * n)
+    hashes = {64: embedding_dedup.Hashes(64, 3, 4)}
+    tracemalloc.start()
+    got = pa.Table.from_batches(embedding_dedup._compared([rows], (64, 0, 5, 0, 0), hashes, 0.9))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["n"].to_pylist() == [n - 1] * n and set(got["low"].to_pylist()) == {0}
+    assert peak < 1 << 26  # all pairs with their vectors would take some 0.7 GB
+
+
+def test_small_cells_share_a_product(monkeypatch):
+    rng = np.random.default_rng(13)
+    monkeypatch.setattr(embedding_dedup, "PRODUCT", 64)
+    vectors = np.repeat(rng.standard_normal((6, 16)), 5, axis=0) + 0.15 * rng.standard_normal((30, 16))
+    cells, copies = sorted(rng.integers(0, 4, 30).tolist()), rng.integers(1, 4, 30).tolist()
+    rows, hashes = cell_rows(vectors, cells, copies), embedding_dedup.Hashes(16, 2, 3)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    keys, nodes = hashes.keys(unit), rows["node"].to_pylist()
+    for table in (0, 2):
+        counts, reach = [0] * 30, list(nodes)
+        pairs = [(i, j) for i in range(30) for j in range(30) if i != j and cells[i] == cells[j] and unit[i] @ unit[j] >= 0.9 and not (keys[i, :table] == keys[j, :table]).any()]
+        for i, j in pairs:
+            counts[i] += copies[j]
+        for i, j in pairs * 30:
+            reach[i] = min(reach[i], reach[j])
+        got = pa.Table.from_batches(embedding_dedup._compared([rows], (16, table, 0, 0, 0), {16: hashes}, 0.9)).to_pylist()
+        assert got == [{"node": nodes[i], "n": counts[i], "low": reach[i]} for i in range(30) if counts[i]]
+
+
+def test_keys_do_not_depend_on_the_order_of_a_sum(monkeypatch):
+    hashes = embedding_dedup.Hashes(24, 3, 5)
+    vectors = np.random.default_rng(14).standard_normal((300, 24))
+    places = np.repeat(hashes.shifts[None, :], 300, axis=0)
+    for d in range(24):
+        places += vectors[:, d : d + 1] * hashes.directions[d]
+    with np.errstate(over="ignore"):
+        expected = (np.floor(places / embedding_dedup.WIDTH).astype(np.int64).reshape(300, 5, 3) * hashes.weights).sum(axis=2)
+    for doubt in (1e-9, 0.01, 1.0):
+        monkeypatch.setattr(embedding_dedup, "DOUBT", doubt)
+        assert (hashes.keys(vectors) == expected).all()
+        assert (hashes.keys(vectors[7:9], 2, 4) == expected[7:9, 2:4]).all()
+
+
+def test_links_found_in_rounds_are_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    rows = [(i, (rng.standard_normal(32) if i % 9 else np.ones(32)).tolist()) for i in range(90)]
+    rows += [(100 + i, [x + 0.2 * float(rng.standard_normal()) for x in v]) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, embedding_dedup.near_duplicates(table, 0.9).collect()))
+    monkeypatch.setattr(embedding_dedup, "ROUND_BYTES", 1)
+    labels, keep = [], embedding_dedup.stored
+    monkeypatch.setattr(embedding_dedup, "stored", lambda df, label: labels.append(label) or keep(df, label))
+    assert sorted(map(tuple, embedding_dedup.near_duplicates(table, 0.9).collect())) == whole == brute_links(rows, 0.9)
+    assert labels.count("vector_links") > 1
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(11)
     a = rng.standard_normal((1500, 64))
